@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockloom.functions import calendar, numeric
-from stockloom.operators.logistics import value_counts
+from stockloom.operators.logistics import rows_of, value_counts
 
 
 def monthly_revenue(
@@ -39,20 +39,24 @@ def monthly_revenue(
     ).orderBy("month_end")
 
 
-def weekday_hour_counts(df: DataFrame, ts: str = "order_purchase_timestamp") -> DataFrame:
-    """Rows per weekday and hour."""
+def weekday_hour_counts(
+    df: DataFrame, ts: str = "order_purchase_timestamp", weight: str | None = None
+) -> DataFrame:
+    """Order lines per weekday and hour."""
     return (
         df.where(F.col(ts).isNotNull())
         .groupBy(
             calendar.weekday_name(F.col(ts)).alias("day_of_week"), F.hour(ts).alias("hour")
         )
-        .agg(F.count(F.lit(1)).alias("orders"))
+        .agg(F.sum(rows_of(weight)).alias("orders"))
     )
 
 
-def weekday_hour_pivot(df: DataFrame, ts: str = "order_purchase_timestamp") -> DataFrame:
+def weekday_hour_pivot(
+    df: DataFrame, ts: str = "order_purchase_timestamp", weight: str | None = None
+) -> DataFrame:
     """Weekdays as rows, Monday first, hours as columns ``h00`` to ``h23``; empty cells are null."""
-    counts = weekday_hour_counts(df, ts)
+    counts = weekday_hour_counts(df, ts, weight)
     wide = counts.groupBy("day_of_week").pivot("hour", list(range(24))).agg(F.sum("orders"))
     wide = wide.withColumnsRenamed({str(h): f"h{h:02d}" for h in range(24)})
     days = df.sparkSession.range(1, 8).select(
@@ -75,14 +79,17 @@ def payment_share(payments: DataFrame, kind: str = "payment_type") -> DataFrame:
 
 
 def delay_boxplot(
-    df: DataFrame, value: str = "delay_days", by: str = "customer_state"
+    df: DataFrame,
+    value: str = "delay_days",
+    by: str = "customer_state",
+    weight: str | None = None,
 ) -> DataFrame:
     """Box-plot numbers per group: quartiles, whisker ends within 1.5 IQR, and outlier count.
 
     Works on rows counted per (group, value): whole-day values have few distinct
     levels, so neither step sees the raw rows of a large group.
     """
-    counts = value_counts(df, value, by)
+    counts = value_counts(df, value, by, weight)
     quartiles = (
         counts.groupBy(by)
         .agg(
@@ -112,11 +119,7 @@ def delay_boxplot(
 
 
 def _extent(counts: DataFrame, value: str) -> Column:
-    """Lowest and highest value, row count and mean as one struct.
-
-    It uses both columns of ``counts``, so Spark computes the grouped rows once
-    for this and for the query around it.
-    """
+    """Lowest and highest value, row count and mean of counted values, as one struct."""
     weighted = F.sum(F.col(value).cast("double") * F.col("lines"))
     return counts.agg(
         F.struct(
@@ -128,13 +131,14 @@ def _extent(counts: DataFrame, value: str) -> Column:
     ).scalar()
 
 
-def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
-    """Counts in ``bins`` equal-width bins from the lowest to the highest value.
+def histogram(counts: DataFrame, value: str, bins: int) -> DataFrame:
+    """Lines in ``bins`` equal-width bins from the lowest to the highest value.
 
-    The last bin includes its right edge. Empty bins are rows with count 0. If
-    all values are equal, the range is one unit wide around them.
+    ``counts`` comes from ``value_counts``; it is read more than once, so pass a
+    materialized table for large data. The last bin includes its right edge.
+    Empty bins are rows with 0 lines. If all values are equal, the range is one
+    unit wide around them.
     """
-    counts = value_counts(df, value)
     extent = _extent(counts, value)
     flat = extent["lo"] == extent["hi"]
     low = F.when(flat, extent["lo"] - 0.5).otherwise(extent["lo"])
@@ -145,26 +149,29 @@ def histogram(df: DataFrame, value: str, bins: int) -> DataFrame:
         counts.groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.sum("lines").alias("_lines"))
     )
-    edge = df.sparkSession.range(bins).select(
-        F.col("id").cast("int").alias("bin"),
-        (low + F.col("id") * (high - low) / float(bins)).alias("bin_start"),
-        (low + (F.col("id") + 1) * (high - low) / float(bins)).alias("bin_end"),
-    )
+    spine = counts.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    left = low + F.col("bin") * (high - low) / float(bins)
+    right = low + (F.col("bin") + 1) * (high - low) / float(bins)
     return (
-        edge.join(filled, "bin", "left")
-        .select("bin", "bin_start", "bin_end", F.coalesce("_lines", F.lit(0)).alias("lines"))
+        spine.join(filled, "bin", "left")
+        .select(
+            "bin",
+            left.alias("bin_start"),
+            right.alias("bin_end"),
+            F.coalesce("_lines", F.lit(0)).alias("lines"),
+        )
         .orderBy("bin")
     )
 
 
-def kernel_density(df: DataFrame, value: str, points: int = 200) -> DataFrame:
+def kernel_density(counts: DataFrame, value: str, points: int = 200) -> DataFrame:
     """Gaussian density estimate at ``points`` positions from the lowest to the highest value.
 
-    The bandwidth is the sample deviation times n^(-1/5). The work per distinct
-    value is a fixed number of points, and partial sums leave one row per point
-    and task to shuffle.
+    ``counts`` comes from ``value_counts``, as for ``histogram``. The bandwidth
+    is the sample deviation times n^(-1/5). The work per distinct value is a
+    fixed number of points, and partial sums leave one row per point and task
+    to shuffle.
     """
-    counts = value_counts(df, value)
     extent = _extent(counts, value)
     gap = F.col(value).cast("double") - extent["mean"]
     variance = counts.agg(F.sum(F.col("lines") * gap * gap)).scalar() / (extent["n"] - 1.0)
@@ -193,6 +200,7 @@ def bootstrap_mean_interval(
     replicates: int = 1000,
     level: float = 95.0,
     seed: int = 0,
+    weight: str | None = None,
 ) -> DataFrame:
     """Percentile bootstrap interval of the mean per group.
 
@@ -201,7 +209,7 @@ def bootstrap_mean_interval(
     The value must have few distinct levels (whole days do). Draws are seeded
     by group and repeat when a task is run again.
     """
-    counts = value_counts(df, value, by)
+    counts = value_counts(df, value, by, weight)
     schema = (
         f"`{by}` string, lines bigint, mean double, ci_low double, ci_high double"
     )
@@ -231,20 +239,30 @@ def bootstrap_mean_interval(
     return seeded.groupBy(by).applyInPandas(interval, schema).orderBy(F.desc("mean"), by)
 
 
-def normal_mean_interval(df: DataFrame, value: str, by: str, z: float = 1.96) -> DataFrame:
-    """The deterministic counterpart: mean plus and minus ``z`` standard errors."""
-    half = F.stddev_samp(value) * z / F.sqrt(F.count(value).cast("double"))
-    return (
-        df.where(F.col(by).isNotNull() & F.col(value).isNotNull())
-        .groupBy(by)
-        .agg(
-            F.count(value).alias("lines"),
-            F.avg(value).alias("mean"),
-            (F.avg(value) - half).alias("ci_low"),
-            (F.avg(value) + half).alias("ci_high"),
-        )
-        .orderBy(F.desc("mean"), by)
+def normal_mean_interval(
+    df: DataFrame, value: str, by: str, z: float = 1.96, weight: str | None = None
+) -> DataFrame:
+    """The deterministic counterpart: mean plus and minus ``z`` standard errors.
+
+    Works on whole-number values such as days, whose sums are exact.
+    """
+    counts = value_counts(df, value, by, weight)
+    lines, x = F.col("lines"), F.col(value)
+    moments = counts.groupBy(by).agg(
+        F.sum("lines").alias("lines"),
+        F.sum(lines * x).cast("double").alias("_s1"),
+        F.sum(lines * x * x).cast("double").alias("_s2"),
     )
+    mean = F.col("_s1") / lines
+    variance = (F.col("_s2") - F.col("_s1") * mean) / F.nullif(lines - 1, F.lit(0))
+    half = F.sqrt(variance / lines) * z
+    return moments.select(
+        by,
+        "lines",
+        mean.alias("mean"),
+        (mean - half).alias("ci_low"),
+        (mean + half).alias("ci_high"),
+    ).orderBy(F.desc("mean"), by)
 
 
 def rows_of_top(df: DataFrame, top: DataFrame, key: str) -> DataFrame:

@@ -30,20 +30,34 @@ def query(function: Query) -> Query:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round doubles; the order of columns stays."""
-    return df.select(
+    return df.selectExpr(
         *(
-            F.round(F.col(name), digits).alias(name) if kind == "double" else F.col(name)
+            f"round(`{name}`, {digits}) as `{name}`" if kind == "double" else f"`{name}`"
             for name, kind in df.dtypes
         )
     )
 
 
 def _lines(spark: SparkSession, folder: str, *include: str, grain: str = "brand") -> DataFrame:
-    return star.line_table(bind.raw_tables(spark, folder, grain), include)
+    names = ["order_items", "orders", *include]
+    if "products" in include:
+        names.append("category_translation")
+    return star.line_table(bind.raw_tables(spark, folder, *names, grain=grain), include)
 
 
-def _staged(spark: SparkSession, folder: str) -> DataFrame:
-    return logistics.add_stage_days(_lines(spark, folder, "customers"))
+def _staged_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines with stage days, which are computed on the orders."""
+    tables = bind.raw_tables(spark, folder, "order_items", "orders")
+    return star.line_table(tables | {"orders": logistics.add_stage_days(tables["orders"])}, ())
+
+
+def _orders(spark: SparkSession, folder: str, *include: str) -> DataFrame:
+    """Orders weighted by their lines; ``include`` may name customers."""
+    tables = bind.raw_tables(spark, folder, "order_items", "orders", *include)
+    return logistics.weighted_orders(tables)
+
+
+WEIGHT = "order_lines"
 
 
 def _fine_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,7 +286,8 @@ def top_category_forecasts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def hist_residuals(spark: SparkSession, folder: str) -> DataFrame:
     results = _rolling_results(_fine_features(spark, folder))
-    return rounded(profile.histogram(results, "error", 50))
+    counts = materialize(logistics.value_counts(results, "error"))
+    return rounded(profile.histogram(counts, "error", 50))
 
 
 @query
@@ -320,13 +335,13 @@ def plan_top5(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def valid_logistics(spark: SparkSession, folder: str) -> DataFrame:
-    valid = logistics.valid_logistics(_staged(spark, folder))
+    valid = logistics.valid_logistics(_staged_lines(spark, folder))
     return valid.select("order_id", "product_id", "seller_id", "time_to_ship", "carrier_time")
 
 
 @query
 def valid_logistics_v1(spark: SparkSession, folder: str) -> DataFrame:
-    valid = logistics.valid_logistics_by_total(_staged(spark, folder))
+    valid = logistics.valid_logistics_by_total(_staged_lines(spark, folder))
     return valid.select(
         "order_id", "product_id", "seller_id", "time_to_ship", "carrier_time", "total_delivery_time"
     )
@@ -334,72 +349,78 @@ def valid_logistics_v1(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def median_delay_by_state(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(logistics.median_delay_by_state(_staged(spark, folder)))
+    return rounded(logistics.median_delay_by_state(_orders(spark, folder, "customers"), weight=WEIGHT))
 
 
 @query
 def late_rate_by_state(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(logistics.late_rate_by_state(_staged(spark, folder)))
+    return rounded(logistics.late_rate_by_state(_orders(spark, folder, "customers"), weight=WEIGHT))
 
 
 @query
 def late_rate_national(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(logistics.late_rate_national(_staged(spark, folder)))
+    return rounded(logistics.late_rate_national(_orders(spark, folder, "customers"), weight=WEIGHT))
 
 
 @query
 def delay_boxplot_by_state(spark: SparkSession, folder: str) -> DataFrame:
-    within = logistics.within_delay_view(_staged(spark, folder))
-    return rounded(profile.delay_boxplot(within))
+    within = logistics.within_delay_view(_orders(spark, folder, "customers"))
+    return rounded(profile.delay_boxplot(within, weight=WEIGHT))
 
 
 @query
 def top_cities(spark: SparkSession, folder: str) -> DataFrame:
-    return logistics.top_cities(_lines(spark, folder, "customers"))
+    return logistics.top_cities(_orders(spark, folder, "customers"), weight=WEIGHT)
 
 
 @query
 def city_delivery_time(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(logistics.city_delivery_time(_staged(spark, folder)))
+    return rounded(logistics.city_delivery_time(_orders(spark, folder, "customers"), weight=WEIGHT))
 
 
 @query
 def state_delivery_time(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(logistics.state_delivery_time(_staged(spark, folder)))
+    return rounded(logistics.state_delivery_time(_orders(spark, folder, "customers"), weight=WEIGHT))
 
 
 @query
 def state_logistics_breakdown(spark: SparkSession, folder: str) -> DataFrame:
-    valid = logistics.valid_logistics(_staged(spark, folder))
-    return rounded(logistics.state_logistics_breakdown(valid))
+    valid = logistics.valid_logistics(_orders(spark, folder, "customers"))
+    return rounded(logistics.state_logistics_breakdown(valid, weight=WEIGHT))
 
 
 @query
 def delivery_composition(spark: SparkSession, folder: str) -> DataFrame:
-    valid = logistics.valid_logistics_by_total(_staged(spark, folder))
-    return rounded(logistics.delivery_composition(valid))
+    valid = logistics.valid_logistics_by_total(_orders(spark, folder))
+    return rounded(logistics.delivery_composition(valid, WEIGHT))
 
 
 @query
 def city_delivery_ci(spark: SparkSession, folder: str) -> DataFrame:
     """Bootstrap interval of the mean delivery days of the twenty largest cities."""
-    staged = _staged(spark, folder)
+    staged = _orders(spark, folder, "customers")
     return profile.bootstrap_mean_interval(
-        profile.rows_of_top(staged, logistics.top_cities(staged), "customer_city"),
+        profile.rows_of_top(
+            staged, logistics.top_cities(staged, weight=WEIGHT), "customer_city"
+        ),
         "total_delivery_time",
         "customer_city",
+        weight=WEIGHT,
     )
 
 
 @query
 def city_delivery_normal_ci(spark: SparkSession, folder: str) -> DataFrame:
     """The deterministic interval for the same cities."""
-    staged = _staged(spark, folder)
+    staged = _orders(spark, folder, "customers")
     return rounded(
         profile.normal_mean_interval(
-            profile.rows_of_top(staged, logistics.top_cities(staged), "customer_city"),
+            profile.rows_of_top(
+                staged, logistics.top_cities(staged, weight=WEIGHT), "customer_city"
+            ),
             "total_delivery_time",
             "customer_city",
+            weight=WEIGHT,
         )
     )
 
@@ -419,7 +440,7 @@ def weekday_hour_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def weekday_hour_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.weekday_hour_pivot(_lines(spark, folder))
+    return profile.weekday_hour_pivot(_orders(spark, folder), weight=WEIGHT)
 
 
 @query
@@ -427,39 +448,44 @@ def payment_share(spark: SparkSession, folder: str) -> DataFrame:
     return profile.payment_share(bind.payments(spark, folder))
 
 
-def _valid_days(spark: SparkSession, folder: str) -> DataFrame:
-    return logistics.valid_logistics(logistics.add_stage_days(_lines(spark, folder)))
+def _day_counts(valid: DataFrame, value: str) -> DataFrame:
+    return materialize(logistics.value_counts(valid, value, weight=WEIGHT))
 
 
 @query
 def hist_seller_time(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.histogram(_valid_days(spark, folder), "time_to_ship", 20))
+    valid = logistics.valid_logistics(_orders(spark, folder))
+    counts = _day_counts(valid, "time_to_ship")
+    return rounded(profile.histogram(counts, "time_to_ship", 20))
 
 
 @query
 def hist_carrier_time(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.histogram(_valid_days(spark, folder), "carrier_time", 40))
+    valid = logistics.valid_logistics(_orders(spark, folder))
+    counts = _day_counts(valid, "carrier_time")
+    return rounded(profile.histogram(counts, "carrier_time", 40))
 
 
 @query
 def hist_seller_time_v1(spark: SparkSession, folder: str) -> DataFrame:
-    staged = logistics.add_stage_days(_lines(spark, folder))
-    valid = logistics.valid_logistics_by_total(staged)
-    return rounded(profile.histogram(valid, "time_to_ship", 30))
+    valid = logistics.valid_logistics_by_total(_orders(spark, folder))
+    counts = _day_counts(valid, "time_to_ship")
+    return rounded(profile.histogram(counts, "time_to_ship", 30))
 
 
 @query
 def kde_carrier_time(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.kernel_density(_valid_days(spark, folder), "carrier_time"), 9)
+    valid = logistics.valid_logistics(_orders(spark, folder))
+    counts = _day_counts(valid, "carrier_time")
+    return rounded(profile.kernel_density(counts, "carrier_time"), 9)
 
 
 # Sellers and reviews
 
 
 def _reviewed(spark: SparkSession, folder: str) -> DataFrame:
-    tables = bind.raw_tables(spark, folder)
-    staged = logistics.add_stage_days(star.line_table(tables, ()))
-    return vendors.reviewed_lines(staged, tables["reviews"])
+    staged = _staged_lines(spark, folder)
+    return vendors.reviewed_lines(staged, bind.reviews(spark, folder))
 
 
 @query

@@ -6,143 +6,170 @@ They are derived here, by plain expressions over the given columns.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 CUTOFF_YEAR, CUTOFF_MONTH = 2001, 1
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+# Columns of the benchmark tables. Naming them saves a job per scan
+# that would only look up the schema.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
 
 
-def _later(ts: Column, days: Column, hours: Column) -> Column:
-    return ts + F.make_dt_interval(days.cast("int"), hours.cast("int"))
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """Lines; the price is missing for some products, freight is price times tax."""
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
-    tax = F.col("l_tax").cast("decimal(18,2)")
-    return table(spark, folder, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_partkey").alias("product_id"),
-        F.col("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        F.when(F.col("l_partkey") % 9 != 4, F.col("l_extendedprice")).alias("price"),
-        (price * tax).cast("double").alias("freight_value"),
+    return table(spark, folder, "lineitem").selectExpr(
+        "l_orderkey as order_id",
+        "l_partkey as product_id",
+        "l_suppkey as seller_id",
+        "l_shipdate as shipping_limit_date",
+        "case when l_partkey % 9 <> 4 then l_extendedprice end as price",
+        "cast(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(18,2)) as double)"
+        " as freight_value",
     )
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders with purchase hours and the later stages of delivery."""
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    none = F.lit(0)
     return (
         table(spark, folder, "orders")
-        .withColumn("bought", _later(F.col("o_orderdate"), none, key * 7 % 24))
-        .withColumn("approved", F.when(key % 97 != 0, _later(F.col("bought"), none, customer % 36)))
-        .withColumn("handed", _later(F.col("approved"), customer % 40 - 2, key % 5 * 5))
-        .withColumn(
-            "delivered",
-            F.when(
-                F.col("o_orderstatus") != "P",
-                _later(F.col("handed"), key % 70 - 3, key % 7 * 5),
-            ),
+        .selectExpr(
+            "*",
+            "o_orderdate + make_dt_interval(0, cast(o_orderkey * 7 % 24 as int)) as bought",
+        )
+        .selectExpr(
+            "*",
+            "case when o_orderkey % 97 <> 0"
+            " then bought + make_dt_interval(0, cast(o_custkey % 36 as int)) end as approved",
         )
-        .select(
-            key.alias("order_id"),
-            customer.alias("customer_id"),
-            F.col("bought").alias("order_purchase_timestamp"),
-            F.col("approved").alias("order_approved_at"),
-            F.col("handed").alias("order_delivered_carrier_date"),
-            F.col("delivered").alias("order_delivered_customer_date"),
-            _later(F.col("o_orderdate"), F.lit(30), none).alias("order_estimated_delivery_date"),
+        .selectExpr(
+            "*",
+            "approved + make_dt_interval(cast(o_custkey % 40 - 2 as int),"
+            " cast(o_orderkey % 5 * 5 as int)) as handed",
+        )
+        .selectExpr(
+            "o_orderkey as order_id",
+            "o_custkey as customer_id",
+            "bought as order_purchase_timestamp",
+            "approved as order_approved_at",
+            "handed as order_delivered_carrier_date",
+            "case when o_orderstatus <> 'P' then handed + make_dt_interval("
+            "cast(o_orderkey % 70 - 3 as int), cast(o_orderkey % 7 * 5 as int)) end"
+            " as order_delivered_customer_date",
+            "o_orderdate + interval '30' day as order_estimated_delivery_date",
         )
     )
 
 
 def products(spark: SparkSession, folder: str, grain: str = "brand") -> DataFrame:
     """Products; categories are brands, or brand and size. Some have none."""
-    brand = F.col("p_brand")
-    fine = F.concat(brand, F.lit("-"), F.col("p_size").cast("string"))
-    name = brand if grain == "brand" else fine
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.when(F.col("p_partkey") % 50 != 7, name).alias("product_category_name"),
-        F.length("p_name").cast("double").alias("product_name_lenght"),
+    name = {"brand": "p_brand", "brand_size": "concat(p_brand, '-', p_size)"}[grain]
+    return table(spark, folder, "part").selectExpr(
+        "p_partkey as product_id",
+        f"case when p_partkey % 50 <> 7 then {name} end as product_category_name",
+        "cast(length(p_name) as double) as product_name_lenght",
     )
 
 
 def category_translation(spark: SparkSession, folder: str) -> DataFrame:
     """Readable names for brands 1 to 15; the others have none."""
-    number = F.col("id").cast("string")
-    return spark.range(1, 16).select(
-        F.concat(F.lit("Brand#"), number).alias("product_category_name"),
-        F.concat(F.lit("brand "), number).alias("product_category_name_english"),
+    return spark.range(1, 16).selectExpr(
+        "concat('Brand#', id) as product_category_name",
+        "concat('brand ', id) as product_category_name_english",
     )
 
 
 def customers(spark: SparkSession, folder: str) -> DataFrame:
     """Customers; states are nations, each with four cities. Some have neither."""
-    key = F.col("c_custkey")
-    nation = table(spark, folder, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), "n_name"
-    )
-    city = F.concat("n_name", F.lit("/"), (key % 4).cast("string"))
+    nation = table(spark, folder, "nation").selectExpr("n_nationkey as c_nationkey", "n_name")
     return (
         table(spark, folder, "customer")
         .join(nation, "c_nationkey", "left")
-        .select(
-            key.alias("customer_id"),
-            F.when(key % 41 != 0, city).alias("customer_city"),
-            F.when(key % 43 != 0, F.col("n_name")).alias("customer_state"),
+        .selectExpr(
+            "c_custkey as customer_id",
+            "case when c_custkey % 41 <> 0 then concat(n_name, '/', c_custkey % 4) end"
+            " as customer_city",
+            "case when c_custkey % 43 <> 0 then n_name end as customer_state",
         )
     )
 
 
 def sellers(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "supplier").select(
-        F.col("s_suppkey").alias("seller_id"), F.col("s_name").alias("seller_name")
+    return table(spark, folder, "supplier").selectExpr(
+        "s_suppkey as seller_id", "s_name as seller_name"
     )
 
 
 def payments(spark: SparkSession, folder: str) -> DataFrame:
     """One payment per order; some have no type."""
-    key = F.col("o_orderkey")
-    return table(spark, folder, "orders").select(
-        key.alias("order_id"),
-        F.when(key % 53 != 0, F.col("o_orderpriority")).alias("payment_type"),
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey as order_id",
+        "case when o_orderkey % 53 <> 0 then o_orderpriority end as payment_type",
     )
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents as reviews; quality and tone give a score from 1 to 5."""
-    score = F.col("quality") * 2 + (1 - F.col("toxic")) * 2 + 1
-    return table(spark, folder, "labels").select(
-        F.col("doc_id").alias("order_id"), score.alias("review_score")
+    return table(spark, folder, "labels").selectExpr(
+        "doc_id as order_id", "quality * 2 + (1 - toxic) * 2 + 1 as review_score"
     )
 
 
 def review_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Reviews with their text and the source they are grouped by."""
-    texts = table(spark, folder, "documents").select(
-        F.col("doc_id").alias("order_id"),
-        F.col("source").alias("review_source"),
-        F.col("text").alias("review_comment_message"),
+    texts = table(spark, folder, "documents").selectExpr(
+        "doc_id as order_id", "source as review_source", "text as review_comment_message"
     )
     return reviews(spark, folder).join(texts, "order_id", "inner")
 
 
-def raw_tables(spark: SparkSession, folder: str, grain: str = "brand") -> dict[str, DataFrame]:
-    """The table registry for the star and everything after it."""
-    return {
-        "order_items": order_items(spark, folder),
-        "orders": orders(spark, folder),
-        "products": products(spark, folder, grain),
-        "category_translation": category_translation(spark, folder),
-        "customers": customers(spark, folder),
-        "sellers": sellers(spark, folder),
-        "payments": payments(spark, folder),
-        "reviews": reviews(spark, folder),
-    }
+BINDINGS = {
+    "order_items": order_items,
+    "orders": orders,
+    "products": products,
+    "category_translation": category_translation,
+    "customers": customers,
+    "sellers": sellers,
+    "payments": payments,
+    "reviews": reviews,
+}
+
+
+def raw_tables(
+    spark: SparkSession, folder: str, *names: str, grain: str = "brand"
+) -> dict[str, DataFrame]:
+    """The named raw tables, or all of them."""
+    tables = {}
+    for name in names or BINDINGS:
+        extra = {"grain": grain} if name == "products" else {}
+        tables[name] = BINDINGS[name](spark, folder, **extra)
+    return tables
