@@ -11,8 +11,8 @@ items as (
   select l_orderkey as order_id, l_partkey as product_id, l_suppkey as seller_id,
          l_shipdate as shipping_limit_date,
          case when l_partkey % 9 <> 4 then l_extendedprice end as price,
-         cast(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(18,2)) as double)
-           as freight_value
+         (cast(round(l_extendedprice * 100) as bigint) * cast(round(l_tax * 100) as bigint))::double
+           / 10000.0::double as freight_value
   from lineitem)"""
 
 ORDERS = """

@@ -119,14 +119,18 @@ def delay_boxplot(
 
 
 def _extent(counts: DataFrame, value: str) -> Column:
-    """Lowest and highest value, row count and mean of counted values, as one struct."""
-    weighted = F.sum(F.col(value).cast("double") * F.col("lines"))
+    """Lowest and highest value, row count and mean of counted values, as one struct.
+
+    Attach it as a column once and use its fields: every mention of a subquery
+    is another plan to optimize.
+    """
+    x = F.col(value).cast("double")
     return counts.agg(
         F.struct(
-            F.min(value).cast("double").alias("lo"),
-            F.max(value).cast("double").alias("hi"),
+            F.min(x).alias("lo"),
+            F.max(x).alias("hi"),
             F.sum("lines").cast("double").alias("n"),
-            (weighted / F.sum("lines")).alias("mean"),
+            (F.sum(x * F.col("lines")) / F.sum("lines")).alias("mean"),
         )
     ).scalar()
 
@@ -140,24 +144,24 @@ def histogram(counts: DataFrame, value: str, bins: int) -> DataFrame:
     unit wide around them.
     """
     extent = _extent(counts, value)
-    flat = extent["lo"] == extent["hi"]
-    low = F.when(flat, extent["lo"] - 0.5).otherwise(extent["lo"])
-    high = F.when(flat, extent["hi"] + 0.5).otherwise(extent["hi"])
+    pad = F.when(F.col("_e.lo") == F.col("_e.hi"), 0.5).otherwise(0.0)
+    low, width = F.col("_e.lo") - pad, F.col("_e.hi") - F.col("_e.lo") + pad * 2
     # Multiplied before dividing, so that whole numbers land on bin edges exactly.
-    position = F.floor((F.col(value).cast("double") - low) * float(bins) / (high - low))
+    position = F.floor((F.col(value).cast("double") - low) * float(bins) / width)
     filled = (
-        counts.groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
+        counts.select(value, "lines", extent.alias("_e"))
+        .groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.sum("lines").alias("_lines"))
     )
-    spine = counts.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    left = low + F.col("bin") * (high - low) / float(bins)
-    right = low + (F.col("bin") + 1) * (high - low) / float(bins)
+    spine = counts.sparkSession.range(bins).select(
+        F.col("id").cast("int").alias("bin"), extent.alias("_e")
+    )
     return (
         spine.join(filled, "bin", "left")
         .select(
             "bin",
-            left.alias("bin_start"),
-            right.alias("bin_end"),
+            (low + F.col("bin") * width / float(bins)).alias("bin_start"),
+            (low + (F.col("bin") + 1) * width / float(bins)).alias("bin_end"),
             F.coalesce("_lines", F.lit(0)).alias("lines"),
         )
         .orderBy("bin")
@@ -172,25 +176,40 @@ def kernel_density(counts: DataFrame, value: str, points: int = 200) -> DataFram
     fixed number of points, and partial sums leave one row per point and task
     to shuffle.
     """
-    extent = _extent(counts, value)
-    gap = F.col(value).cast("double") - extent["mean"]
-    variance = counts.agg(F.sum(F.col("lines") * gap * gap)).scalar() / (extent["n"] - 1.0)
-    bandwidth = F.sqrt(variance) * F.pow(extent["n"], F.lit(-0.2))
-    step = (extent["hi"] - extent["lo"]) / float(points - 1)
+    x = F.col(value).cast("double")
+    gap = x - F.col("_e.mean")
+    shape = (
+        counts.select(value, "lines", _extent(counts, value).alias("_e"))
+        .agg(F.any_value("_e").alias("_e"), F.sum(F.col("lines") * gap * gap).alias("_ss"))
+        .select(
+            F.struct(
+                "_e.lo",
+                "_e.n",
+                ((F.col("_e.hi") - F.col("_e.lo")) / float(points - 1)).alias("step"),
+                (
+                    F.sqrt(F.col("_ss") / (F.col("_e.n") - 1.0))
+                    * F.pow(F.col("_e.n"), F.lit(-0.2))
+                ).alias("bandwidth"),
+            )
+        )
+        .scalar()
+    )
     spread = counts.select(
-        F.col(value).cast("double").alias("_v"),
+        x.alias("_v"),
         "lines",
+        shape.alias("_s"),
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
     )
-    x = extent["lo"] + F.col("point") * step
-    z = (x - F.col("_v")) / bandwidth
-    scale = extent["n"] * bandwidth * math.sqrt(2.0 * math.pi)
-    summed = spread.groupBy("point").agg(
-        F.sum(F.col("lines") * F.exp(z * z * -0.5)).alias("_kernel_sum")
+    position = F.col("_s.lo") + F.col("point") * F.col("_s.step")
+    z = (position - F.col("_v")) / F.col("_s.bandwidth")
+    kernels = F.sum(F.col("lines") * F.exp(z * z * -0.5))
+    area = F.col("_s.n") * F.col("_s.bandwidth") * math.sqrt(2.0 * math.pi)
+    return (
+        spread.groupBy("point")
+        .agg(F.any_value("_s").alias("_s"), kernels.alias("_kernels"))
+        .select("point", position.alias("x"), (F.col("_kernels") / area).alias("density"))
+        .orderBy("point")
     )
-    return summed.select(
-        "point", x.alias("x"), (F.col("_kernel_sum") / scale).alias("density")
-    ).orderBy("point")
 
 
 def bootstrap_mean_interval(

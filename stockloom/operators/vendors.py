@@ -16,14 +16,9 @@ def reviewed_lines(staged: DataFrame, reviews: DataFrame) -> DataFrame:
     return staged.join(order_reviews(reviews), "order_id", "left")
 
 
-def vendor_risk(reviewed: DataFrame, quantile: float = 0.75, accuracy: int = 10000) -> DataFrame:
-    """Volume, mean seller days and mean score per seller; the risky ones are flagged.
-
-    A seller is at risk when volume and seller days are both at or above their
-    ``quantile`` over all sellers. The two limits come from mergeable sketches
-    and reach the rows as one value, so no task sees all sellers.
-    """
-    sellers = (
+def seller_summary(reviewed: DataFrame) -> DataFrame:
+    """Volume, mean seller days and mean score per seller."""
+    return (
         reviewed.where(F.col("seller_id").isNotNull())
         .groupBy("seller_id")
         .agg(
@@ -32,16 +27,31 @@ def vendor_risk(reviewed: DataFrame, quantile: float = 0.75, accuracy: int = 100
             F.avg("review_score").alias("mean_review"),
         )
     )
+
+
+def vendor_risk(sellers: DataFrame, quantile: float = 0.75, accuracy: int = 10000) -> DataFrame:
+    """Flags the risky sellers of a ``seller_summary``.
+
+    A seller is at risk when volume and seller days are both at or above their
+    ``quantile`` over all sellers. The two limits come from mergeable sketches,
+    exact below ``accuracy`` sellers, and reach the rows as one value, so no task
+    sees all sellers. ``sellers`` is read twice: pass a materialized table for
+    large data.
+    """
     limits = sellers.agg(
         F.struct(
             F.percentile_approx("lines", quantile, accuracy).alias("lines"),
             F.percentile_approx("mean_time_to_ship", quantile, accuracy).alias("ship"),
-            F.avg("mean_review").alias("review"),
         )
     ).scalar()
-    risky = (F.col("lines") >= limits["lines"]) & (F.col("mean_time_to_ship") >= limits["ship"])
-    return sellers.withColumn("at_risk", F.coalesce(risky, F.lit(False))).orderBy(
-        F.desc("at_risk"), F.desc("lines"), "seller_id"
+    risky = (F.col("lines") >= F.col("_limits.lines")) & (
+        F.col("mean_time_to_ship") >= F.col("_limits.ship")
+    )
+    return (
+        sellers.withColumn("_limits", limits)
+        .withColumn("at_risk", F.coalesce(risky, F.lit(False)))
+        .drop("_limits")
+        .orderBy(F.desc("at_risk"), F.desc("lines"), "seller_id")
     )
 
 

@@ -490,7 +490,8 @@ def _reviewed(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def vendor_risk(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(vendors.vendor_risk(_reviewed(spark, folder)))
+    sellers = materialize(vendors.seller_summary(_reviewed(spark, folder)))
+    return rounded(vendors.vendor_risk(sellers))
 
 
 @query
