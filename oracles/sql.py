@@ -607,4 +607,19 @@ ORACLES = {
                round(count(*) filter (where score <= 2) * 100.0::double / count(*), 6)
                  as dissatisfied_pct
         from r where review_source is not null group by 1""",
+    "stream_weekly_demand": f"""
+        with s as (
+          select event_type as product_category,
+                 date_trunc('week', ts - interval 1 day) + interval 7 day as w, *,
+                 case when event_id % 3 <> 0 then value end as freight
+          from events)
+        select product_category, cast(w as timestamp) as order_purchase_timestamp,
+               count(*) as quantity_sold,
+               round(sum(cast(round(value * {UNITS}) as bigint))::double / {UNITS}, 6) as revenue,
+               round(sum(cast(round(value * {UNITS}) as bigint))::double / {UNITS}
+                     / count(value), 6) as curr_avg_price,
+               round(sum(cast(round(freight * {UNITS}) as bigint))::double / {UNITS}
+                     / count(freight), 6) as curr_avg_freight,
+               min(ts) as first_sold_at
+        from s group by 1, 2""",
 }

@@ -75,7 +75,9 @@ def observed_weeks(weekly: DataFrame) -> DataFrame:
     return weekly.select(WEEK).distinct()
 
 
-def demand_grid(weekly: DataFrame, trim: bool = True) -> DataFrame:
+def demand_grid(
+    weekly: DataFrame, trim: bool = True, all_weeks: DataFrame | None = None
+) -> DataFrame:
     """Every category in every observed week; weeks without sales are 0 in every measure.
 
     ``trim`` keeps only rows whose label is not before the category's first
@@ -87,8 +89,10 @@ def demand_grid(weekly: DataFrame, trim: bool = True) -> DataFrame:
     feature windows reuse; no grid is built beside the data and joined to it.
     The list of observed weeks is one small value (about 52 a year). It is read
     from ``weekly`` a second time, so pass a materialized table for large data.
+    If ``weekly`` holds only some categories, ``all_weeks`` is the table of all.
     """
-    calendar_weeks = observed_weeks(weekly).agg(F.array_sort(F.collect_list(WEEK))).scalar()
+    source = weekly if all_weeks is None else all_weeks
+    calendar_weeks = observed_weeks(source).agg(F.array_sort(F.collect_list(WEEK))).scalar()
     from_start = by_week().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = weekly.select(
         CATEGORY,

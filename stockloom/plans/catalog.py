@@ -7,15 +7,19 @@ that results can be compared with another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.functions import calendar
+from stockloom.models import demand_models, seasonal, topics, validation
 from stockloom.operators import demand, evaluation, inventory, logistics, profile, star, vendors
 from stockloom.plans import features as stages
-from stockloom.session import materialize
+from stockloom.session import materialize, stage_folder
 from stockloom.sources import bench_tables as bind
+from stockloom.streaming import weekly
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -503,3 +507,76 @@ def ship_review_corr(spark: SparkSession, folder: str) -> DataFrame:
 def dissatisfaction_rate(spark: SparkSession, folder: str) -> DataFrame:
     scored = bind.review_texts(spark, folder)
     return rounded(vendors.dissatisfaction_rate(scored, "review_source"))
+
+
+# Fitted models
+
+
+def _scored_test(
+    spark: SparkSession, folder: str, fit: Callable[[DataFrame], PipelineModel]
+) -> DataFrame:
+    train, test = _split(materialize(_brand_features(spark, folder)))
+    return evaluation.results_table(fit(train).transform(test))
+
+
+@query
+def demand_model_tweedie(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored_test(spark, folder, demand_models.fit_tweedie_regression)
+
+
+@query
+def demand_model_gbt(spark: SparkSession, folder: str) -> DataFrame:
+    return _scored_test(spark, folder, partial(demand_models.fit_boosted_trees, rounds=20))
+
+
+@query
+def demand_model_boosted(spark: SparkSession, folder: str) -> DataFrame:
+    """Boosted trees under the Tweedie loss."""
+    fit = partial(demand_models.fit_boosted_tweedie, rounds=10, step=0.3)
+    return _scored_test(spark, folder, fit)
+
+
+@query
+def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
+    train, _ = _split(materialize(_brand_features(spark, folder)))
+    model = demand_models.fit_boosted_trees(train, rounds=10)
+    return demand_models.feature_importance(spark, model)
+
+
+@query
+def inventory_plan_model(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan with the forecast of the Tweedie regression."""
+    features = materialize(_brand_features(spark, folder))
+    model = demand_models.fit_tweedie_regression(_split(features)[0])
+    return inventory.reorder_plan(model.transform(demand.latest_week(features)))
+
+
+@query
+def cross_validation_scores(spark: SparkSession, folder: str) -> DataFrame:
+    features = materialize(_brand_features(spark, folder))
+    return validation.cross_validation_scores(features, demand_models.fit_tweedie_regression)
+
+
+@query
+def seasonal_baseline(spark: SparkSession, folder: str) -> DataFrame:
+    grid = stages.grid_stage(_lines(spark, folder, "products"))
+    return seasonal.seasonal_baseline(grid)
+
+
+@query
+def topic_terms(spark: SparkSession, folder: str) -> DataFrame:
+    texts = bind.table(spark, folder, "documents")
+    return topics.topic_terms(texts, "text", iterations=5)
+
+
+# Streaming
+
+
+@query
+def stream_weekly_demand(spark: SparkSession, folder: str) -> DataFrame:
+    """The events file as a stream of sales: event types are categories, users sell."""
+    lines = bind.event_stream(spark, folder)
+    stage = stage_folder(spark, "weekly-stream")
+    run = weekly.start_weekly_stream(lines, f"{stage}/weekly", f"{stage}/progress")
+    run.awaitTermination()
+    return rounded(weekly.current_weekly(spark, f"{stage}/weekly").drop("curr_active_sellers"))

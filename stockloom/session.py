@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,3 +54,9 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable storage, so that several readers can share it."""
     use_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stage_folder(spark: SparkSession, name: str) -> str:
+    """A new folder for tables written between two steps, beside the checkpoints."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4()}"

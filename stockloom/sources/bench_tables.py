@@ -166,6 +166,23 @@ def review_texts(spark: SparkSession, folder: str) -> DataFrame:
     return reviews(spark, folder).join(texts, "order_id", "inner")
 
 
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table as a stream of order lines."""
+    return (
+        spark.readStream.schema(SCHEMAS["events"])
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(folder)
+        .selectExpr(
+            "event_id as order_id",
+            "event_type as product_category",
+            "ts as order_purchase_timestamp",
+            "value as price",
+            "case when event_id % 3 <> 0 then value end as freight_value",
+            "user_id as seller_id",
+        )
+    )
+
+
 BINDINGS = {
     "order_items": order_items,
     "orders": orders,
