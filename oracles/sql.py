@@ -228,6 +228,20 @@ select cast(b as int) as bin,
 from range({bins}) as r(b) cross join ext left join filled on bin = b"""
 
 
+def density(source: str, value: str) -> str:
+    return f"""
+, v as (select {value}::double as v, count(*) as n from {source}
+        where {value} is not null group by 1),
+e as (select min(v) as lo, max(v) as hi, sum(n)::double as n from v),
+b as (select stddev_samp({value}) * power((select n from e), -0.2::double) as bw from {source}),
+g as (select i, lo + i * ((hi - lo) / 199.0::double) as x, e.n as total, bw
+      from range(200) as r(i), e, b)
+select cast(i as int) as point, round(x, 9) as x,
+       round(sum(v.n * exp(-0.5::double * ((x - v) / bw) * ((x - v) / bw)))
+             / (total * bw * sqrt(2 * pi())), 9) as density
+from g, v group by i, x, total, bw"""
+
+
 def plan(z: str) -> str:
     return (
         demand()
@@ -569,18 +583,10 @@ ORACLES = {
     "hist_seller_time": STAGED_ALL + histogram("valid", "time_to_ship", 20),
     "hist_carrier_time": STAGED_ALL + histogram("valid", "carrier_time", 40),
     "hist_seller_time_v1": STAGED_ALL + histogram("valid_total", "time_to_ship", 30),
-    "kde_carrier_time": STAGED_ALL
-    + """
-        , v as (select carrier_time::double as v, count(*) as n from valid group by 1),
-        e as (select min(v) as lo, max(v) as hi, sum(n)::double as n from v),
-        b as (select stddev_samp(carrier_time) * power((select n from e), -0.2::double) as bw
-              from valid),
-        g as (select i, lo + i * ((hi - lo) / 199.0::double) as x, e.n as total, bw
-              from range(200) as r(i), e, b)
-        select cast(i as int) as point, round(x, 9) as x,
-               round(sum(v.n * exp(-0.5::double * ((x - v) / bw) * ((x - v) / bw)))
-                     / (total * bw * sqrt(2 * pi())), 9) as density
-        from g, v group by i, x, total, bw""",
+    "hist_carrier_time_v1": STAGED_ALL + histogram("valid_total", "carrier_time", 30),
+    "kde_carrier_time": STAGED_ALL + density("valid", "carrier_time"),
+    "kde_seller_time": STAGED_ALL + density("valid", "time_to_ship"),
+    "kde_residuals": demand() + density("results", "error"),
     "vendor_risk": REVIEWED
     + """
         , s as (

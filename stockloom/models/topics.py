@@ -25,6 +25,7 @@ def topic_terms(
 
     Words are letters only, three or more, without the stop words of
     ``language``. The vocabulary holds the ``vocabulary`` most frequent words.
+    Every iteration goes over all texts.
     """
     words = RegexTokenizer(
         inputCol=text, outputCol="_words", pattern=r"\p{L}+", gaps=False, minTokenLength=3
@@ -37,7 +38,8 @@ def topic_terms(
     ).fit(kept_words)
     # Read once per iteration, so it is stored once.
     counted = materialize(counter.transform(kept_words).select("features"))
-    model = LDA(k=topics, maxIter=iterations, seed=seed, optimizer="online").fit(counted)
+    lda = LDA(k=topics, maxIter=iterations, seed=seed, optimizer="online", subsamplingRate=1.0)
+    model = lda.fit(counted)
     described = model.describeTopics(terms)
     ranked = described.select(
         "topic", F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("rank", "pair")

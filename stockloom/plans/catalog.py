@@ -296,7 +296,7 @@ def hist_residuals(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ts_cv_folds(spark: SparkSession, folder: str) -> DataFrame:
-    features = materialize(_brand_features(spark, folder))
+    features = materialize(_brand_features(spark, folder).select(WEEK, demand.TARGET))
     return evaluation.fold_summary(evaluation.fold_roles(features))
 
 
@@ -315,7 +315,9 @@ def forecast_routes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _plan(spark: SparkSession, folder: str, service_level: float) -> DataFrame:
-    latest = demand.latest_week(materialize(_fine_features(spark, folder)))
+    needed = (CATEGORY, WEEK, "price_lag_1", "sales_roll_mean_4", "sales_roll_std_4")
+    features = materialize(_fine_features(spark, folder).select(*needed))
+    latest = demand.latest_week(features)
     return inventory.reorder_plan(latest, "sales_roll_mean_4", service_level)
 
 
@@ -477,6 +479,27 @@ def hist_seller_time_v1(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(profile.histogram(counts, "time_to_ship", 30))
 
 
+@query
+def hist_carrier_time_v1(spark: SparkSession, folder: str) -> DataFrame:
+    valid = logistics.valid_logistics_by_total(_orders(spark, folder))
+    counts = _day_counts(valid, "carrier_time")
+    return rounded(profile.histogram(counts, "carrier_time", 30))
+
+
+@query
+def kde_seller_time(spark: SparkSession, folder: str) -> DataFrame:
+    valid = logistics.valid_logistics(_orders(spark, folder))
+    counts = _day_counts(valid, "time_to_ship")
+    return rounded(profile.kernel_density(counts, "time_to_ship"), 9)
+
+
+@query
+def kde_residuals(spark: SparkSession, folder: str) -> DataFrame:
+    results = _rolling_results(_fine_features(spark, folder))
+    counts = materialize(logistics.value_counts(results, "error"))
+    return rounded(profile.kernel_density(counts, "error"), 9)
+
+
 @query
 def kde_carrier_time(spark: SparkSession, folder: str) -> DataFrame:
     valid = logistics.valid_logistics(_orders(spark, folder))

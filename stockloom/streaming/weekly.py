@@ -103,6 +103,18 @@ def current_weekly(spark: SparkSession, weekly_path: str) -> DataFrame:
     return _latest(spark.read.parquet(weekly_path), (CATEGORY, WEEK))
 
 
+def compact_weekly(spark: SparkSession, weekly_path: str, new_path: str) -> None:
+    """Write the current weekly table as the single batch of a new folder.
+
+    Every trigger adds a batch and readers look at all of them, so do this from
+    time to time between triggers, and let the stream go on in the new folder.
+    """
+    stored = spark.read.parquet(weekly_path)
+    newest = stored.agg(F.max(BATCH)).first()[0]
+    current = _latest(stored, (CATEGORY, WEEK))
+    current.write.mode("overwrite").parquet(f"{new_path}/{BATCH}={newest}")
+
+
 def refresh_features(
     spark: SparkSession, weekly_path: str, features_path: str, batch: int
 ) -> None:

@@ -51,6 +51,9 @@ def test_triggers_add_up_to_the_batch_result(spark, paths):
     assert rows_of(weekly.current_weekly(spark, paths["weekly"])) == rows_of(batch)
     trigger(spark, paths)
     assert rows_of(weekly.current_weekly(spark, paths["weekly"])) == rows_of(batch)
+    weekly.compact_weekly(spark, paths["weekly"], paths["features"])
+    assert rows_of(weekly.current_weekly(spark, paths["features"])) == rows_of(batch)
+    assert spark.read.parquet(paths["features"]).count() == batch.count()
 
 
 def test_late_lines_within_the_limit_count_and_others_do_not(spark, paths):
