@@ -253,7 +253,7 @@ def plan(z: str) -> str:
   from latest),
 covered as (
   select *, ceil({z}::double * sqrt(2.0::double) * demand_std_dev) as safety_stock from stock)
-select product_category, predicted_weekly_demand, round(current_price, 6) as current_price,
+select product_category, predicted_weekly_demand, current_price,
        round(demand_std_dev, 6) as demand_std_dev, safety_stock,
        predicted_weekly_demand * 2 + safety_stock as reorder_point,
        'Maintain ~' || cast(cast(predicted_weekly_demand * 2 + safety_stock as bigint) as varchar)
@@ -299,12 +299,10 @@ ORACLES = {
         from prods left join translation using (product_category_name)""",
     "join_items_orders": f"""
         with {ITEMS}, {ORDERS}
-        select * replace (round(price, 6) as price, round(freight_value, 6) as freight_value)
-        from items join ords using (order_id)""",
+        select * from items join ords using (order_id)""",
     "master_table": f"""
         with {ITEMS}, {ORDERS}, {CUSTOMERS}, {products(False)}, {TRANSLATION}, {CATEGORIZED}
-        select i.* replace (round(price, 6) as price, round(freight_value, 6) as freight_value),
-               o.* exclude (order_id), c.* exclude (customer_id),
+        select i.*, o.* exclude (order_id), c.* exclude (customer_id),
                coalesce(product_category, 'unknown') as product_category, s_name as seller_name
         from items i join ords o using (order_id) left join custs c using (customer_id)
         left join categorized p using (product_id) left join supplier on s_suppkey = seller_id""",
@@ -324,18 +322,15 @@ ORACLES = {
     "weekly_demand": demand()
     + """
         select product_category, order_purchase_timestamp, quantity_sold,
-               round(revenue, 6) as revenue, round(curr_avg_price, 6) as curr_avg_price,
-               round(curr_avg_freight, 6) as curr_avg_freight, curr_active_sellers, first_sold_at
+               revenue, curr_avg_price, curr_avg_freight, curr_active_sellers, first_sold_at
         from weekly""",
     "observed_weeks": demand() + " select distinct order_purchase_timestamp from weekly",
     "demand_grid": demand()
     + """
-        select * replace (round(revenue, 6) as revenue, round(curr_avg_price, 6) as curr_avg_price,
-                          round(curr_avg_freight, 6) as curr_avg_freight) from grid""",
+        select * from grid""",
     "demand_grid_trimmed": demand()
     + """
-        select * replace (round(revenue, 6) as revenue, round(curr_avg_price, 6) as curr_avg_price,
-                          round(curr_avg_freight, 6) as curr_avg_freight) from trimmed""",
+        select * from trimmed""",
     "zombie_row_counts": demand()
     + """
         select count(*) as grid_rows,
@@ -344,13 +339,12 @@ ORACLES = {
         from grid""",
     "lagged_drivers": demand()
     + """
-        select product_category, order_purchase_timestamp, round(price_lag_1, 6) as price_lag_1,
-               round(freight_lag_1, 6) as freight_lag_1, sellers_lag_1 from lagged""",
+        select product_category, order_purchase_timestamp, price_lag_1, freight_lag_1, sellers_lag_1
+        from lagged""",
     "ffill_price": demand()
     + """
         select product_category, order_purchase_timestamp,
-               round(curr_avg_price, 6) as curr_avg_price, round(price_lag_1, 6) as price_lag_1
-        from lagged""",
+               curr_avg_price, price_lag_1 from lagged""",
     "calendar_features": demand()
     + """
         select distinct order_purchase_timestamp, week_of_year, month, year,
@@ -378,12 +372,11 @@ ORACLES = {
     "freight_ratio": demand()
     + """
         select product_category, order_purchase_timestamp,
-               round(freight_ratio, 6) as freight_ratio from wide""",
+               freight_ratio from wide""",
     "price_momentum": demand()
     + """
         select product_category, order_purchase_timestamp,
-               round(price_roll_mean_4, 6) as price_roll_mean_4,
-               round(price_momentum, 6) as price_momentum from wide""",
+               price_roll_mean_4, price_momentum from wide""",
     "sales_lags": demand()
     + """
         select product_category, order_purchase_timestamp, sales_lag_1, sales_lag_2, sales_lag_3,
@@ -396,12 +389,7 @@ ORACLES = {
     "features_full": demand()
     + """
         select * replace (
-          round(price_lag_1, 6) as price_lag_1, round(freight_lag_1, 6) as freight_lag_1,
           round(month_sin, 6) as month_sin, round(month_cos, 6) as month_cos,
-          round(freight_ratio, 6) as freight_ratio,
-          round(price_roll_mean_4, 6) as price_roll_mean_4,
-          round(price_momentum, 6) as price_momentum,
-          round(sales_roll_mean_4, 6) as sales_roll_mean_4,
           round(sales_roll_std_4, 6) as sales_roll_std_4) from features""",
     "time_split_counts": demand()
     + """
@@ -411,12 +399,7 @@ ORACLES = {
     "latest_week_snapshot": demand()
     + """
         select * replace (
-          round(price_lag_1, 6) as price_lag_1, round(freight_lag_1, 6) as freight_lag_1,
           round(month_sin, 6) as month_sin, round(month_cos, 6) as month_cos,
-          round(freight_ratio, 6) as freight_ratio,
-          round(price_roll_mean_4, 6) as price_roll_mean_4,
-          round(price_momentum, 6) as price_momentum,
-          round(sales_roll_mean_4, 6) as sales_roll_mean_4,
           round(sales_roll_std_4, 6) as sales_roll_std_4) from latest""",
     "forecast_metrics": demand() + metrics() + " from results",
     "wmape_by_category": demand(False)
@@ -560,7 +543,7 @@ ORACLES = {
         sums as (select m, sum(cast(round(price * {UNITS}) as bigint))::double / {UNITS} as r
                  from lines group by m)
         select cast(last_day(spine.m) as timestamp) as month_end,
-               round(coalesce(r, 0), 6) as revenue
+               coalesce(r, 0) as revenue
         from spine left join sums using (m)""",
     "weekday_hour_counts": """
         select dayname(ts) as day_of_week, cast(hour(ts) as int) as hour, count(*) as orders

@@ -75,6 +75,13 @@ def observed_weeks(weekly: DataFrame) -> DataFrame:
     return weekly.select(WEEK).distinct()
 
 
+def calendar_weeks(weekly: DataFrame) -> DataFrame:
+    """Every week from the first to the last. As ``all_weeks`` of the grid, lags follow the calendar."""
+    ends = weekly.agg(F.min(WEEK).alias("_first"), F.max(WEEK).alias("_last"))
+    week = F.make_dt_interval(F.lit(7))
+    return ends.select(F.explode(F.sequence("_first", "_last", week)).alias(WEEK))
+
+
 def demand_grid(
     weekly: DataFrame, trim: bool = True, all_weeks: DataFrame | None = None
 ) -> DataFrame:
@@ -89,7 +96,8 @@ def demand_grid(
     feature windows reuse; no grid is built beside the data and joined to it.
     The list of observed weeks is one small value (about 52 a year). It is read
     from ``weekly`` a second time, so pass a materialized table for large data.
-    If ``weekly`` holds only some categories, ``all_weeks`` is the table of all.
+    ``all_weeks`` gives other weeks: those of the whole table if ``weekly`` holds
+    only some categories, or ``calendar_weeks``.
     """
     source = weekly if all_weeks is None else all_weeks
     calendar_weeks = observed_weeks(source).agg(F.array_sort(F.collect_list(WEEK))).scalar()

@@ -32,16 +32,26 @@ def query(function: Query) -> Query:
     return function
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles; the order of columns stays."""
+def rounded(df: DataFrame, digits: int = 6, only: tuple[str, ...] | None = None) -> DataFrame:
+    """Round doubles, or the named ones; the order of columns stays.
+
+    Sums of whole money units and what follows from them by fixed steps are
+    exact on both sides and need no rounding.
+    """
     return df.selectExpr(
         *(
-            f"round(`{name}`, {digits}) as `{name}`" if kind == "double" else f"`{name}`"
+            f"round(`{name}`, {digits}) as `{name}`"
+            if kind == "double" and (only is None or name in only)
+            else f"`{name}`"
             for name, kind in df.dtypes
         )
     )
 
 
+# Feature columns that go through a root or a trigonometric function.
+INEXACT = ("month_sin", "month_cos", "sales_roll_std_4")
+
+
 def _lines(spark: SparkSession, folder: str, *include: str, grain: str = "brand") -> DataFrame:
     names = ["order_items", "orders", *include]
     if "products" in include:
@@ -127,12 +137,12 @@ def join_category_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def join_items_orders(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_lines(spark, folder))
+    return _lines(spark, folder)
 
 
 @query
 def master_table(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_lines(spark, folder, "products", "customers", "sellers"))
+    return _lines(spark, folder, "products", "customers", "sellers")
 
 
 @query
@@ -153,7 +163,7 @@ def first_sale_date(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def weekly_demand(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(demand.weekly_demand(_fine_lines(spark, folder)))
+    return demand.weekly_demand(_fine_lines(spark, folder))
 
 
 @query
@@ -163,12 +173,12 @@ def observed_weeks(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def demand_grid(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_fine_grid(spark, folder, trim=False))
+    return _fine_grid(spark, folder, trim=False)
 
 
 @query
 def demand_grid_trimmed(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_fine_grid(spark, folder))
+    return _fine_grid(spark, folder)
 
 
 @query
@@ -179,16 +189,14 @@ def zombie_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def lagged_drivers(spark: SparkSession, folder: str) -> DataFrame:
     lagged = demand.add_lagged_drivers(_fine_grid(spark, folder))
-    return rounded(
-        lagged.select(CATEGORY, WEEK, "price_lag_1", "freight_lag_1", "sellers_lag_1")
-    )
+    return lagged.select(CATEGORY, WEEK, "price_lag_1", "freight_lag_1", "sellers_lag_1")
 
 
 @query
 def ffill_price(spark: SparkSession, folder: str) -> DataFrame:
     """Known price per category after nulls are filled from the weeks before."""
     lagged = demand.add_lagged_drivers(_fine_grid(spark, folder))
-    return rounded(lagged.select(CATEGORY, WEEK, "curr_avg_price", "price_lag_1"))
+    return lagged.select(CATEGORY, WEEK, "curr_avg_price", "price_lag_1")
 
 
 @query
@@ -208,17 +216,15 @@ def weeks_to_event(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def freight_ratio(spark: SparkSession, folder: str) -> DataFrame:
     lagged = demand.add_lagged_drivers(_fine_grid(spark, folder))
-    return rounded(demand.add_freight_ratio(lagged).select(CATEGORY, WEEK, "freight_ratio"))
+    return demand.add_freight_ratio(lagged).select(CATEGORY, WEEK, "freight_ratio")
 
 
 @query
 def price_momentum(spark: SparkSession, folder: str) -> DataFrame:
     lagged = demand.add_lagged_drivers(_fine_grid(spark, folder))
-    return rounded(
-        demand.add_price_momentum(lagged).select(
+    return demand.add_price_momentum(lagged).select(
             CATEGORY, WEEK, "price_roll_mean_4", "price_momentum"
         )
-    )
 
 
 @query
@@ -235,7 +241,7 @@ def sales_rolling_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def features_full(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_fine_features(spark, folder))
+    return rounded(_fine_features(spark, folder), only=INEXACT)
 
 
 @query
@@ -252,7 +258,7 @@ def time_split_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def latest_week_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     features = materialize(_fine_features(spark, folder))
-    return rounded(demand.latest_week(features))
+    return rounded(demand.latest_week(features), only=INEXACT)
 
 
 # Evaluation and inventory, with the rolling-mean forecast in the model's place
@@ -323,17 +329,17 @@ def _plan(spark: SparkSession, folder: str, service_level: float) -> DataFrame:
 
 @query
 def inventory_plan(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_plan(spark, folder, 0.95))
+    return rounded(_plan(spark, folder, 0.95), only=("demand_std_dev",))
 
 
 @query
 def inventory_plan_z128(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_plan(spark, folder, 0.90))
+    return rounded(_plan(spark, folder, 0.90), only=("demand_std_dev",))
 
 
 @query
 def plan_top5(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_plan(spark, folder, 0.95).limit(5))
+    return rounded(_plan(spark, folder, 0.95).limit(5), only=("demand_std_dev",))
 
 
 # Deliveries
@@ -436,7 +442,7 @@ def city_delivery_normal_ci(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def monthly_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(profile.monthly_revenue(_lines(spark, folder)))
+    return profile.monthly_revenue(_lines(spark, folder))
 
 
 @query

@@ -61,6 +61,16 @@ def test_grid_zero_fills_only_absent_cells(spark):
     assert lagged["b", day("2018-01-29")].price_lag_1 == 4.0
 
 
+def test_calendar_weeks_fill_the_gaps(spark):
+    rows = [("1", "a", day("2018-01-02"), 2.0, 1.0, "s"), ("2", "a", day("2018-01-23"), 6.0, 1.0, "s")]
+    weekly = demand.weekly_demand(lines_of(spark, rows))
+    grid = demand.demand_grid(weekly, all_weeks=demand.calendar_weeks(weekly))
+    found = by_key(demand.add_sales_lags(grid, (1, 3)))
+    assert len(found) == 4
+    last = found["a", day("2018-01-29")]
+    assert (last.sales_lag_1, last.sales_lag_3) == (0.0, 1.0)
+
+
 def test_first_sale_late_on_a_monday_trims_its_own_week(spark):
     rows = [
         ("1", "a", day("2018-01-01T10:00"), 1.0, 1.0, "s"),
