@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from datetime import timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,6 +14,9 @@ TIMESTAMP_LAYOUT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 # Weekday names in report order.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
+# More days than there are between the years 1 and 9999.
+BEYOND_ANY_GAP = 4_000_000
+
 MICROS_PER_DAY = 24 * 60 * 60 * 1_000_000
 
 
@@ -35,9 +39,14 @@ def month_start(ts: Column) -> Column:
 
 
 def whole_days(start: Column, end: Column) -> Column:
-    """Days from ``start`` to ``end``, rounded down: half a day early is -1."""
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    return F.floor(micros / F.lit(MICROS_PER_DAY))
+    """Days from ``start`` to ``end``, rounded down: half a day early is -1.
+
+    Clock times are subtracted as they are, without any time zone. The gap is
+    moved to the positive side before its days are taken, since those are cut
+    toward zero.
+    """
+    moved = (end - start) + F.lit(timedelta(days=BEYOND_ANY_GAP))
+    return (F.extract(F.lit("DAY"), moved) - BEYOND_ANY_GAP).cast("bigint")
 
 
 def iso_week(ts: Column) -> Column:

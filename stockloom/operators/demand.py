@@ -269,6 +269,12 @@ MODEL_FEATURES = (
 )
 
 
+def with_part(features: DataFrame, year: int = 2018, month: int = 6) -> DataFrame:
+    """``part``: train before the cut-off month, test from it to the end of its year, else null."""
+    part = F.when(_before(year, month), "train").when(_from(year, month), "test")
+    return features.withColumn("part", part)
+
+
 def train_rows(features: DataFrame, year: int = 2018, month: int = 6) -> DataFrame:
     """Rows before the cut-off month."""
     return features.where(_before(year, month))
@@ -276,13 +282,17 @@ def train_rows(features: DataFrame, year: int = 2018, month: int = 6) -> DataFra
 
 def test_rows(features: DataFrame, year: int = 2018, month: int = 6) -> DataFrame:
     """Rows of the cut-off year from that month on; later years are in neither part."""
-    return features.where((F.col("year") == year) & (F.col("month") >= month))
+    return features.where(_from(year, month))
 
 
 def _before(year: int, month: int) -> Column:
     return (F.col("year") < year) | ((F.col("year") == year) & (F.col("month") < month))
 
 
+def _from(year: int, month: int) -> Column:
+    return (F.col("year") == year) & (F.col("month") >= month)
+
+
 def latest_week(features: DataFrame) -> DataFrame:
     """Rows of the last week in the whole table."""
     return features.where(F.col(WEEK) == features.agg(F.max(WEEK)).scalar())

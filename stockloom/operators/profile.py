@@ -59,7 +59,7 @@ def weekday_hour_pivot(
     counts = weekday_hour_counts(df, ts, weight)
     wide = counts.groupBy("day_of_week").pivot("hour", list(range(24))).agg(F.sum("orders"))
     wide = wide.withColumnsRenamed({str(h): f"h{h:02d}" for h in range(24)})
-    days = df.sparkSession.range(1, 8).select(
+    days = df.sparkSession.range(1, 8, 1, 1).select(
         F.col("id").cast("int").alias("day_index"),
         F.element_at(
             F.array(*(F.lit(day) for day in calendar.WEEKDAYS)), F.col("id").cast("int")
@@ -153,7 +153,7 @@ def histogram(counts: DataFrame, value: str, bins: int) -> DataFrame:
         .groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("bin"))
         .agg(F.sum("lines").alias("_lines"))
     )
-    spine = counts.sparkSession.range(bins).select(
+    spine = counts.sparkSession.range(0, bins, 1, 1).select(
         F.col("id").cast("int").alias("bin"), extent.alias("_e")
     )
     return (

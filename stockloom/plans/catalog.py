@@ -246,12 +246,13 @@ def features_full(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def time_split_counts(spark: SparkSession, folder: str) -> DataFrame:
-    train, test = _split(_fine_features(spark, folder))
-    parts = train.withColumn("part", F.lit("train")).unionByName(
-        test.withColumn("part", F.lit("test"))
+    features = demand.with_part(
+        _fine_features(spark, folder), bind.CUTOFF_YEAR, bind.CUTOFF_MONTH
     )
-    return parts.groupBy("part").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(demand.TARGET).alias("units")
+    return (
+        features.where(F.col("part").isNotNull())
+        .groupBy("part")
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(demand.TARGET).alias("units"))
     )
 
 

@@ -73,34 +73,29 @@ def order_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders with purchase hours and the later stages of delivery."""
-    return (
-        table(spark, folder, "orders")
-        .selectExpr(
-            "*",
-            "o_orderdate + make_dt_interval(0, cast(o_orderkey * 7 % 24 as int)) as bought",
-        )
-        .selectExpr(
-            "*",
-            "case when o_orderkey % 97 <> 0"
-            " then bought + make_dt_interval(0, cast(o_custkey % 36 as int)) end as approved",
-        )
-        .selectExpr(
-            "*",
-            "approved + make_dt_interval(cast(o_custkey % 40 - 2 as int),"
-            " cast(o_orderkey % 5 * 5 as int)) as handed",
-        )
-        .selectExpr(
-            "o_orderkey as order_id",
-            "o_custkey as customer_id",
-            "bought as order_purchase_timestamp",
-            "approved as order_approved_at",
-            "handed as order_delivered_carrier_date",
-            "case when o_orderstatus <> 'P' then handed + make_dt_interval("
-            "cast(o_orderkey % 70 - 3 as int), cast(o_orderkey % 7 * 5 as int)) end"
-            " as order_delivered_customer_date",
-            "o_orderdate + interval '30' day as order_estimated_delivery_date",
-        )
+    """Orders with purchase hours and the later stages of delivery.
+
+    Each stage is the order date plus a whole number of hours, so that no stage
+    repeats the arithmetic of the one before.
+    """
+    bought = "o_orderkey * 7 % 24"
+    approved = f"{bought} + o_custkey % 36"
+    handed = f"{approved} + (o_custkey % 40 - 2) * 24 + o_orderkey % 5 * 5"
+    delivered = f"{handed} + (o_orderkey % 70 - 3) * 24 + o_orderkey % 7 * 5"
+
+    def at(hours: str) -> str:
+        return f"o_orderdate + cast({hours} as int) * interval '1' hour"
+
+    approved_only = "case when o_orderkey % 97 <> 0 then"
+    delivered_only = "case when o_orderkey % 97 <> 0 and o_orderstatus <> 'P' then"
+    return table(spark, folder, "orders").selectExpr(
+        "o_orderkey as order_id",
+        "o_custkey as customer_id",
+        f"{at(bought)} as order_purchase_timestamp",
+        f"{approved_only} {at(approved)} end as order_approved_at",
+        f"{approved_only} {at(handed)} end as order_delivered_carrier_date",
+        f"{delivered_only} {at(delivered)} end as order_delivered_customer_date",
+        "o_orderdate + interval '30' day as order_estimated_delivery_date",
     )
 
 
@@ -116,7 +111,7 @@ def products(spark: SparkSession, folder: str, grain: str = "brand") -> DataFram
 
 def category_translation(spark: SparkSession, folder: str) -> DataFrame:
     """Readable names for brands 1 to 15; the others have none."""
-    return spark.range(1, 16).selectExpr(
+    return spark.range(1, 16, 1, 1).selectExpr(
         "concat('Brand#', id) as product_category_name",
         "concat('brand ', id) as product_category_name_english",
     )

@@ -79,5 +79,8 @@ def test_results_do_not_depend_on_the_session_time_zone(spark, zone):
         assert values(df, calendar.weekday_name(F.col("ts"))) == ["Sunday", "Monday"]
         texts = values(df.withColumn("t", calendar.lenient_timestamp(F.col("text"))), "t")
         assert texts == [datetime(2017, 10, 15, 0, 30), datetime(2018, 1, 1, 23, 59, 59)]
+        # The first clock time was skipped by the change to summer time in one of the zones.
+        later = F.lit("2017-10-16 00:30:00").cast("timestamp_ntz")
+        assert values(df, calendar.whole_days(F.col("ts"), later)) == [1, -78]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)

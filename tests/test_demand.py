@@ -218,6 +218,8 @@ def test_split_leaves_later_years_out(spark):
     )
     assert demand.train_rows(df).count() == 2
     assert demand.test_rows(df).count() == 2
+    parts = [row.part for row in demand.with_part(df).orderBy("year", "month").collect()]
+    assert parts == ["train", "train", "test", "test", None]
 
 
 def test_grid_plan_has_one_shuffle_by_category_and_no_product(spark):
