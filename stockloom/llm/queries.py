@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import decontaminate, line_frequency, partenum, pii
+from stockloom.llm import decontaminate, line_frequency, partenum, pii, sentencepiece_bpe
 from stockloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_bpe.digests(table(spark, folder, "documents"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_frequency.quality_verdicts(table(spark, folder, "documents"))
