@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import decontaminate, line_frequency, partenum, pii, sentencepiece_bpe
-from stockloom.llm.common import table
+from stockloom.llm import (
+    decontaminate,
+    line_frequency,
+    partenum,
+    pii,
+    quality_qda,
+    secret_scan,
+    sentencepiece_bpe,
+    toxicity,
+    url_templates,
+    warc,
+)
+from stockloom.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -18,6 +29,51 @@ def query(function):
     return function
 
 
+# The longest rule that fits wins.
+URL_RULES = {
+    "net/": "block",
+    "example.net/en/": "allow",
+    "example.com/de/": "block",
+    "org/fr/": "allow",
+}
+
+
+def _learnable(spark: SparkSession, folder: str, label: str) -> DataFrame:
+    """Texts with their label, without held-out documents."""
+    labels = table(spark, folder, "labels").filter(~held_out())
+    labels = labels.select("doc_id", F.col(label).alias("label"))
+    return table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
+
+
+@query
+def op1_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """A page shows the document whose number ends its path; bad documents make bad pages."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    _, path = url_templates.split_url(F.col("url"))
+    number = F.regexp_extract(path, "([0-9]{1,18})[^0-9/]*/?$", 1)
+    shown = pages.select("page_id", number.alias("number")).filter("number <> ''").select(
+        "page_id", F.col("number").cast("bigint").alias("doc_id")
+    )
+    labels = table(spark, folder, "labels").selectExpr(
+        "doc_id", "cast(quality = 0 or toxic = 1 as int) as bad"
+    )
+    return url_templates.url_verdicts(
+        pages, shown.join(labels, "doc_id").select("page_id", "bad"), URL_RULES
+    )
+
+
+@query
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    model = quality_qda.fit(_learnable(spark, folder, "quality"))
+    scores = quality_qda.scored(table(spark, folder, "documents"), model)
+    return scores.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     spans = pii.personal_spans(table(spark, folder, "documents"))
@@ -43,6 +99,31 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return line_frequency.quality_verdicts(table(spark, folder, "documents"))
 
 
+@query
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.secrets(table(spark, folder, "documents"))
+
+
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    lexicon = toxicity.learn(_learnable(spark, folder, "toxic"))
+    scores = toxicity.scored(table(spark, folder, "documents"), lexicon)
+    return scores.select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    found = warc.archived(spark, table(spark, folder, "pages"))
+    return found.filter("reason is null").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 @query
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return partenum.jaccard_components(table(spark, folder, "documents"), words=3, percent=90)
