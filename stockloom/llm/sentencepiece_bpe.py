@@ -13,6 +13,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -28,7 +29,7 @@ codecs.register_error("sentencepiece", lambda e: ("\ufffd" * (e.end - e.start),
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 # Parts that a task remembers; the memory starts anew beyond that.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
 # Ids that the remembered parts may hold, for very long parts.
 REMEMBERED_IDS = 8_000_000
 
@@ -54,6 +55,10 @@ class Model:
             raise ValueError("a piece reaches across a space")
         self.cut_lines = not any("\n" in p for p in self.ids)
         self.scores = np.array([self.library.get_score(i) for i in range(size)])
+        self.char_ids = np.full(0x110000, -1, dtype=np.int64)
+        for piece, i in self.ids.items():
+            if len(piece) == 1:
+                self.char_ids[ord(piece)] = i
         self._pairs(size)
         texts = [
             b"" if special[i]
@@ -83,22 +88,14 @@ class Model:
         escaped = MARK + text.replace(" ", MARK)
         return (_LINES if self.cut_lines else _SPACES).findall(escaped)
 
-    def merge(self, parts: list[str]) -> list[np.ndarray]:
-        """Ids of each part, by the agenda of pairs."""
-        symbols, lengths = [], []
-        strange: list[str] = []
-        for part in parts:
-            own = []
-            for char in part:
-                i = self.ids.get(char)
-                if i is None:
-                    strange.append(char)
-                    i = -len(strange)
-                own.append(i)
-            symbols.extend(own)
-            lengths.append(len(own))
-        symbol = np.array(symbols, dtype=np.int64)
-        owner = np.repeat(np.arange(len(parts)), lengths)
+    def merge(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all parts one after the other, and their number per part, by the agenda."""
+        points = np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32)
+        owner = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
+        symbol = self.char_ids[points]
+        # Characters that are no piece never merge; they keep their code point.
+        strange = symbol < 0
+        symbol[strange] = -1 - points[strange].astype(np.int64)
         done_symbols, done_owners = [], []
         while len(symbol) > 1:
             merged, score = self._pair_scores(symbol, owner)
@@ -126,10 +123,7 @@ class Model:
         owner = np.concatenate([*done_owners, owner])
         order = np.argsort(owner, kind="stable")
         symbol, owner = symbol[order], owner[order]
-        bounds = np.searchsorted(owner, np.arange(len(parts) + 1))
-        return [
-            self._with_bytes(symbol[bounds[i] : bounds[i + 1]], strange) for i in range(len(parts))
-        ]
+        return self._with_bytes(symbol, owner, len(parts))
 
     def _pair_scores(self, symbol: np.ndarray, owner: np.ndarray):
         left, right = symbol[:-1], symbol[1:]
@@ -141,27 +135,28 @@ class Model:
         merged = self.pair_ids[at]
         return merged, np.where(known, self.scores[merged], -np.inf)
 
-    def _with_bytes(self, symbols: np.ndarray, strange: list[str]) -> np.ndarray:
-        if len(symbols) == 0 or symbols.min() >= 0:
-            return symbols.astype(np.int32)
-        out: list[int] = []
-        for i in symbols.tolist():
-            if i >= 0:
-                out.append(i)
-            else:
-                out.extend(self.byte_ids[list(strange[-i - 1].encode())].tolist())
-        return np.array(out, dtype=np.int32)
-
-    def check(self, parts: list[str], found: list[np.ndarray]) -> None:
+    def _with_bytes(self, symbol: np.ndarray, owner: np.ndarray, count: int):
+        """Strange characters become the ids of their bytes."""
+        strange = np.flatnonzero(symbol < 0)
+        spelled = [chr(-1 - i).encode() for i in symbol[strange].tolist()]
+        widths = np.ones(len(symbol), dtype=np.int64)
+        widths[strange] = [len(s) for s in spelled]
+        ids = np.repeat(symbol, widths)
+        ids[ids < 0] = self.byte_ids[np.frombuffer(b"".join(spelled), dtype=np.uint8)]
+        lengths = np.bincount(np.repeat(owner, widths), minlength=count)
+        return ids.astype(np.int32), lengths
+
+    def check(self, parts: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         """Raises if the library encodes one of the parts otherwise.
 
         A line break before the part keeps it free of the mark that the library puts first.
         """
-        lead = self.library.encode("\n")
+        lead = len(self.library.encode("\n"))
         expected = self.library.encode(["\n" + part for part in parts], num_threads=1)
-        for part, ids, own in zip(parts, expected, found, strict=True):
-            if ids[len(lead) :] != own.tolist():
-                raise ValueError(f"the library encodes {part[:80]!r} otherwise")
+        sizes = np.fromiter(map(len, expected), dtype=np.int64, count=len(parts)) - lead
+        flat = np.fromiter(chain.from_iterable(e[lead:] for e in expected), dtype=np.int32)
+        if not (np.array_equal(sizes, lengths) and np.array_equal(flat, ids)):
+            raise ValueError("the library encodes a part otherwise than the agenda")
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """UTF-8 bytes of the decoded ids, without the leading space that encoding adds."""
@@ -200,30 +195,25 @@ class Encoder:
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
-        self.flat: list[np.ndarray] = [np.zeros(0, dtype=np.int32)]
-        self.held = 0
-        self.lengths: list[int] = []
+        self.flat = np.zeros(0, dtype=np.int32)
+        self.bounds = np.zeros(1, dtype=np.int64)
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         cut = [self.model.parts(text or "") for text in texts]
-        if len(self.places) > REMEMBERED or self.held > REMEMBERED_IDS:
+        if len(self.places) > REMEMBERED or len(self.flat) > REMEMBERED_IDS:
             self.forget()
         places = self.places
         new = list(dict.fromkeys(p for parts in cut for p in parts if p not in places))
         if new:
-            found = self.model.merge(new)
-            self.model.check(new, found)
-            for part, ids in zip(new, found, strict=True):
-                places[part] = len(self.lengths)
-                self.lengths.append(len(ids))
-            self.flat = [np.concatenate([*self.flat, *found])]
-            self.held = len(self.flat[0])
-        flat = self.flat[0]
-        bounds = np.cumsum([0, *self.lengths])
+            ids, lengths = self.model.merge(new)
+            self.model.check(new, ids, lengths)
+            places.update(zip(new, range(len(places), len(places) + len(new)), strict=True))
+            self.flat = np.concatenate([self.flat, ids])
+            self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(lengths)])
         out = []
         for parts in cut:
-            at = np.fromiter((places[p] for p in parts), dtype=np.int64, count=len(parts))
-            out.append(_gather(at, flat, bounds))
+            at = np.fromiter(map(places.__getitem__, parts), dtype=np.int64, count=len(parts))
+            out.append(_gather(at, self.flat, self.bounds))
         return out
 
 

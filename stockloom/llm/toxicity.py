@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from stockloom.llm.words import slices
 
 # Labelled rows that the lexicon and the curve are fitted on, at most about so many.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 40_000
 # An entry is learned if so many toxic documents have it and its log odds reach MIN_WEIGHT.
-MIN_DOCUMENTS = 8
+MIN_DOCUMENTS = 6
 MIN_WEIGHT = 3.0
 PREFIXES = (4, 5, 6, 7)
 # Words that are added to a text's length, so that one hit in a few words is no certainty.
