@@ -190,6 +190,8 @@ def _parse(data: bytes | bytearray, more=None) -> tuple[dict[str, str], bytes, i
         if not colon:
             raise Broken("a header line without a colon")
         headers[name.strip().lower().decode("ascii", "replace")] = value.strip().decode("utf-8", "replace")
+    if not {"warc-type", "warc-record-id"} <= headers.keys():
+        raise Broken("no type or no id")
     if not re.fullmatch(r"[0-9]{1,18}", headers.get("content-length", "")):
         raise Broken("no content length")
     first = end + 4
@@ -280,7 +282,7 @@ def _next_start(window: Window) -> None:
             window.skip(len(window.data))
             return
         window.skip(len(window.data) - keep)
-        first = 0 if keep < 16 else 0
+        first = 0
         window.fill(keep + READ)
 
 
