@@ -13,6 +13,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -28,6 +29,8 @@ codecs.register_error("sentencepiece", lambda e: ("\ufffd" * (e.end - e.start),
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
+# Characters of a part that is merged by itself.
+LONG = 48
 # Parts that a task remembers; the memory starts anew beyond that.
 REMEMBERED = 600_000
 # Ids that the remembered parts may hold, for very long parts.
@@ -78,6 +81,7 @@ class Model:
                 if left is not None and right is not None:
                     found[left * size + right] = i
         self.size = size
+        self.pair_map = found
         self.pair_keys = np.array(sorted(found), dtype=np.int64)
         self.pair_ids = np.array([found[k] for k in sorted(found)], dtype=np.int64)
 
@@ -88,8 +92,40 @@ class Model:
         escaped = MARK + text.replace(" ", MARK)
         return (_LINES if self.cut_lines else _SPACES).findall(escaped)
 
+    def agenda(self, symbols: list[int]) -> list[int]:
+        """Merges of one long part: a heap of pairs by score, then place; stale ones are skipped."""
+        count = len(symbols)
+        before, after = list(range(-1, count - 1)), list(range(1, count + 1))
+        heap: list[tuple[float, int, int, int]] = []
+
+        def push(left: int, right: int) -> None:
+            if left >= 0 and right < count and symbols[left] >= 0 and symbols[right] >= 0:
+                merged = self.pair_map.get(symbols[left] * self.size + symbols[right])
+                if merged is not None:
+                    heappush(heap, (-self.scores[merged], left, symbols[left], symbols[right]))
+
+        for left in range(count - 1):
+            push(left, left + 1)
+        gone = [False] * count
+        while heap:
+            _, left, first, second = heappop(heap)
+            right = after[left]
+            if gone[left] or right >= count or (symbols[left], symbols[right]) != (first, second):
+                continue
+            symbols[left] = self.pair_map[first * self.size + second]
+            gone[right] = True
+            after[left] = after[right]
+            if after[left] < count:
+                before[after[left]] = left
+            push(before[left], left)
+            push(left, after[left])
+        return [s for s, out in zip(symbols, gone, strict=True) if not out]
+
     def merge(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all parts one after the other, and their number per part, by the agenda."""
+        """Ids of all parts one after the other, and their number per part, by the agenda.
+
+        Short parts take their steps side by side, one merge per part and round.
+        """
         points = np.frombuffer("".join(parts).encode("utf-32-le"), dtype=np.uint32)
         owner = np.repeat(np.arange(len(parts)), [len(part) for part in parts])
         symbol = self.char_ids[points]
@@ -97,6 +133,15 @@ class Model:
         strange = symbol < 0
         symbol[strange] = -1 - points[strange].astype(np.int64)
         done_symbols, done_owners = [], []
+        sizes = np.bincount(owner, minlength=len(parts))
+        ends = np.cumsum(sizes)
+        for number in np.flatnonzero(sizes > LONG).tolist():
+            own = symbol[ends[number] - sizes[number] : ends[number]]
+            merged = np.array(self.agenda(own.tolist()), dtype=np.int64)
+            done_symbols.append(merged)
+            done_owners.append(np.full(len(merged), number))
+        short = sizes[owner] <= LONG
+        symbol, owner = symbol[short], owner[short]
         while len(symbol) > 1:
             merged, score = self._pair_scores(symbol, owner)
             best = np.full(len(parts), -np.inf)

@@ -1,7 +1,8 @@
 """URL filter: rules first, then a tree of path templates per host, judged by labels.
 
 Segments with digits are variable by their form. Level by level, segments that are rare
-among many, or whose labels do not differ from their siblings', become one wildcard branch.
+among many, or whose labels do not differ from their siblings', become one wildcard branch
+``*``; those that are clearly better than their siblings become another, ``{low}``.
 A template's share of bad pages is smoothed towards its parent's, up to the host and all
 hosts; templates above a limit are rejected.
 """
@@ -91,15 +92,18 @@ def _level(tree: DataFrame, depth: int, settings: Settings) -> DataFrame:
     )
     rest = "greatest(all_labels - labels, 1)"
     pooled = "(all_bad + 1) / (all_labels + 2)"
-    difference = f"abs((bad + 0.5) / (labels + 1) - (all_bad - bad + 0.5) / (all_labels - labels + 1))"
+    difference = "((bad + 0.5) / (labels + 1) - (all_bad - bad + 0.5) / (all_labels - labels + 1))"
     error = f"sqrt({pooled} * (1 - {pooled}) * (1 / labels + 1 / {rest}))"
     rare = f"(siblings > {settings.children} and n < {settings.share} * all_n)"
-    similar = f"(labels < {settings.labels} or {difference} < {settings.z} * {error})"
+    similar = f"(labels < {settings.labels} or abs({difference}) < {settings.z} * {error})"
     tokens = children.join(parents, ["host", "prefix"]).select(
         "host",
         "prefix",
         "segment",
-        F.expr(f"if(siblings > 1 and ({rare} or {similar}), '*', segment)").alias("token"),
+        F.expr(
+            f"case when siblings = 1 then segment when {rare} or {similar} then '*'"
+            f" when {difference} < 0 then '{{low}}' else segment end"
+        ).alias("token"),
     )
     grown = tree.join(tokens, ["host", "prefix", "segment"], "left").withColumn(
         "prefix", F.expr("if(token is null, prefix, concat(prefix, '/', token))")
