@@ -90,7 +90,10 @@ viewed as (select * from staged where delay_days > -20 and delay_days < 20)"""
 
 STAGED_ALL = f"with {ITEMS}, {ORDERS}, {CUSTOMERS}, {STAGED}"
 
-UNITS = "10000.0::double"
+def money(column: str) -> str:
+    """A decimal sum as the nearest double; casting the decimal itself rounds twice."""
+    return f"sum({column}::decimal(28, 10))::varchar::double"
+
 
 WEEKLY = f"""
 sold as (
@@ -101,10 +104,10 @@ weekly as (
   select coalesce(product_category, 'unknown') as product_category,
          week as order_purchase_timestamp,
          count(order_id) as quantity_sold,
-         coalesce(sum(cast(round(price * {UNITS}) as bigint))::double / {UNITS}, 0) as revenue,
-         sum(cast(round(price * {UNITS}) as bigint))::double / {UNITS}
+         coalesce({money('price')}, 0) as revenue,
+         {money('price')}
            / nullif(count(price), 0) as curr_avg_price,
-         sum(cast(round(freight_value * {UNITS}) as bigint))::double / {UNITS}
+         {money('freight_value')}
            / nullif(count(freight_value), 0) as curr_avg_freight,
          count(distinct seller_id) as curr_active_sellers,
          min(sold.order_purchase_timestamp) as first_sold_at
@@ -189,7 +192,7 @@ features as (
   where curr_avg_price is not null and curr_avg_freight is not null
     and sales_lag_8 is not null and price_roll_mean_4 is not null
     and sales_roll_std_4 is not null),
-test as (select * from features where year = 2001 and month >= 1),
+test as (select * from features where year = 2000 and month >= 6),
 results as (
   select order_purchase_timestamp as date, product_category as category,
          quantity_sold as actual, sales_roll_mean_4 as predicted,
@@ -394,7 +397,7 @@ ORACLES = {
     "time_split_counts": demand()
     + """
         select 'train' as part, count(*) as rows, sum(quantity_sold)::bigint as units
-        from features where year < 2001
+        from features where year < 2000 or (year = 2000 and month < 6)
         union all select 'test', count(*), sum(quantity_sold)::bigint from test""",
     "latest_week_snapshot": demand()
     + """
@@ -540,7 +543,7 @@ ORACLES = {
                   from items join ords using (order_id)),
         spine as (select unnest(generate_series((select min(m) from lines)::timestamp,
                     (select max(m) from lines)::timestamp, interval 1 month))::date as m),
-        sums as (select m, sum(cast(round(price * {UNITS}) as bigint))::double / {UNITS} as r
+        sums as (select m, {money('price')} as r
                  from lines group by m)
         select cast(last_day(spine.m) as timestamp) as month_end,
                coalesce(r, 0) as revenue
@@ -604,10 +607,10 @@ ORACLES = {
           from events)
         select product_category, cast(w as timestamp) as order_purchase_timestamp,
                count(*) as quantity_sold,
-               round(sum(cast(round(value * {UNITS}) as bigint))::double / {UNITS}, 6) as revenue,
-               round(sum(cast(round(value * {UNITS}) as bigint))::double / {UNITS}
+               round({money('value')}, 6) as revenue,
+               round({money('value')}
                      / count(value), 6) as curr_avg_price,
-               round(sum(cast(round(freight * {UNITS}) as bigint))::double / {UNITS}
+               round({money('freight')}
                      / count(freight), 6) as curr_avg_freight,
                min(ts) as first_sold_at
         from s group by 1, 2""",

@@ -8,14 +8,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_sum(value: Column, scale: int) -> Column:
-    """Sum of money values with at most ``scale`` decimals, as a double.
+def money(value: Column) -> Column:
+    """A money value as a decimal of ten places; NaN and infinities are null."""
+    return value.try_cast("decimal(28,10)")
 
-    The sum runs over whole 10^-scale units, so it does not depend on the order
-    of rows or on how often a lost task is repeated. Null when all values are.
+
+def exact_sum(value: Column) -> Column:
+    """Sum of money values as a double; null when all are null or no number.
+
+    Decimals are summed, so the result does not depend on the order of rows or on
+    how often a lost task is repeated.
     """
-    unit = float(10**scale)
-    return F.sum(F.rint(value * F.lit(unit)).cast("bigint")).cast("double") / F.lit(unit)
+    return F.sum(money(value)).cast("double")
 
 
 def ratio_or(numerator: Column, denominator: Column, fallback: float) -> Column:

@@ -30,26 +30,19 @@ SCALED_FEATURES = tuple(
     if name.startswith(("price_lag", "price_roll", "freight_lag", "sellers", "sales"))
 )
 
-# Above this many categories a category becomes one of HASH_BUCKETS codes.
-INDEX_LIMIT = 1000
-HASH_BUCKETS = 256
-
 TWEEDIE_POWER = 1.1
 CODE = "category_code"
 
 
-def category_stage(train: DataFrame) -> tuple[StringIndexer | SQLTransformer, int]:
+def category_stage(train: DataFrame) -> tuple[StringIndexer, int]:
     """How to turn a category into a number, and how many numbers there can be.
 
-    Few categories are indexed one by one. The index is a list on the driver, so
-    a large catalogue is hashed instead; that needs no list.
+    Every category has a number of its own, whatever their number; unseen ones share one
+    more. The index is a list of the catalogue's category names on the driver.
     """
     categories = train.select(CATEGORY).distinct().count()
-    if categories <= INDEX_LIMIT:
-        indexer = StringIndexer(inputCol=CATEGORY, outputCol=CODE, handleInvalid="keep")
-        return indexer, categories + 1
-    hashed = f"cast(pmod(xxhash64({CATEGORY}), {HASH_BUCKETS}) as double) as {CODE}"
-    return SQLTransformer(statement=f"select *, {hashed} from __THIS__"), HASH_BUCKETS
+    indexer = StringIndexer(inputCol=CATEGORY, outputCol=CODE, handleInvalid="keep")
+    return indexer, categories + 1
 
 
 def mark_validation(train: DataFrame, weeks: int) -> DataFrame:

@@ -9,14 +9,16 @@ from pyspark.sql import functions as F
 
 from stockloom.session import materialize
 
+# Far above what the share of documents lets through: the vocabulary is not cut.
+MOST_WORDS = 1 << 28
+
 
 def topic_terms(
     reviews: DataFrame,
     text: str = "review_comment_message",
     topics: int = 5,
     terms: int = 10,
-    vocabulary: int = 1 << 14,
-    min_documents: float = 2.0,
+    min_documents: float = 0.0005,
     language: str = "english",
     iterations: int = 10,
     seed: int = 42,
@@ -24,8 +26,9 @@ def topic_terms(
     """The strongest ``terms`` words of each topic of an LDA model over whole texts.
 
     Words are letters only, three or more, without the stop words of
-    ``language``. The vocabulary holds the ``vocabulary`` most frequent words.
-    Every iteration goes over all texts.
+    ``language``. The vocabulary holds every word that at least a share of
+    ``min_documents`` of the texts has (a number of texts from 1 on), which bounds it by
+    the texts' mean number of words over that share. Every iteration goes over all texts.
     """
     words = RegexTokenizer(
         inputCol=text, outputCol="_words", pattern=r"\p{L}+", gaps=False, minTokenLength=3
@@ -34,7 +37,7 @@ def topic_terms(
     kept = StopWordsRemover(inputCol="_words", outputCol="_kept", stopWords=stop_words)
     kept_words = kept.transform(words).select("_kept")
     counter = CountVectorizer(
-        inputCol="_kept", outputCol="features", vocabSize=vocabulary, minDF=min_documents
+        inputCol="_kept", outputCol="features", vocabSize=MOST_WORDS, minDF=min_documents
     ).fit(kept_words)
     # Read once per iteration, so it is stored once.
     counted = materialize(counter.transform(kept_words).select("features"))

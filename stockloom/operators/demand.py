@@ -35,17 +35,17 @@ def by_week() -> WindowSpec:
 
 
 def first_sale_dates(lines: DataFrame) -> DataFrame:
-    """Time of the first sale per category."""
-    return lines.groupBy(CATEGORY).agg(F.min(WEEK).alias("first_sale_date"))
+    """Time of the first sale per category; lines without a category have none."""
+    return lines.where(F.col(CATEGORY).isNotNull()).groupBy(CATEGORY).agg(F.min(WEEK).alias("first_sale_date"))
 
 
-def weekly_demand(lines: DataFrame, money_scale: int = 4) -> DataFrame:
+def weekly_demand(lines: DataFrame) -> DataFrame:
     """One row per category and week with sales.
 
     ``quantity_sold`` counts order lines, ``revenue`` is 0 when every price is
     null, averages skip nulls, sellers are counted once. ``first_sold_at`` is
     carried along so that the grid needs no second pass over the lines. Money is
-    summed exactly to ``money_scale`` decimals.
+    summed exactly to ten decimals; NaN counts as null.
 
     The distinct count makes Spark group by (category, week, seller) first, so
     even a category that holds a third of all lines is spread over many tasks
@@ -53,8 +53,8 @@ def weekly_demand(lines: DataFrame, money_scale: int = 4) -> DataFrame:
     """
     sold = lines.where(F.col(CATEGORY).isNotNull() & F.col(WEEK).isNotNull())
     week = calendar.week_ending_monday(F.col(WEEK))
-    price_sum = numeric.exact_sum(F.col("price"), money_scale)
-    freight_sum = numeric.exact_sum(F.col("freight_value"), money_scale)
+    price_sum = numeric.exact_sum(F.col("price"))
+    freight_sum = numeric.exact_sum(F.col("freight_value"))
     return (
         sold.withColumn("_sold_at", F.col(WEEK))
         .withColumn(WEEK, week)
@@ -62,8 +62,10 @@ def weekly_demand(lines: DataFrame, money_scale: int = 4) -> DataFrame:
         .agg(
             F.count("order_id").alias(TARGET),
             F.coalesce(price_sum, F.lit(0.0)).alias("revenue"),
-            F.try_divide(price_sum, F.count("price")).alias("curr_avg_price"),
-            F.try_divide(freight_sum, F.count("freight_value")).alias("curr_avg_freight"),
+            F.try_divide(price_sum, F.count(numeric.money(F.col("price")))).alias("curr_avg_price"),
+            F.try_divide(
+                freight_sum, F.count(numeric.money(F.col("freight_value")))
+            ).alias("curr_avg_freight"),
             F.countDistinct("seller_id").alias("curr_active_sellers"),
             F.min("_sold_at").alias("first_sold_at"),
         )

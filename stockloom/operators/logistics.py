@@ -63,15 +63,10 @@ def is_late(delay_days: str = "delay_days") -> Column:
     return F.coalesce(F.col(delay_days) > 0, F.lit(False))
 
 
-def valid_logistics(staged: DataFrame) -> DataFrame:
-    """Lines with both stage times present, not negative, and under 30 and 60 days.
-
-    Days are whole numbers, so each range is a set. Unlike two comparisons, that
-    names the day difference once when the filter moves down to the scan.
-    """
-    return staged.where(
-        F.col("time_to_ship").isin(*range(30)) & F.col("carrier_time").isin(*range(60))
-    )
+def valid_logistics(staged: DataFrame, ship_days: int = 30, carrier_days: int = 60) -> DataFrame:
+    """Lines with both stage times present, not negative, and under the given days."""
+    ship, carrier = F.col("time_to_ship"), F.col("carrier_time")
+    return staged.where((ship >= 0) & (ship < ship_days) & (carrier >= 0) & (carrier < carrier_days))
 
 
 def valid_logistics_by_total(staged: DataFrame) -> DataFrame:

@@ -17,7 +17,6 @@ def monthly_revenue(
     lines: DataFrame,
     ts: str = "order_purchase_timestamp",
     price: str = "price",
-    money_scale: int = 4,
 ) -> DataFrame:
     """Revenue per month labelled by its last day; months without rows are 0.
 
@@ -27,7 +26,7 @@ def monthly_revenue(
     months = (
         lines.where(F.col(ts).isNotNull())
         .groupBy(calendar.month_start(F.col(ts)).alias("_month"))
-        .agg(F.coalesce(numeric.exact_sum(F.col(price), money_scale), F.lit(0.0)).alias("_sum"))
+        .agg(F.coalesce(numeric.exact_sum(F.col(price)), F.lit(0.0)).alias("_sum"))
     )
     following = F.lead("_month").over(Window.orderBy("_month"))
     spans = months.withColumn("_last", F.coalesce(F.add_months(following, -1), "_month"))
@@ -172,7 +171,8 @@ def kernel_density(counts: DataFrame, value: str, points: int = 200) -> DataFram
     """Gaussian density estimate at ``points`` positions from the lowest to the highest value.
 
     ``counts`` comes from ``value_counts``, as for ``histogram``. The bandwidth
-    is the sample deviation times n^(-1/5). The work per distinct value is a
+    is the sample deviation times n^(-1/5); equal values or a single one have no
+    density and give no rows. The work per distinct value is a
     fixed number of points, and partial sums leave one row per point and task
     to shuffle.
     """
@@ -187,7 +187,7 @@ def kernel_density(counts: DataFrame, value: str, points: int = 200) -> DataFram
                 "_e.n",
                 ((F.col("_e.hi") - F.col("_e.lo")) / float(points - 1)).alias("step"),
                 (
-                    F.sqrt(F.col("_ss") / (F.col("_e.n") - 1.0))
+                    F.sqrt(F.try_divide(F.col("_ss"), F.col("_e.n") - 1.0))
                     * F.pow(F.col("_e.n"), F.lit(-0.2))
                 ).alias("bandwidth"),
             )
@@ -201,13 +201,15 @@ def kernel_density(counts: DataFrame, value: str, points: int = 200) -> DataFram
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"),
     )
     position = F.col("_s.lo") + F.col("point") * F.col("_s.step")
-    z = (position - F.col("_v")) / F.col("_s.bandwidth")
+    # Without any spread there is no density: a null bandwidth, or one of 0, gives no rows.
+    spread = spread.where(F.col("_s.bandwidth") > 0)
+    z = F.try_divide(position - F.col("_v"), F.col("_s.bandwidth"))
     kernels = F.sum(F.col("lines") * F.exp(z * z * -0.5))
     area = F.col("_s.n") * F.col("_s.bandwidth") * math.sqrt(2.0 * math.pi)
     return (
         spread.groupBy("point")
         .agg(F.any_value("_s").alias("_s"), kernels.alias("_kernels"))
-        .select("point", position.alias("x"), (F.col("_kernels") / area).alias("density"))
+        .select("point", position.alias("x"), F.try_divide(F.col("_kernels"), area).alias("density"))
         .orderBy("point")
     )
 

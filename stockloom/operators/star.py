@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockloom.functions.calendar import lenient_timestamp
+from stockloom.functions.calendar import TIMESTAMP_LAYOUT, lenient_timestamp
 
 LIFECYCLE_COLUMNS = (
     "order_purchase_timestamp",
@@ -26,10 +26,29 @@ DESCRIPTIVE_COLUMNS = (
 )
 
 
-def parse_timestamps(df: DataFrame, columns: tuple[str, ...] = LIFECYCLE_COLUMNS) -> DataFrame:
-    """Turn text columns into timestamps, bad values into null. Other types are left alone."""
+def parse_timestamps(
+    df: DataFrame,
+    columns: tuple[str, ...] = LIFECYCLE_COLUMNS,
+    layout: str = TIMESTAMP_LAYOUT,
+    strict: tuple[str, ...] = (),
+) -> DataFrame:
+    """Turn text columns into timestamps. Other types are left alone.
+
+    ``layout`` is the pattern that texts must match. Bad values become null, but in a
+    column named in ``strict`` they end the job with an error.
+    """
     text = {name for name, kind in df.dtypes if kind == "string"}
-    return df.withColumns({c: lenient_timestamp(F.col(c)) for c in columns if c in text})
+    parsed = {}
+    for name in columns:
+        if name in text:
+            value = lenient_timestamp(F.col(name), layout)
+            if name in strict:
+                bad = F.raise_error(F.concat(F.lit(f"bad timestamp in {name}: "), F.col(name)))
+                value = F.when(F.col(name).isNull() | value.isNotNull(), value).otherwise(
+                    bad.cast("timestamp_ntz")
+                )
+            parsed[name] = value
+    return df.withColumns(parsed)
 
 
 def resolved_category(english: Column, native: Column) -> Column:

@@ -596,7 +596,7 @@ def seasonal_baseline(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def topic_terms(spark: SparkSession, folder: str) -> DataFrame:
     texts = bind.table(spark, folder, "documents")
-    return topics.topic_terms(texts, "text", iterations=5)
+    return topics.topic_terms(texts, "text")
 
 
 # Streaming

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from pathlib import PurePosixPath
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,11 @@ def build_session(
     return builder.getOrCreate()
 
 
+def _path(uri: str) -> PurePosixPath:
+    """The path of a URI or a plain path, without scheme and doubled slashes."""
+    return PurePosixPath("/" + urlsplit(uri).path.strip("/"))
+
+
 def use_checkpoint_dir(spark: SparkSession) -> None:
     """Point checkpoints at the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -42,7 +49,8 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if named:
-        if current is None or named.rstrip("/") not in current:
+        # Spark's own folder lies directly below the one that was set.
+        if current is None or _path(current).parent != _path(named):
             context.setCheckpointDir(named)
     elif current is None:
         if not context.master.startswith("local"):

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-CUTOFF_YEAR, CUTOFF_MONTH = 2001, 1
+CUTOFF_YEAR, CUTOFF_MONTH = 2000, 6
 
 
 # Columns of the benchmark tables. Naming them saves a job per scan
@@ -45,23 +45,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-# A scan with fewer splits than this reads less than 2 GB.
-FEW_SPLITS = 16
-
-
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a small table, whose scan would leave most cores idle, out to all cores.
-
-    A large table has many splits and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    few = df.rdd.getNumPartitions() < min(cores, FEW_SPLITS)
-    return df.repartition(cores, key) if few else df
-
-
 def order_items(spark: SparkSession, folder: str) -> DataFrame:
     """Lines; the price is missing for some products, freight is price times tax."""
-    return spread(table(spark, folder, "lineitem"), "l_orderkey").selectExpr(
+    return table(spark, folder, "lineitem").selectExpr(
         "l_orderkey as order_id",
         "l_partkey as product_id",
         "l_suppkey as seller_id",

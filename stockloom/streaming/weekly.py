@@ -11,14 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stockloom.functions import calendar
+from stockloom.functions import calendar, numeric
 from stockloom.operators.demand import CATEGORY, TARGET, WEEK, demand_grid, features_from_grid
 
 BATCH = "batch"
 
 
 def weekly_aggregate(
-    lines: DataFrame, late_by: str = "7 days", money_scale: int = 4
+    lines: DataFrame, late_by: str = "7 days"
 ) -> DataFrame:
     """Tuesday-to-Monday windows per category; lines later than ``late_by`` are dropped.
 
@@ -26,15 +26,11 @@ def weekly_aggregate(
     Tuesday. Exact distinct counts are not possible on a stream, so sellers are
     counted approximately.
     """
-    unit = float(10**money_scale)
     # Watermarks need instants. The clock time is taken as UTC, whatever the session says.
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(WEEK)))
     end_day = F.floor(F.unix_micros("_bin.end") / calendar.MICROS_PER_DAY).cast("int")
 
-    def units(name: str):
-        return F.sum(F.rint(F.col(name) * unit).cast("bigint"))
-
     return (
         lines.where(F.col(CATEGORY).isNotNull() & F.col(WEEK).isNotNull())
         .withColumn("_instant", instant)
@@ -42,10 +38,10 @@ def weekly_aggregate(
         .groupBy(F.window("_instant", "7 days", "7 days", "5 days").alias("_bin"), CATEGORY)
         .agg(
             F.count("order_id").alias(TARGET),
-            units("price").alias("_price"),
-            F.count("price").alias("_prices"),
-            units("freight_value").alias("_freight"),
-            F.count("freight_value").alias("_freights"),
+            numeric.exact_sum(F.col("price")).alias("_price"),
+            F.count(numeric.money(F.col("price"))).alias("_prices"),
+            numeric.exact_sum(F.col("freight_value")).alias("_freight"),
+            F.count(numeric.money(F.col("freight_value"))).alias("_freights"),
             F.approx_count_distinct("seller_id").alias("curr_active_sellers"),
             F.min(WEEK).alias("first_sold_at"),
         )
@@ -53,9 +49,9 @@ def weekly_aggregate(
             CATEGORY,
             F.date_from_unix_date(end_day - 1).cast("timestamp_ntz").alias(WEEK),
             TARGET,
-            (F.coalesce(F.col("_price"), F.lit(0)) / unit).alias("revenue"),
-            F.try_divide(F.col("_price") / unit, F.col("_prices")).alias("curr_avg_price"),
-            F.try_divide(F.col("_freight") / unit, F.col("_freights")).alias("curr_avg_freight"),
+            F.coalesce(F.col("_price"), F.lit(0.0)).alias("revenue"),
+            F.try_divide(F.col("_price"), F.col("_prices")).alias("curr_avg_price"),
+            F.try_divide(F.col("_freight"), F.col("_freights")).alias("curr_avg_freight"),
             "curr_active_sellers",
             "first_sold_at",
         )

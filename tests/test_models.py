@@ -80,13 +80,11 @@ def test_validation_rows_come_from_the_end_of_training(features):
     assert (found[True].hi - found[True].lo).days == 7 * 7
 
 
-def test_large_catalogues_are_hashed(features, monkeypatch):
-    monkeypatch.setattr(demand_models, "INDEX_LIMIT", 2)
-    stage, codes = demand_models.category_stage(features)
-    coded = stage.transform(features).select("category_code").distinct()
-    assert codes == demand_models.HASH_BUCKETS and coded.count() <= 4
-    train, test = demand.train_rows(features, 2018, 3), demand.test_rows(features, 2018, 3)
-    assert errors(FITS["boosted_trees"](train), test)["rows"] == test.count()
+def test_large_catalogues_keep_every_category_apart(spark):
+    rows = spark.range(1500).selectExpr("concat('c', id) as product_category")
+    stage, codes = demand_models.category_stage(rows)
+    coded = stage.fit(rows).transform(rows).select("category_code").distinct()
+    assert codes == 1501 and coded.count() == 1500
 
 
 def test_importances_cover_all_features(spark, features):
