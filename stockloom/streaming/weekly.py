@@ -67,8 +67,8 @@ def start_weekly_stream(
 ) -> StreamingQuery:
     """Take what is available, update the weekly table, and stop.
 
-    With ``features_path`` each trigger also rebuilds the features of the
-    categories it touched. Run it on a schedule, or use the same functions with
+    With ``features_path`` each trigger also rebuilds the features that it
+    changed. Run it on a schedule, or use the same functions with
     another trigger for a query that stays up.
     """
 
@@ -117,13 +117,17 @@ def refresh_features(
     """Features of the categories that batch changed, written under its number.
 
     Grid weeks are those seen in any category, so the calendar comes from the
-    whole weekly table and the rows from the touched categories only.
+    whole weekly table. A week that no earlier batch had belongs to the grid of
+    every category, so then all of them are written; else the touched ones only.
     """
     weekly = current_weekly(spark, weekly_path)
-    touched = (
-        spark.read.parquet(f"{weekly_path}/{BATCH}={batch}").select(CATEGORY).distinct()
-    )
-    grid = demand_grid(weekly.join(touched, CATEGORY, "left_semi"), all_weeks=weekly)
+    own = spark.read.parquet(f"{weekly_path}/{BATCH}={batch}")
+    known = spark.read.parquet(weekly_path).where(F.col(BATCH) < batch).select(WEEK)
+    if own.select(WEEK).join(known, WEEK, "left_anti").isEmpty():
+        rows = weekly.join(own.select(CATEGORY).distinct(), CATEGORY, "left_semi")
+    else:
+        rows = weekly
+    grid = demand_grid(rows, all_weeks=weekly)
     features_from_grid(grid).write.mode("overwrite").parquet(f"{features_path}/{BATCH}={batch}")
 
 

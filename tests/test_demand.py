@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from stockloom.functions import numeric
 from stockloom.operators import demand
 
 LINE_SCHEMA = (
@@ -239,3 +240,13 @@ def test_pandas_frame_of_features_is_finite(spark):
     assert np.isfinite(numbers.to_numpy()).all()
     assert not frame.isna().any().any()
     assert isinstance(frame, pd.DataFrame)
+
+
+def test_money_is_summed_unrounded_and_nan_is_skipped(spark):
+    rows = [0.00004, 0.00004, 1.23454, float("nan"), None]
+    prices = spark.createDataFrame([(p,) for p in rows], "price double")
+    found = prices.agg(
+        numeric.exact_sum(F.col("price")).alias("total"),
+        F.count(numeric.money(F.col("price"))).alias("n"),
+    ).first()
+    assert found.total == 1.23462 and found.n == 3

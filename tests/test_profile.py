@@ -113,3 +113,10 @@ def test_histogram_counts_sum_to_weights(spark):
     df = spark.range(500).select((F.col("id") % 37).alias("x"), F.lit(3).alias("w"))
     counts = value_counts(df, "x", weight="w")
     assert profile.histogram(counts, "x", 9).agg(F.sum("lines")).first()[0] == 1500
+
+
+def test_density_of_values_without_spread_is_empty(spark):
+    for values in ([], [3], [3, 3, 3]):
+        rows = spark.createDataFrame([(v,) for v in values], "v int")
+        counts = value_counts(rows, "v")
+        assert profile.kernel_density(counts, "v").collect() == []
