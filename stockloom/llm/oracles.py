@@ -1,3 +1,51 @@
 """SQL of the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+_LOWER = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _shingles(table: str, key: str, word: str, size: int) -> str:
+    """Distinct runs of ``size`` words; a shorter text is one run."""
+    runs = f"[array_to_string(ws[i : i + {size - 1}], ' ') for i in range(1, len(ws) - {size - 2})]"
+    return f"""
+      (select distinct {key}, unnest(case when len(ws) >= {size} then {runs}
+              when len(ws) > 0 then [array_to_string(ws, ' ')] else [] end) as g
+       from (select {key}, regexp_extract_all({_LOWER.format(text="coalesce(text, '')")}, '{word}') as ws
+             from {table}))"""
+
+
+_PLAIN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_SPACED = r"[^\x20\x09-\x0D]+"
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+ORACLES: dict[str, str] = {
+    "op8_warc": f"""
+      with hashed as (select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as h from pages),
+      marked as (select *, min(page_id) over (partition by body) as first from hashed)
+      select page_id, octet_length(encode(body))::bigint as payload_bytes,
+             array_to_string([substr('{_BASE32}',
+               ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::bigint >> (15 - 5 * (i % 4))) & 31)::int + 1, 1)
+               for i in range(0, 32)], '') as payload_digest,
+             case when page_id = first then 'response' else 'revisit' end as record_type,
+             case when page_id <> first then first end as refers_to
+      from marked""",
+    "op9_jaccard_join": f"""
+      with recursive sets as materialized {_shingles("documents", "doc_id", _SPACED, 3)},
+      sizes as materialized (select doc_id, count(*) as n from sets group by doc_id),
+      common as (select a.doc_id as a, b.doc_id as b, count(*) as c
+                 from sets a join sets b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+      links as materialized (
+        select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+        where 100 * c >= 90 * (x.n + y.n - c)),
+      reach as (select doc_id as a, doc_id as b from documents
+                union select reach.a, links.b from reach join links on links.a = reach.b)
+      select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
+      from (select a as doc_id, min(b) as component_id from reach group by a)
+      left join sizes using (doc_id)""",
+    "op10_decontamination": f"""
+      with sets as {_shingles("documents", "doc_id", _PLAIN, 5)},
+      items as materialized {_shingles("benchmark", "item_id", _PLAIN, 5)},
+      sizes as (select item_id, count(*) as n from items group by item_id)
+      select doc_id, item_id, any_value(n)::bigint as n_item_shingles, count(*)::bigint as n_shared
+      from sets join items using (g) join sizes using (item_id)
+      group by doc_id, item_id having 100 * count(*) >= 80 * any_value(n)""",
+}
