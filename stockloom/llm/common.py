@@ -43,6 +43,15 @@ def matches(column: str, pattern: str) -> Column:
     return F.regexp_extract_all(F.col(column), F.lit(pattern), F.lit(0))
 
 
+def sampled(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """About ``rows`` rows, chosen by a hash of ``key``; all if there are fewer."""
+    total = df.count()
+    if total <= rows:
+        return df
+    parts = 1_000_003
+    return df.filter(F.pmod(F.xxhash64(key), F.lit(parts)) < parts * rows / total)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document is never learned from: crc32 of its id as text, modulo 5, is 0."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0

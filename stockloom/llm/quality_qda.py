@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from stockloom.llm.words import Words, slices, text_bytes, words_of
 
+# Labelled rows that the query fits on, at most about so many; ``fit`` itself takes all.
+SAMPLE_ROWS = 100_000
+
 STATISTICS = (
     "log_words word_bytes letters uppers digits symbols marks commas bars spaces lines other"
     " new_words top_word new_pairs new_lines line_words short_words"

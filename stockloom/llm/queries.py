@@ -19,7 +19,7 @@ from stockloom.llm import (
     url_templates,
     warc,
 )
-from stockloom.llm.common import held_out, table
+from stockloom.llm.common import held_out, sampled, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -38,11 +38,16 @@ URL_RULES = {
 }
 
 
-def _learnable(spark: SparkSession, folder: str, label: str) -> DataFrame:
-    """Texts with their label, without held-out documents."""
+def _learnable(spark: SparkSession, folder: str, label: str, rows: int) -> DataFrame:
+    """Texts with their label, without held-out documents; about ``rows`` of them at most.
+
+    Labels are chosen by a hash of the id before texts are read, so they can be broadcast
+    at any size of the tables, and no text is shuffled.
+    """
     labels = table(spark, folder, "labels").filter(~held_out())
-    labels = labels.select("doc_id", F.col(label).alias("label"))
-    return table(spark, folder, "documents").select("doc_id", "text").join(labels, "doc_id")
+    labels = sampled(labels.select("doc_id", F.col(label).alias("label")), "doc_id", rows)
+    texts = table(spark, folder, "documents").select("doc_id", "text")
+    return texts.join(F.broadcast(labels), "doc_id")
 
 
 @query
@@ -64,7 +69,7 @@ def op1_url_templates(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    model = quality_qda.fit(_learnable(spark, folder, "quality"))
+    model = quality_qda.fit(_learnable(spark, folder, "quality", quality_qda.SAMPLE_ROWS))
     scores = quality_qda.scored(table(spark, folder, "documents"), model)
     return scores.select(
         "doc_id",
@@ -106,7 +111,7 @@ def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    lexicon = toxicity.learn(_learnable(spark, folder, "toxic"))
+    lexicon = toxicity.learn(_learnable(spark, folder, "toxic", toxicity.SAMPLE_ROWS))
     scores = toxicity.scored(table(spark, folder, "documents"), lexicon)
     return scores.select(
         "doc_id",

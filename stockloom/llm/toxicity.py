@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockloom.llm.common import sampled
 from stockloom.llm.words import slices
 
 # Labelled rows that the lexicon and the curve are fitted on, at most about so many.
@@ -129,20 +130,15 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def sample(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """About ``rows`` of the labelled rows, chosen by a hash of their text; all if fewer."""
-    total = max(1, labelled.count())
-    return labelled.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < 1_000_003 * rows / total)
-
-
 def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS, rows: int = SAMPLE_ROWS) -> Lexicon:
     """Lexicon and curve from rows with text and label; labels other than 0 and 1 are ignored.
 
     Fitted on at most about ``rows`` rows. The driver receives the entries that pass the
     limits and one strength per sampled row.
     """
-    chosen = sample(
+    chosen = sampled(
         labelled.filter("label in (0, 1)").select("text", F.col("label").cast("int").alias("label")),
+        "text",
         rows,
     )
     sizes = dict(chosen.groupBy("label").count().collect())
