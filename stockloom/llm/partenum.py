@@ -5,12 +5,14 @@ sets of the required similarity can differ in, say k. The domain of n-grams is c
 hash into more than k parts; similar sets then agree on at least one part, and the
 enumerated subsets are those single parts (second-level threshold 0). Each part's hash is
 one signature. Sets with a common signature are compared by parity sketches of 256 bits,
-whose Hamming distance never exceeds that of the sets, then by the sets themselves.
+whose Hamming distance never exceeds that of the sets, then by the sets themselves. Groups
+of near copies are contracted round by round before their pairs would be compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -30,6 +32,10 @@ SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 REMEMBERED = 200_000
 # Ids that may be broadcast: 32 MB of them.
 BROADCAST_IDS = 4_000_000
+# Rounds that compare a signature's sets with one of them only.
+PIVOT_ROUNDS = 3
+# All pairs are compared at once where a set shares a signature with no more sets on average.
+SETS_PER_SIGNATURE = 8
 
 
 def bands(largest: int) -> list[tuple[int, int]]:
@@ -221,10 +227,10 @@ def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
 
 
 def similar_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Every document with its class of equal sets, and the links between classes.
+    """Every document with its class of equal sets, and the components of linked classes.
 
-    Returns (doc_id, n_shingles, rep) and (a, b), where rep, a and b are the smallest
-    doc_id of a class and a < b. A null rep marks an empty set or a null doc_id.
+    Returns (doc_id, n_shingles, rep) and (node, component), where all ids are the smallest
+    doc_id of a class. A null rep marks an empty set or a null doc_id.
     """
     docs = docs.select("doc_id", "text")
     slim = staged(
@@ -262,30 +268,77 @@ def similar_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFram
         .drop("k1", "k2"),
         "sets",
     )
-    marked = shared.join(sets.select("rep", *SKETCH), "rep")
-    left = marked.select("sig", *(F.col(c).alias(f"{c}_a") for c in ("rep", "n", *SKETCH)))
-    right = marked.select("sig", *(F.col(c).alias(f"{c}_b") for c in ("rep", "n", *SKETCH)))
-    distance = " + ".join(f"bit_count({name}_a ^ {name}_b)" for name in SKETCH)
-    near = (
-        f"rep_a < rep_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and "
-        f"{distance} <= (n_a + n_b) * {100 - percent} div {100 + percent}"
-    )
-    pairs = staged(
-        left.join(right, (left.sig == right.sig) & F.expr(near)).select("rep_a", "rep_b").distinct(),
-        "pairs",
+    classes = slim.join(reps.drop("n"), ["k1", "k2"], "left")
+    return classes.select("doc_id", "n_shingles", "rep"), _linked(shared, sets, percent)
+
+
+def _verified(pairs: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (rep_a, rep_b) whose sets are similar, as (a, b)."""
+    both = pairs.join(elements.toDF("rep_a", "of_a"), "rep_a").join(
+        elements.toDF("rep_b", "of_b"), "rep_b"
     )
-    elements = sets.select("rep", "elements")
-    both = (
-        pairs.join(elements.toDF("rep_a", "of_a"), "rep_a")
-        .join(elements.toDF("rep_b", "of_b"), "rep_b")
-        .withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
+    common = F.size(F.array_intersect("of_a", "of_b"))
+    return (
+        both.withColumn("common", common)
+        .filter(f"100 * common >= {percent} * (size(of_a) + size(of_b) - common)")
+        .selectExpr("rep_a as a", "rep_b as b")
     )
-    links = both.filter(
-        f"100 * common >= {percent} * (size(of_a) + size(of_b) - common)"
-    ).selectExpr("rep_a as a", "rep_b as b")
-    return slim.join(reps.drop("n"), ["k1", "k2"], "left").select(
-        "doc_id", "n_shingles", "rep"
-    ), staged(links, "links")
+
+
+def _side(df: DataFrame, side: str) -> DataFrame:
+    return df.select("sig", *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "sig"))
+
+
+def _linked(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of all linked sets.
+
+    ``live`` has sig, rep and n, ``sets`` rep, the sketch and the elements. In each round
+    every signature compares one pivot with its other sets, so a group of near copies takes
+    as many comparisons as it has members. Sets that are linked by then are one component,
+    and signatures within one component are done. When few sets share a signature, or after
+    the last round, all pairs of different components that are left are compared. Links
+    within a component are never needed, so the components are exact.
+    """
+    sketches, elements = sets.select("rep", *SKETCH), sets.select("rep", "elements")
+    distance = " + ".join(f"bit_count({name}_a ^ {name}_b)" for name in SKETCH)
+    sizes = f"c_a <> c_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    close = f"{distance} <= (n_a + n_b) * {100 - percent} div {100 + percent}"
+    live = live.withColumn("c", F.col("rep"))
+    links: list[DataFrame] = []
+    for number in range(PIVOT_ROUNDS + 1):
+        live = staged(live, "live")
+        count = F.col("count").cast("decimal(38,0)")
+        rows, squares = live.groupBy("sig").count().agg(F.sum(count), F.sum(count * count)).first()
+        if not rows:
+            break
+        last = number == PIVOT_ROUNDS or (number > 0 and squares <= SETS_PER_SIGNATURE * rows)
+        if last:
+            marked = live.join(sketches, "rep")
+            first, second = _side(marked, "a"), _side(marked, "b")
+            met = f"rep_a < rep_b and {sizes} and {close}"
+        else:
+            # One order of all sets, so that a group has one pivot in most signatures.
+            pivot = F.min_by(F.struct("rep", "n", "c"), F.xxhash64("rep", F.lit(number)))
+            first = _side(live.groupBy("sig").agg(pivot.alias("p")).select("sig", "p.*"), "a")
+            second, met = _side(live, "b"), sizes
+        pairs = first.join(second, (first["sig"] == second["sig"]) & F.expr(met))
+        pairs = staged(pairs.select("rep_a", "n_a", "rep_b", "n_b").distinct(), "pairs")
+        if not last:
+            for side in "ab":
+                own = sketches.toDF(f"rep_{side}", *(f"{name}_{side}" for name in SKETCH))
+                pairs = pairs.join(own, f"rep_{side}")
+            pairs = staged(pairs.filter(close).select("rep_a", "rep_b"), "close-pairs")
+        links.append(staged(_verified(pairs, elements, percent).distinct(), "links"))
+        if last:
+            break
+        linked = staged(components(reduce(DataFrame.unionByName, links)), "linked")
+        live = live.drop("c").join(linked.toDF("rep", "c"), "rep", "left")
+        live = live.withColumn("c", F.coalesce("c", "rep"))
+        spans = live.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+        live = live.join(spans.filter("low < high").select("sig"), "sig", "left_semi")
+    if not links:
+        return live.selectExpr("rep as node", "rep as component")
+    return components(reduce(DataFrame.unionByName, links))
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
@@ -299,9 +352,8 @@ def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> Da
     Rows with one doc_id are one document: what links one of them links all. A row without
     a doc_id keeps its size, and its component is null. Other columns of ``docs`` are ignored.
     """
-    slim, links = similar_classes(docs, words, percent)
-    found = components(links).toDF("rep", "linked")
-    joined = slim.join(found, "rep", "left")
+    slim, linked = similar_classes(docs, words, percent)
+    joined = slim.join(linked.toDF("rep", "linked"), "rep", "left")
     return joined.select(
         "doc_id",
         "n_shingles",
