@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import count
 from math import ceil
 
 import numpy as np
@@ -32,8 +33,6 @@ SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 REMEMBERED = 200_000
 # Ids that may be broadcast: 32 MB of them.
 BROADCAST_IDS = 4_000_000
-# Rounds that compare a signature's sets with one of them only.
-PIVOT_ROUNDS = 3
 # All pairs are compared at once where a set shares a signature with no more sets on average.
 SETS_PER_SIGNATURE = 8
 
@@ -107,15 +106,18 @@ def _classes(words: int):
             for doc_id, elements in _sets(batch, words):
                 ids.append(doc_id)
                 sizes.append(len(elements))
-                keys.append(set_key(elements) if len(elements) else (None, None))
+                if len(elements):
+                    keys.append((*set_key(elements), *map(int, sketch(elements))))
+                else:
+                    keys.append((None,) * (2 + len(SKETCH)))
+            columns = zip(*keys, strict=True) if keys else [[]] * (2 + len(SKETCH))
             yield pa.record_batch(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int64()),
-                    pa.array([k[0] for k in keys], pa.int64()),
-                    pa.array([k[1] for k in keys], pa.int64()),
+                    *(pa.array(column, pa.int64()) for column in columns),
                 ],
-                ["doc_id", "n_shingles", "k1", "k2"],
+                ["doc_id", "n_shingles", "k1", "k2", *SKETCH],
             )
 
     return run
@@ -193,28 +195,25 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _full_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int, int]] = set()
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, keys, sketches, sets = [], [], [], []
+                ids, sets = [], []
                 for doc_id, elements in _sets(part, words):
                     if len(elements) == 0:
                         continue
+                    row = (doc_id, *set_key(elements))
+                    if row in seen:
+                        continue
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(row)
                     ids.append(doc_id)
-                    keys.append(set_key(elements))
-                    sketches.append(sketch(elements))
                     sets.append(elements.view(np.int64))
                 lengths = np.cumsum([0, *(len(s) for s in sets)])
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-                arrays = [
-                    pa.array(ids, pa.int64()),
-                    pa.array([k[0] for k in keys], pa.int64()),
-                    pa.array([k[1] for k in keys], pa.int64()),
-                    pa.array(np.diff(lengths), pa.int64()),
-                    *(pa.array([int(s[i]) for s in sketches], pa.int64()) for i in range(len(SKETCH))),
-                    pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat)),
-                ]
-                names = ["doc_id", "k1", "k2", "n", *SKETCH, "elements"]
-                yield pa.record_batch(arrays, names)
+                lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
+                yield pa.record_batch([pa.array(ids, pa.int64()), lists], ["doc_id", "elements"])
 
     return run
 
@@ -233,14 +232,18 @@ def similar_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFram
     doc_id of a class. A null rep marks an empty set or a null doc_id.
     """
     docs = docs.select("doc_id", "text")
+    kinds = ", ".join(f"{name} bigint" for name in ("k1", "k2", *SKETCH))
     slim = staged(
-        docs.mapInArrow(_classes(words), "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint"),
-        "classes",
+        docs.mapInArrow(_classes(words), f"doc_id bigint, n_shingles bigint, {kinds}"), "classes"
     )
     reps = staged(
         slim.filter("k1 is not null and doc_id is not null")
         .groupBy("k1", "k2")
-        .agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n")),
+        .agg(
+            F.min("doc_id").alias("rep"),
+            F.max("n_shingles").alias("n"),
+            *(F.max(name).alias(name) for name in SKETCH),
+        ),
         "representatives",
     )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -250,38 +253,31 @@ def similar_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFram
         .repartition(parts, "sig")
         .sortWithinPartitions("sig", "k1", "k2")
         .mapInArrow(_shared, "sig bigint, k1 bigint, k2 bigint")
-        .join(reps, ["k1", "k2"])
+        .join(reps.select("k1", "k2", "rep", "n"), ["k1", "k2"])
         .select("sig", "rep", "n"),
         "signatures",
     )
-    wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
-    kinds = ", ".join(f"{name} bigint" for name in SKETCH)
-    sets = staged(
-        by_ids(docs, wanted, "left_semi")
-        .mapInArrow(
-            _full_sets(words),
-            f"doc_id bigint, k1 bigint, k2 bigint, n bigint, {kinds}, elements array<bigint>",
-        )
-        .withColumnRenamed("doc_id", "rep")
-        .join(reps.select("k1", "k2", "rep"), ["k1", "k2", "rep"], "left_semi")
-        .dropDuplicates(["k1", "k2"])
-        .drop("k1", "k2"),
-        "sets",
-    )
-    classes = slim.join(reps.drop("n"), ["k1", "k2"], "left")
-    return classes.select("doc_id", "n_shingles", "rep"), _linked(shared, sets, percent)
+    classes = slim.join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left")
+    linked = _linked(docs, shared, reps.select("rep", *SKETCH), words, percent)
+    return classes.select("doc_id", "n_shingles", "rep"), linked
 
 
-def _verified(pairs: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
-    """Those of the pairs (rep_a, rep_b) whose sets are similar, as (a, b)."""
-    both = pairs.join(elements.toDF("rep_a", "of_a"), "rep_a").join(
-        elements.toDF("rep_b", "of_b"), "rep_b"
-    )
-    common = F.size(F.array_intersect("of_a", "of_b"))
+def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the pairs (rep_a, rep_b) whose sets are similar, as (a, b).
+
+    Only texts of the pairs are read again, so sets of other documents never move.
+    """
+    for side in "ab":
+        ids = pairs.select(F.col(f"rep_{side}").alias("doc_id")).distinct()
+        sets = by_ids(docs, ids, "left_semi").mapInArrow(
+            _full_sets(words), "doc_id bigint, elements array<bigint>"
+        )
+        pairs = pairs.join(sets.toDF(f"rep_{side}", f"of_{side}"), f"rep_{side}")
     return (
-        both.withColumn("common", common)
+        pairs.withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
         .filter(f"100 * common >= {percent} * (size(of_a) + size(of_b) - common)")
         .selectExpr("rep_a as a", "rep_b as b")
+        .distinct()
     )
 
 
@@ -289,55 +285,61 @@ def _side(df: DataFrame, side: str) -> DataFrame:
     return df.select("sig", *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "sig"))
 
 
-def _linked(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _linked(
+    docs: DataFrame, shared: DataFrame, sketches: DataFrame, words: int, percent: int
+) -> DataFrame:
     """(node, component) of all linked sets.
 
-    ``live`` has sig, rep and n, ``sets`` rep, the sketch and the elements. In each round
-    every signature compares one pivot with its other sets, so a group of near copies takes
-    as many comparisons as it has members. Sets that are linked by then are one component,
-    and signatures within one component are done. When few sets share a signature, or after
-    the last round, all pairs of different components that are left are compared. Links
-    within a component are never needed, so the components are exact.
+    ``shared`` has sig, rep and n, ``sketches`` rep and the sketch. In each round every
+    signature compares one pivot with its other sets, so a group of near copies takes as
+    many comparisons as it has members. Sets that are linked by then are one component,
+    and signatures within one component are done. When few sets share a signature, or
+    pivots no longer help, all pairs of different components that are left are compared.
+    Links within a component are never needed, so the components are exact.
     """
-    sketches, elements = sets.select("rep", *SKETCH), sets.select("rep", "elements")
     distance = " + ".join(f"bit_count({name}_a ^ {name}_b)" for name in SKETCH)
     sizes = f"c_a <> c_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
     close = f"{distance} <= (n_a + n_b) * {100 - percent} div {100 + percent}"
-    live = live.withColumn("c", F.col("rep"))
-    links: list[DataFrame] = []
-    for number in range(PIVOT_ROUNDS + 1):
-        live = staged(live, "live")
-        count = F.col("count").cast("decimal(38,0)")
-        rows, squares = live.groupBy("sig").count().agg(F.sum(count), F.sum(count * count)).first()
+    live, links, before = shared.withColumn("c", F.col("rep")), [], None
+    for number in count():
+        # One order of all sets, so that a group has one pivot in most signatures.
+        pivot = F.min_by(F.struct("rep", "n", "c"), F.xxhash64("rep", F.lit(number)))
+        pivots = live.groupBy("sig").agg(
+            F.count("*").cast("decimal(38,0)").alias("m"),
+            F.min("c").alias("low"),
+            F.max("c").alias("high"),
+            pivot.alias("pivot"),
+        )
+        pivots = staged(pivots.filter("low < high").select("sig", "m", "pivot.*"), "pivots")
+        rows, squares = pivots.agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first()
         if not rows:
             break
-        last = number == PIVOT_ROUNDS or (number > 0 and squares <= SETS_PER_SIGNATURE * rows)
+        last = before is not None and (
+            squares <= SETS_PER_SIGNATURE * rows or 10 * squares > 9 * before
+        )
+        before = squares
         if last:
-            marked = live.join(sketches, "rep")
-            first, second = _side(marked, "a"), _side(marked, "b")
+            left = live.join(pivots.select("sig"), "sig", "left_semi").join(sketches, "rep")
+            first, second = _side(left, "a"), _side(left, "b")
             met = f"rep_a < rep_b and {sizes} and {close}"
         else:
-            # One order of all sets, so that a group has one pivot in most signatures.
-            pivot = F.min_by(F.struct("rep", "n", "c"), F.xxhash64("rep", F.lit(number)))
-            first = _side(live.groupBy("sig").agg(pivot.alias("p")).select("sig", "p.*"), "a")
-            second, met = _side(live, "b"), sizes
+            first, second, met = _side(pivots.drop("m"), "a"), _side(live, "b"), sizes
         pairs = first.join(second, (first["sig"] == second["sig"]) & F.expr(met))
         pairs = staged(pairs.select("rep_a", "n_a", "rep_b", "n_b").distinct(), "pairs")
         if not last:
             for side in "ab":
                 own = sketches.toDF(f"rep_{side}", *(f"{name}_{side}" for name in SKETCH))
                 pairs = pairs.join(own, f"rep_{side}")
-            pairs = staged(pairs.filter(close).select("rep_a", "rep_b"), "close-pairs")
-        links.append(staged(_verified(pairs, elements, percent).distinct(), "links"))
+            pairs = staged(pairs.filter(close).select("rep_a", "rep_b").distinct(), "close-pairs")
+        pairs = pairs.select("rep_a", "rep_b").distinct() if last else pairs
+        links.append(staged(_verified(docs, pairs, words, percent), "links"))
         if last:
             break
         linked = staged(components(reduce(DataFrame.unionByName, links)), "linked")
-        live = live.drop("c").join(linked.toDF("rep", "c"), "rep", "left")
+        live = shared.join(linked.toDF("rep", "c"), "rep", "left")
         live = live.withColumn("c", F.coalesce("c", "rep"))
-        spans = live.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high"))
-        live = live.join(spans.filter("low < high").select("sig"), "sig", "left_semi")
     if not links:
-        return live.selectExpr("rep as node", "rep as component")
+        return live.selectExpr("rep as node", "c as component").limit(0)
     return components(reduce(DataFrame.unionByName, links))
 
 
