@@ -28,6 +28,8 @@ from stockloom.llm.words import mix, shingles, slices, words_of
 # Largest size of a band over its smallest.
 BAND_RATIO = 1.4
 SKETCH_BITS = 256
+# Bits of the sketch of sets in pairs that passed the short one.
+WIDE_BITS = 2048
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 # Sets that one task remembers, so that it emits the signatures of copies once.
 REMEMBERED = 200_000
@@ -75,10 +77,10 @@ def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-def sketch(elements: np.ndarray) -> np.ndarray:
-    """Parities of the number of elements per bit, as 64-bit words."""
-    bits = (elements & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
-    odd = (np.bincount(bits, minlength=SKETCH_BITS) & 1).astype(np.uint8)
+def sketch(elements: np.ndarray, size: int = SKETCH_BITS) -> np.ndarray:
+    """Parities of the number of elements per bit, as 64-bit words; ``size`` is a power of 2."""
+    bits = (elements & np.uint64(size - 1)).astype(np.int64)
+    odd = (np.bincount(bits, minlength=size) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
@@ -193,7 +195,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _full_sets(words: int):
+def _full_sets(words: int, wide: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int, int]] = set()
         for batch in batches:
@@ -209,7 +211,7 @@ def _full_sets(words: int):
                         seen.clear()
                     seen.add(row)
                     ids.append(doc_id)
-                    sets.append(elements.view(np.int64))
+                    sets.append(sketch(elements, WIDE_BITS) if wide else elements.view(np.int64))
                 lengths = np.cumsum([0, *(len(s) for s in sets)])
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
@@ -262,19 +264,30 @@ def similar_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFram
     return classes.select("doc_id", "n_shingles", "rep"), linked
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs (rep_a, rep_b) whose sets are similar, as (a, b).
+def _with_sets(docs: DataFrame, pairs: DataFrame, words: int, wide: bool) -> DataFrame:
+    """Adds the sets of both sides, or their wide sketches, as of_a and of_b.
 
     Only texts of the pairs are read again, so sets of other documents never move.
     """
     for side in "ab":
         ids = pairs.select(F.col(f"rep_{side}").alias("doc_id")).distinct()
         sets = by_ids(docs, ids, "left_semi").mapInArrow(
-            _full_sets(words), "doc_id bigint, elements array<bigint>"
+            _full_sets(words, wide), "doc_id bigint, elements array<bigint>"
         )
         pairs = pairs.join(sets.toDF(f"rep_{side}", f"of_{side}"), f"rep_{side}")
+    return pairs
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Those of the pairs (rep_a, n_a, rep_b, n_b) whose sets are similar, as (a, b)."""
+    differing = "aggregate(zip_with(of_a, of_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    near = _with_sets(docs, pairs, words, True).filter(
+        f"{differing} <= (n_a + n_b) * {100 - percent} div {100 + percent}"
+    )
+    near = staged(near.select("rep_a", "rep_b").distinct(), "near-pairs")
     return (
-        pairs.withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
+        _with_sets(docs, near, words, False)
+        .withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
         .filter(f"100 * common >= {percent} * (size(of_a) + size(of_b) - common)")
         .selectExpr("rep_a as a", "rep_b as b")
         .distinct()
@@ -330,8 +343,8 @@ def _linked(
             for side in "ab":
                 own = sketches.toDF(f"rep_{side}", *(f"{name}_{side}" for name in SKETCH))
                 pairs = pairs.join(own, f"rep_{side}")
-            pairs = staged(pairs.filter(close).select("rep_a", "rep_b").distinct(), "close-pairs")
-        pairs = pairs.select("rep_a", "rep_b").distinct() if last else pairs
+            own = ("rep_a", "n_a", "rep_b", "n_b")
+            pairs = staged(pairs.filter(close).select(*own).distinct(), "close-pairs")
         links.append(staged(_verified(docs, pairs, words, percent), "links"))
         if last:
             break
