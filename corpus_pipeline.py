@@ -7,10 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from stockloom.llm import decontaminate, line_frequency, partenum, pii, sentencepiece_bpe
 from stockloom.llm.common import staged, table
 
+# Different texts of a source that may hold a line.
+LINE_TEXTS = 100
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops rejected documents and the lines that too many documents of a source share."""
-    return line_frequency.quality_filtered(docs)
+    """Drops rejected documents and the lines that too many documents of a source share.
+
+    Besides the share of op5's SQL, more than LINE_TEXTS texts of a source are too many.
+    """
+    return line_frequency.quality_filtered(docs, line_frequency.Limits(texts=LINE_TEXTS))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

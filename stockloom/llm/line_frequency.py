@@ -31,13 +31,15 @@ class Limits(NamedTuple):
 
     A line is removed if it is in more than ``share`` of a host's documents and in more than
     ``documents`` of them; copies of one text seldom reach such a share, and are left to
-    deduplication. A document is rejected if less than ``remaining`` of its
-    lines' characters remain.
+    deduplication. With ``texts``, a line is also removed if more than so many different
+    texts of a host hold it, whatever their share: exact copies of a text count once. A
+    document is rejected if less than ``remaining`` of its lines' characters remain.
     """
 
     share: float = 0.1
     documents: int = 20
     remaining: float = 0.3
+    texts: int | None = None
 
 
 def _line_hash(line: str) -> str:
@@ -131,17 +133,30 @@ def frequent_lines(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(host, line, n_docs) of the lines above the limits, from the rows of documents."""
     per_host = measured.groupBy("host").agg(F.count("*").alias("host_docs"))
     distinct = F.expr("array_distinct(transform(lines, x -> x.line))")
+    rows = measured.select("host", "text_hash", F.explode(distinct).alias("line"))
+    least = limits.documents if limits.texts is None else min(limits.documents, limits.texts)
     counted = (
-        measured.select("host", F.explode(distinct).alias("line"))
-        .groupBy("host", "line")
-        .agg(F.count("*").alias("n_docs"))
-        .filter(F.col("n_docs") > limits.documents)
+        rows.groupBy("host", "line").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > least)
     )
-    return (
-        counted.join(per_host, "host")
-        .filter(F.col("n_docs") > limits.share * F.col("host_docs"))
-        .select("host", "line", "n_docs")
+    above = (F.col("n_docs") > limits.documents) & (
+        F.col("n_docs") > limits.share * F.col("host_docs")
+    )
+    judged = counted.join(per_host, "host").withColumn("above", above)
+    if limits.texts is None:
+        return judged.filter("above").select("host", "line", "n_docs")
+    judged = staged(judged, "counted")
+    # Only lines in so many documents can be in so many texts.
+    open_lines = judged.filter(~F.col("above") & (F.col("n_docs") > limits.texts))
+    wide = (
+        rows.join(open_lines.select("host", "line", "n_docs"), ["host", "line"])
+        .groupBy("host", "line", "text_hash")
+        .agg(F.first("n_docs").alias("n_docs"))
+        .groupBy("host", "line")
+        .agg(F.first("n_docs").alias("n_docs"), F.count("*").alias("n_texts"))
+        .filter(F.col("n_texts") > limits.texts)
     )
+    columns = ["host", "line", "n_docs"]
+    return judged.filter("above").select(*columns).unionByName(wide.select(*columns))
 
 
 def _same_key(left: DataFrame, right: DataFrame) -> Column:

@@ -154,6 +154,20 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
     assert footer.upper() not in kept[300] and kept[200] == rows[62][1]
 
 
+def test_lines_in_many_texts_of_a_large_source_go(spark):
+    footer = "all of this is a footer that some pages have at their end"
+    copied = "this line is in the many copies of one and the same text"
+    rows = [(i, f"{prose(i, 70)}\n{footer}" if i < 12 else prose(i, 70), "en", "a", 0) for i in range(300)]
+    rows += [(1000 + i, f"{prose(999, 70)}\n{copied}", "en", "a", 0) for i in range(15)]
+    limits = line_frequency.Limits(texts=10)
+    docs = documents(spark, rows)
+    found = {r.doc_id: r for r in line_frequency.quality_verdicts(docs, limits).collect()}
+    assert {i for i, r in found.items() if r.lost_chars} == set(range(12))
+    kept = {r.doc_id: r.text for r in line_frequency.quality_filtered(docs, limits).collect()}
+    assert footer not in kept[3] and copied in kept[1003] and len(kept) == len(rows)
+    assert not any(r.lost_chars for r in line_frequency.quality_verdicts(docs).collect())
+
+
 def test_quality_rules_of_awkward_rows(spark):
     docs = clashing(documents(spark))
     assert line_frequency.quality_verdicts(docs).count() == len(awkward())
