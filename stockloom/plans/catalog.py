@@ -7,7 +7,6 @@ that results can be compared with another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -556,20 +555,19 @@ def demand_model_tweedie(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def demand_model_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored_test(spark, folder, partial(demand_models.fit_boosted_trees, rounds=20))
+    return _scored_test(spark, folder, demand_models.fit_boosted_trees)
 
 
 @query
 def demand_model_boosted(spark: SparkSession, folder: str) -> DataFrame:
     """Boosted trees under the Tweedie loss."""
-    fit = partial(demand_models.fit_boosted_tweedie, rounds=10, step=0.3)
-    return _scored_test(spark, folder, fit)
+    return _scored_test(spark, folder, demand_models.fit_boosted_tweedie)
 
 
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = _split(materialize(_brand_features(spark, folder)))
-    model = demand_models.fit_boosted_trees(train, rounds=10)
+    model = demand_models.fit_boosted_trees(train)
     return demand_models.feature_importance(spark, model)
 
 

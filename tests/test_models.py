@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stockloom.models import demand_models, seasonal, topics, validation
 from stockloom.operators import demand, evaluation
+from stockloom.plans import catalog
 from stockloom.session import materialize
 
 
@@ -127,3 +128,24 @@ def test_topics_separate_two_vocabularies(spark):
     rows = topics.topic_terms(df, topics=2, terms=4, iterations=20).collect()
     found = {frozenset(r.term for r in rows if r.topic == t) for t in (0, 1)}
     assert found == {frozenset(part.split()) for part in parts}
+
+
+@pytest.mark.parametrize(
+    ("name", "fit"),
+    [
+        ("demand_model_gbt", "fit_boosted_trees"),
+        ("demand_model_boosted", "fit_boosted_tweedie"),
+        ("feature_importance", "fit_boosted_trees"),
+    ],
+)
+def test_registered_fits_keep_their_defaults(spark, monkeypatch, name, fit):
+    class Called(Exception):
+        pass
+
+    def recorded(train, **settings):
+        raise Called(settings)
+
+    monkeypatch.setattr(demand_models, fit, recorded)
+    with pytest.raises(Called) as called:
+        catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert called.value.args == ({},)
