@@ -1,14 +1,16 @@
 """URL filter: rules first, then a tree of path templates per host, judged by labels.
 
-Segments with digits are variable by their form. Level by level, segments that are rare
-among many, or whose labels do not differ from their siblings', become one wildcard branch
-``*``; those that are clearly better than their siblings become another, ``{low}``.
+Segments with digits are variable by their form. Level by level, segments with few labels,
+or whose labels do not differ from their siblings', become one wildcard branch ``*``; those
+that are clearly better than their siblings become another, ``{low}``. Levels go on as long
+as a node with further segments has labels enough for a split; ``**`` stands for the rest.
 A template's share of bad pages is smoothed towards its parent's, up to the host and all
 hosts; templates above a limit are rejected.
 """
 
 from __future__ import annotations
 
+from itertools import count
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -18,16 +20,13 @@ from stockloom.llm.common import sql_text, staged
 
 
 class Settings(NamedTuple):
-    """``depth`` segments are told apart, further ones are one ``**``. Of more than
-    ``children`` siblings, those with less than ``share`` of the pages are merged. Siblings
-    are also merged if the ``z`` value of their bad share against the others' is smaller, or
-    with fewer than ``labels`` labels. ``weight`` is the parent's, in labels; a share of bad
-    pages of at least ``limit`` is rejected.
+    """Siblings are merged if the ``z`` value of their bad share against the others' is
+    smaller, or with fewer than ``labels`` labels. ``weight`` is the parent's, in labels; a
+    share of bad pages of at least ``limit`` is rejected. Below ``depth`` levels, a node with
+    all labels of its parent keeps the parent's rate, so that a long path is no evidence.
     """
 
     depth: int = 4
-    children: int = 20
-    share: float = 0.02
     z: float = 2.58
     labels: int = 5
     weight: float = 4.0
@@ -59,8 +58,8 @@ def rule_of(host: Column, path: Column, rules: dict[str, str]) -> tuple[Column,
     return name, verdict
 
 
-def shape(path: Column, depth: int) -> Column:
-    """Segments joined by ``/``, variable ones by their form; more than ``depth`` end in ``**``."""
+def shape(path: Column) -> Column:
+    """Segments joined by ``/``, variable ones by their form."""
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     long_id = sql_text("^[0-9a-fA-F-]{16,}$")
     formed = F.transform(
@@ -69,21 +68,23 @@ def shape(path: Column, depth: int) -> Column:
             F.regexp_replace(s, "[0-9]+", "#")
         ),
     )
-    tail = F.when(F.size(formed) > depth, F.array(F.lit("**"))).otherwise(
-        F.array().cast("array<string>")
-    )
-    return F.array_join(F.concat(F.slice(formed, 1, depth), tail), "/")
+    return F.array_join(formed, "/")
 
 
 def _smoothed(bad: str, labels: str, prior: str, weight: float) -> Column:
     return F.expr(f"({bad} + {weight} * {prior}) / ({labels} + {weight})")
 
 
+def _open(depth: int, settings: Settings) -> str:
+    """Whether the labels of a row's node can still split it or change its rate."""
+    return f"({depth} < {settings.depth} or held >= {settings.labels})"
+
+
 def _level(tree: DataFrame, depth: int, settings: Settings) -> DataFrame:
     """The tree one level deeper: prefixes get their next segment, rates their next node's."""
     sums = [F.sum(c).alias(c) for c in ("n", "labels", "bad")]
     tree = tree.withColumn("segment", F.expr(f"get(split(shape, '/'), {depth})")).withColumn(
-        "segment", F.expr("if(segment = '', null, segment)")
+        "segment", F.expr(f"if(segment = '' or not {_open(depth, settings)}, null, segment)")
     )
     children = tree.filter("segment is not null").groupBy("host", "prefix", "segment").agg(*sums)
     parents = children.groupBy("host", "prefix").agg(
@@ -94,28 +95,42 @@ def _level(tree: DataFrame, depth: int, settings: Settings) -> DataFrame:
     pooled = "(all_bad + 1) / (all_labels + 2)"
     difference = "((bad + 0.5) / (labels + 1) - (all_bad - bad + 0.5) / (all_labels - labels + 1))"
     error = f"sqrt({pooled} * (1 - {pooled}) * (1 / labels + 1 / {rest}))"
-    rare = f"(siblings > {settings.children} and n < {settings.share} * all_n)"
     similar = f"(labels < {settings.labels} or abs({difference}) < {settings.z} * {error})"
     tokens = children.join(parents, ["host", "prefix"]).select(
         "host",
         "prefix",
         "segment",
         F.expr(
-            f"case when siblings = 1 then segment when {rare} or {similar} then '*'"
+            f"case when siblings = 1 then segment when {similar} then '*'"
             f" when {difference} < 0 then '{{low}}' else segment end"
         ).alias("token"),
     )
     grown = tree.join(tokens, ["host", "prefix", "segment"], "left").withColumn(
         "prefix", F.expr("if(token is null, prefix, concat(prefix, '/', token))")
     )
+    same = F.expr(f"{depth} >= {settings.depth} and labels = above_held")
+    own = _smoothed("bad", "labels", "above", settings.weight)
     nodes = (
         grown.filter("token is not null")
         .groupBy("host", "prefix")
-        .agg(*sums, F.max("rate").alias("above"))
-        .select("host", "prefix", _smoothed("bad", "labels", "above", settings.weight).alias("own"))
+        .agg(*sums, F.max("rate").alias("above"), F.max("held").alias("above_held"))
+        .select(
+            "host",
+            "prefix",
+            F.when(same, F.col("above")).otherwise(own).alias("own"),
+            F.col("labels").alias("own_held"),
+        )
     )
     return grown.join(nodes, ["host", "prefix"], "left").select(
-        "host", "shape", "n", "labels", "bad", "prefix", F.coalesce("own", "rate").alias("rate")
+        "host",
+        "shape",
+        "n",
+        "labels",
+        "bad",
+        "prefix",
+        F.coalesce("own", "rate").alias("rate"),
+        F.coalesce("own_held", "held").alias("held"),
+        F.when(F.col("token").isNotNull(), depth + 1).otherwise(F.col("told")).alias("told"),
     )
 
 
@@ -125,7 +140,7 @@ def template_tree(urls: DataFrame, settings: Settings = Settings()) -> DataFrame
     ``bad`` is 1, 0 or null where there is no label. Without any label all rates are 0.
     """
     shapes = (
-        urls.select("host", shape(F.col("path"), settings.depth).alias("shape"), "bad")
+        urls.select("host", shape(F.col("path")).alias("shape"), "bad")
         .groupBy("host", "shape")
         .agg(F.count("*").alias("n"), F.count("bad").alias("labels"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
     )
@@ -135,12 +150,21 @@ def template_tree(urls: DataFrame, settings: Settings = Settings()) -> DataFrame
     hosts = (
         shapes.groupBy("host")
         .agg(F.sum("labels").alias("labels"), F.sum("bad").alias("bad"))
-        .select("host", _smoothed("bad", "labels", repr(float(overall)) + "D", settings.weight).alias("rate"))
+        .select(
+            "host",
+            _smoothed("bad", "labels", repr(float(overall)) + "D", settings.weight).alias("rate"),
+            F.col("labels").alias("held"),
+        )
     )
-    tree = shapes.join(hosts, "host").withColumn("prefix", F.lit(""))
-    for depth in range(settings.depth + 1):
+    tree = shapes.join(hosts, "host").withColumns({"prefix": F.lit(""), "told": F.lit(0)})
+    segments = "if(shape = '', 0, size(split(shape, '/')))"
+    for depth in count():
+        further = f"{segments} > {depth} and {_open(depth, settings)}"
+        if tree.filter(further).isEmpty():
+            break
         tree = staged(_level(tree, depth, settings), "tree")
-    return tree.select("host", "shape", F.concat("host", "prefix").alias("template"), "rate")
+    rest = F.expr(f"if({segments} > told, '/**', '')")
+    return tree.select("host", "shape", F.concat("host", "prefix", rest).alias("template"), "rate")
 
 
 def url_verdicts(
@@ -160,7 +184,7 @@ def url_verdicts(
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("rate") >= settings.limit, "block").otherwise("allow")
     return (
-        split.withColumn("shape", shape(F.col("path"), settings.depth))
+        split.withColumn("shape", shape(F.col("path")))
         .join(tree, ["host", "shape"], "left")
         .select(
             "page_id",

@@ -149,3 +149,28 @@ def test_bad_templates_are_rejected_and_good_ones_left(spark):
     assert all(found[1000 + i].verdict == "allow" for i in range(20))
     assert found[0].template.startswith("site.com/{low}/")
     assert url_templates.url_verdicts(pages(spark, []), frame, RULES).count() == 0
+
+
+def test_bad_sections_of_many_equal_ones_and_bad_deep_segments_are_found(spark):
+    def name(i):
+        return "".join("abcdefghij"[int(c)] for c in str(i))
+
+    rows, labels = [], []
+    for section in range(60):
+        for i in range(20):
+            rows.append((100 * section + i, f"http://wide.com/s{name(section)}/x", None))
+            labels.append((100 * section + i, int(section == 7)))
+    for i in range(60):
+        kind = ("bad", "good")[i % 2]
+        rows.append((10_000 + i, f"http://deep.com/a/b/c/d/e/{kind}/{name(i)}", None))
+        labels.append((10_000 + i, int(kind == "bad")))
+    # Ids with few labels each are one branch still; long paths with few labels stay allowed.
+    rows += [(20_000 + i, f"http://ids.com/{name(i)}/{'y/' * 40}", None) for i in range(100)]
+    labels += [(20_000, 1), (20_001, 0), (20_002, 0)]
+    frame = spark.createDataFrame(labels, "page_id bigint, bad int")
+    found = {r.page_id: r for r in url_templates.url_verdicts(pages(spark, rows), frame, {}).collect()}
+    assert {i for i, r in found.items() if r.verdict == "block"} == {
+        *range(700, 720), *range(10_000, 10_060, 2)
+    }
+    assert found[20_003].template.startswith("ids.com/*/") and found[20_003].template.endswith("/**")
+    assert len({found[20_000 + i].template for i in range(100)}) == 1
