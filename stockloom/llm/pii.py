@@ -1,7 +1,7 @@
 """Personal data by patterns, and by contexts that those patterns teach.
 
 Only DataFrame functions. Base matches of fixed patterns are the seeds. Tokens with digits
-near words are candidates; the words around seeds and candidates are lexical patterns. A
+and spelled-out addresses near words are candidates; the words around seeds and candidates are lexical patterns. A
 graph of patterns and instances is scored in rounds: a pattern counts by the share of its
 instances that are believed, an instance by the patterns it occurs in. Candidates that good
 patterns vouch for become spans of the pattern's kind.
@@ -33,8 +33,19 @@ PATTERNS = {
 # What a text must contain to be searched at all.
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 # Digit-bearing tokens, also several with one space between them.
-_TOKEN = r"[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+# MASK stands for what base matches cover; tokens of which they cover a part are left out.
+MASK = r"\x{FFFF}"
+_TOKEN = rf"[^\x20\x09-\x0D0-9{MASK}]*+[0-9][^\x20\x09-\x0D{MASK}]*+(?![^\x20\x09-\x0D])"
 CANDIDATE = rf"(?<![^\x20\x09-\x0D]){_TOKEN}(?:\x20{_TOKEN})*+"
+# Addresses with or without digits: a word, an at sign or a spelling of it, and a host, which
+# must have a dot or a spelling of it after a bare "at".
+_HOST = r"[A-Za-z0-9-]++"
+_DOT = r"(?:\.|\x20dot\x20|\x20?\[dot\]\x20?|\x20?\(dot\)\x20?)"
+ADDRESS = (
+    rf"(?i)(?<![{_LOCAL}{MASK}])[a-z0-9_][{_LOCAL}]*+"
+    rf"(?:(?:@|\x20?\[at\]\x20?|\x20?\(at\)\x20?){_HOST}(?:{_DOT}{_HOST})*+"
+    rf"|\x20at\x20{_HOST}(?:{_DOT}{_HOST})++)(?![{MASK}@])"
+)
 # Characters of context that may hold the two words on each side.
 CONTEXT = 48
 
@@ -77,20 +88,20 @@ VALID = {
 }
 # Which candidates can be of a kind at all.
 PLAUSIBLE = {
-    "email": r"value rlike '[A-Za-z]' and value rlike '@| at |\\[at\\]|\\(at\\)'",
+    "email": r"value rlike '[A-Za-z]' and value rlike '(?i)@| at |\\[at\\]|\\(at\\)'",
     "ip": r"regexp_count(value, '[0-9]+') = 4 and value rlike '^[0-9][0-9.,:_-]+[0-9]$'",
     "card": f"length({_digits('value')}) between 12 and 19",
     "phone": f"length({_digits('value')}) between 7 and 15",
 }
 
 
-def _located(pattern: str, needs: str) -> tuple[dict, dict, str]:
+def _located(pattern: str, needs: str, text: str = "text") -> tuple[dict, dict, str]:
     """Columns, in three steps, that end in an array of (start, end, value, before, after)."""
     quoted = sql_text(pattern)
-    some = f"coalesce(text, '') rlike {sql_text(needs)}"
+    some = f"coalesce({text}, '') rlike {sql_text(needs)}"
     first = {
-        "_found": f"if({some}, regexp_extract_all(text, {quoted}, 0), cast(array() as array<string>))",
-        "_gaps": f"if({some}, split(text, {quoted}, -1), cast(array() as array<string>))",
+        "_found": f"if({some}, regexp_extract_all({text}, {quoted}, 0), cast(array() as array<string>))",
+        "_gaps": f"if({some}, split({text}, {quoted}, -1), cast(array() as array<string>))",
     }
     second = {
         "_lens": "zip_with(_found, slice(_gaps, 1, size(_found)), (f, g) -> length(g) + length(f))"
@@ -110,19 +121,50 @@ def base_spans(docs: DataFrame) -> DataFrame:
 
     Positions are code points, ends exclusive. A null text has none.
     """
-    for kind in (*KINDS, "candidate"):
-        pattern = PATTERNS.get(kind, CANDIDATE)
-        needs = NEEDS.get(kind, "[0-9]")
-        first, second, third = _located(pattern, needs)
-        docs = docs.withColumns({k: F.expr(v) for k, v in first.items()})
-        docs = docs.withColumns({k: F.expr(v) for k, v in second.items()})
-        docs = docs.withColumn(kind, F.expr(third)).drop("_found", "_gaps", "_lens")
-        if kind in VALID:
-            docs = docs.withColumn(kind, F.expr(f"filter({kind}, x -> {VALID[kind]})"))
-    # A candidate that holds a base match needs no discovery; a few digits are no identifier.
-    overlap = " or ".join(f"exists({k}, b -> b.start < c.end and c.start < b.end)" for k in KINDS)
-    usable = rf"regexp_count(c.value, '[0-9]') >= 4 and not ({overlap})"
-    return docs.withColumn("candidate", F.expr(f"filter(candidate, c -> {usable})"))
+    for kind in KINDS:
+        docs = _with_located(docs, kind, PATTERNS[kind], NEEDS[kind])
+        docs = docs.withColumn(kind, F.expr(f"filter({kind}, x -> {VALID[kind]})"))
+    docs = _with_masked(docs)
+    docs = _with_located(docs, "_numbers", CANDIDATE, "[0-9]", "_masked")
+    docs = _with_located(docs, "_addresses", ADDRESS, r"(?i)@| at |[\[(]at[\])]", "_masked")
+    # A few digits are no identifier.
+    numbers = "filter(_numbers, c -> regexp_count(c.value, '[0-9]') >= 4)"
+    # What is masked is one word of a context.
+    plain = "regexp_replace({}, '\\\\x{{FFFF}}+', '#')"
+    candidate = (
+        f"transform(concat({numbers}, _addresses), c -> named_struct('start', c.start, 'end', c.end,"
+        f" 'value', c.value, 'before', {plain.format('c.before')}, 'after', {plain.format('c.after')}))"
+    )
+    return docs.withColumn("candidate", F.expr(candidate)).drop("_numbers", "_addresses", "_masked")
+
+
+def _with_located(docs: DataFrame, name: str, pattern: str, needs: str, text: str = "text") -> DataFrame:
+    first, second, third = _located(pattern, needs, text)
+    docs = docs.withColumns({k: F.expr(v) for k, v in first.items()})
+    docs = docs.withColumns({k: F.expr(v) for k, v in second.items()})
+    return docs.withColumn(name, F.expr(third)).drop("_found", "_gaps", "_lens")
+
+
+def _with_masked(docs: DataFrame) -> DataFrame:
+    """``docs`` with _masked: the text, of equal length, with base matches blotted out."""
+    spans = ", ".join(
+        f"transform({k}, x -> named_struct('start', x.start, 'end', x.end))" for k in KINDS
+    )
+    docs = docs.withColumn("_base", F.expr(f"sort_array(concat({spans}))")).withColumns(
+        {
+            "_chars": F.expr("if(size(_base) > 0, split(text, ''), null)"),
+            "_ends": F.expr("transform(_base, s -> s.end)"),
+        }
+    )
+    docs = docs.withColumn("_covered", F.expr(running("_ends", "0", "greatest(acc, v)")))
+    pieces = (
+        "zip_with(_base, _covered, (s, done) -> concat("
+        "array_join(slice(_chars, done + 1, greatest(s.start - done, 0)), ''),"
+        " repeat(decode(unhex('EFBFBF'), 'UTF-8'), greatest(s.end - greatest(s.start, done), 0))))"
+    )
+    rest = "array_join(slice(_chars, array_max(_ends) + 1, size(_chars)), '')"
+    masked = f"if(size(_base) > 0, concat(array_join({pieces}, ''), {rest}), text)"
+    return docs.withColumn("_masked", F.expr(masked)).drop("_base", "_chars", "_ends", "_covered")
 
 
 _LAST = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"

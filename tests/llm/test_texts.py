@@ -82,6 +82,27 @@ def test_contexts_find_unseen_identifiers(spark):
     assert text[102] == rows[-1][1]
 
 
+def test_addresses_without_digits_and_numbers_beside_base_matches_are_found(spark):
+    rows = [(i, f"please write to anna{i}@mail.example.com for all news", None, None, 0) for i in range(30)]
+    rows += [(50 + i, f"please call me +1 (743) 555-{1000 + i} now dear", None, None, 0) for i in range(30)]
+    spelled = [
+        "john.smith [at] example.com", "john.smith at example dot com", "jane7 at example.com",
+        "john(at)example(dot)com",
+    ]
+    rows += [(100 + i, f"please write to {x} for all news", None, None, 0) for i, x in enumerate(spelled)]
+    rows += [(200, "please write to everybody at home for all news", None, None, 0)]
+    rows += [(300, "see 10.1.2.3 5551234567 now dear", None, None, 0)]
+    rows += [(301, "please call me 743 555 7777 10.1.2.3 or so", None, None, 0)]
+    docs = documents(spark, rows)
+    text = {r.doc_id: r.text for r in pii.redacted(docs).collect()}
+    for i in range(len(spelled)):
+        assert text[100 + i] == "please write to <EMAIL> for all news"
+    assert text[200] == rows[60 + len(spelled)][1]
+    assert text[301] == "please call me <PHONE> <IP> or so"
+    found = {r.doc_id: r.candidate for r in pii.base_spans(docs).collect()}
+    assert [(c.start, c.end, c.value) for c in found[300]] == [(13, 23, "5551234567")]
+
+
 def test_redaction_equals_python(spark):
     rows = [(i, t, None, None, None) for i, t in enumerate(TEXTS)]
     found = {r.doc_id: r.text for r in pii.redacted(documents(spark, rows)).collect()}
