@@ -2,7 +2,8 @@
 
 The reader checks each record: gzip's CRC, version line, headers, lengths and digests.
 After a failed check it searches for the next valid gzip member or version line, goes on
-from there, and logs the bytes in between as a quarantined gap.
+from there, and logs the bytes in between as a quarantined gap. Members are unpacked as
+streams and searched in the same way, so records around a damaged place of one are kept.
 """
 
 from __future__ import annotations
@@ -24,12 +25,14 @@ from stockloom.llm.common import staged
 from stockloom.session import stage_folder
 
 VERSION = b"WARC/1.1\r\n"
-# Longest header that is still one.
-HEADER_LIMIT = 64 << 10
 # Compressed bytes of one archive before the next begins.
 ARCHIVE_BYTES = 64 << 20
 READ = 1 << 20
+# Packed bytes that are unpacked at once: how exactly places inside a member are known.
+CHUNK = 2 << 10
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
+_MEMBER = re.compile(rb"\x1f\x8b\x08")
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 
 
 def digest(payload: bytes) -> str:
@@ -174,30 +177,37 @@ class Broken(ValueError):
     pass
 
 
-def _parse(data: bytes | bytearray, more=None) -> tuple[dict[str, str], bytes, int]:
-    """Headers, block and length of the record at the beginning of ``data``.
+def _parse(window: Window) -> tuple[dict[str, str], bytes, int]:
+    """Headers, block and length of the record at the beginning of ``window``.
 
-    ``more(size)`` reads on until so many bytes are there, if it can.
+    A header may be of any length; it ends at the latest at a line without a colon.
     """
+    window.fill(len(VERSION))
+    data = window.data
     if not data.startswith((VERSION, b"WARC/1.0\r\n")):
         raise Broken("no version line")
-    end = data.find(b"\r\n\r\n", 0, HEADER_LIMIT)
-    if end < 0:
-        raise Broken("no end of the header")
-    headers = {}
-    for line in bytes(data[:end]).split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
+    headers, at, seen = {}, len(VERSION), len(VERSION)
+    while True:
+        end = data.find(b"\r\n", seen)
+        if end < 0:
+            seen = max(at, len(data) - 1)
+            if not window.fill(len(data) + 1):
+                raise Broken("no end of the header")
+            continue
+        if end == at:
+            break
+        name, colon, value = bytes(data[at:end]).partition(b":")
         if not colon:
             raise Broken("a header line without a colon")
         headers[name.strip().lower().decode("ascii", "replace")] = value.strip().decode("utf-8", "replace")
+        at = seen = end + 2
     if not {"warc-type", "warc-record-id"} <= headers.keys():
         raise Broken("no type or no id")
     if not re.fullmatch(r"[0-9]{1,18}", headers.get("content-length", "")):
         raise Broken("no content length")
-    first = end + 4
+    first = end + 2
     last = first + int(headers["content-length"])
-    if more is not None:
-        more(last + 4)
+    window.fill(last + 4)
     if bytes(data[last : last + 4]) != b"\r\n\r\n":
         raise Broken("the record does not end where its length says")
     block = bytes(data[first:last])
@@ -219,61 +229,124 @@ def payload(block: bytes) -> bytes:
     return block.partition(b"\r\n\r\n")[2]
 
 
-def _member(window: Window) -> tuple[bytes, int]:
-    """The gzip member at the beginning of the window, unpacked, and its packed length."""
-    unpacker = zlib.decompressobj(31)
-    out, used = [], 0
-    try:
-        while not unpacker.eof:
-            if not window.fill(used + 1):
-                raise Broken("a member that is cut short")
-            chunk = bytes(window.data[used : used + READ])
-            out.append(unpacker.decompress(chunk))
-            used += len(chunk) - len(unpacker.unused_data)
-    except zlib.error as error:
-        raise Broken(f"a damaged member: {error}") from None
-    return b"".join(out), used
+class Unpacked:
+    """The gzip member at the beginning of ``packed``, as a stream of its unpacked bytes.
 
+    ``used`` bytes of ``packed`` are unpacked. At a damaged place the stream ends, after all
+    that could be unpacked before it, and ``error`` says why.
+    """
 
-def salvage(stream) -> Iterator[Found]:
-    """Records and gaps of an archive, in order; together they cover every byte of it."""
-    window, gap, reason = Window(stream), None, ""
+    def __init__(self, packed: Window):
+        self.packed, self.used, self.error = packed, 0, ""
+        self.unpacker = zlib.decompressobj(31)
+
+    def place(self) -> int:
+        return self.packed.base + self.used
+
+    def read(self, size: int) -> bytes:
+        out = b""
+        while not (out or self.unpacker.eof or self.error):
+            # Some bytes are kept, for a search after damage.
+            if self.used > 2 * READ:
+                self.packed.skip(self.used - READ)
+                self.used = READ
+            if not self.packed.fill(self.used + 1):
+                self.error = "a member that is cut short"
+                break
+            chunk = bytes(self.packed.data[self.used : self.used + CHUNK])
+            before = self.unpacker.copy()
+            try:
+                out = self.unpacker.decompress(chunk)
+                self.used += len(chunk) - len(self.unpacker.unused_data)
+            except zlib.error as error:
+                self.error = f"a damaged member: {error}"
+                out = self._rest(before, chunk)
+        return out
+
+    def _rest(self, unpacker, chunk: bytes) -> bytes:
+        """What comes out of ``chunk`` before the damaged byte."""
+        out = []
+        for k in range(len(chunk)):
+            try:
+                out.append(unpacker.decompress(chunk[k : k + 1]))
+            except zlib.error:
+                break
+            self.used += 1
+        return b"".join(out)
+
+
+def _records(member: Unpacked) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str]]:
+    """(start, end, headers, block, reason) of a member's records; headers are None after a
+    failed check. Places are those of the packed bytes."""
+    window = Window(member)
     while window.fill(1):
+        start = member.place()
         try:
-            window.fill(16)
-            if window.data.startswith(b"\x1f\x8b"):
-                data, used = _member(window)
-                found, at = [], 0
-                while at < len(data):
-                    headers, block, length = _parse(data[at:] if at else data)
-                    found.append((headers, block))
-                    at += length
-                if not found:
-                    raise Broken("a member without a record")
-            else:
-                window.fill(HEADER_LIMIT)
-                headers, block, used = _parse(window.data, window.fill)
-                found = [(headers, block)]
+            headers, block, length = _parse(window)
         except Broken as error:
-            if gap is None:
-                gap, reason = window.base, str(error)
-            _next_start(window)
+            yield start, start, None, b"", str(error)
+            _next_start(window, _VERSION)
+            continue
+        window.skip(length)
+        # At the last record, this reads the member's end.
+        window.fill(1)
+        yield start, member.place(), headers, block, ""
+
+
+def salvage(stream) -> Iterator[Found]:
+    """Records and gaps of an archive, in order; together they cover every byte of it.
+
+    Inside a member, places are known to ``CHUNK`` packed bytes, so a record or gap that
+    shares them with the one before may have no bytes of its own.
+    """
+    # All before ``at`` is given out; with a reason, a gap begins there.
+    window, at, reason = Window(stream), 0, ""
+    while window.fill(1):
+        window.fill(16)
+        begin = window.base
+        if not window.data.startswith(b"\x1f\x8b"):
+            try:
+                headers, block, length = _parse(window)
+            except Broken as error:
+                reason = reason or str(error)
+                _next_start(window, _START)
+                continue
+            if reason:
+                yield Found(at, max(at, begin), None, b"", reason)
+                at, reason = max(at, begin), ""
+            window.skip(length)
+            yield Found(at, window.base, headers, block)
+            at = window.base
             continue
-        if gap is not None:
-            yield Found(gap, window.base, None, b"", reason)
-            gap = None
-        for headers, block in found:
-            yield Found(window.base, window.base + used, headers, block)
-        window.skip(used)
-    if gap is not None:
-        yield Found(gap, window.base, None, b"", reason)
-
-
-def _next_start(window: Window) -> None:
-    """Skips to the next place, after this one, where a record or member may begin."""
-    first = 1
+        member, records, lost = Unpacked(window), 0, False
+        for start, end, headers, block, why in _records(member):
+            if headers is None:
+                reason, lost = reason or why, True
+                continue
+            if reason:
+                # The member's first bytes are the record's if nothing in it was lost.
+                start = max(at, start if records or lost else begin)
+                yield Found(at, start, None, b"", reason)
+                at, reason = start, ""
+            end = max(at, end)
+            yield Found(at, end, headers, block)
+            at, records = end, records + 1
+        if not member.error:
+            window.skip(member.used)
+            if not records:
+                reason = reason or "a member without a record"
+            continue
+        reason = reason or member.error
+        # Records of this member that are given out already must not be found again.
+        _next_start(window, _MEMBER if records else _START, max(0, begin + 1 - window.base))
+    if reason:
+        yield Found(at, max(at, window.base), None, b"", reason)
+
+
+def _next_start(window: Window, start: re.Pattern, first: int = 1) -> None:
+    """Skips to the next place, from ``first`` on, where a record or member may begin."""
     while True:
-        found = _START.search(window.data, first)
+        found = start.search(window.data, first)
         if found:
             window.skip(found.start())
             return

@@ -81,6 +81,42 @@ def test_salvage_recovers_later_records_and_covers_every_byte():
             assert set(range(30)) - set(hit) <= set(ids) and ids == sorted(set(ids))
 
 
+def salvaged(data):
+    found = list(warc.salvage(io.BytesIO(data)))
+    at = 0
+    for piece in found:
+        assert piece.start == at
+        at = piece.end
+    assert at == len(data)
+    return [int(f.headers["warc-record-id"][10:-1]) if f.headers else None for f in found]
+
+
+def test_salvage_keeps_good_records_of_a_damaged_member():
+    choice = random.Random(8)
+    plain = members(40, False)
+    assert salvaged(warc.gzip_member(b"".join(plain))) == [*range(40)]
+    damaged = bytearray(plain[20])
+    damaged[-10] ^= 0xFF
+    one = warc.gzip_member(b"".join([*plain[:20], damaged, *plain[21:]]))
+    assert salvaged(one) == [*range(20), None, *range(21, 40)]
+    # A wrong CRC, and ends cut off: what was unpacked before is kept, and what follows.
+    whole = warc.gzip_member(b"".join(plain[:30]))
+    broken = bytearray(whole)
+    broken[-6] ^= 0xFF
+    tail = warc.gzip_member(plain[35]) + warc.gzip_member(plain[36])
+    assert salvaged(bytes(broken) + tail) == [*range(30), None, 35, 36]
+    noise = [warc.record(i, "u", choice.randbytes(9000), "", None, False) for i in range(30)]
+    cut = warc.gzip_member(b"".join(noise))
+    found = salvaged(cut[: len(cut) // 2] + tail)
+    assert found[:14] == [*range(14)] and found[-3:] == [None, 35, 36] and len(found) <= 18
+
+
+def test_headers_of_any_length_are_read(spark):
+    rows = [(1, "http://a.net/" + "x" * 200_000, "<p>a</p>"), (2, "http://a.net/2", "<p>b</p>")]
+    found = warc.archived(spark, pages(spark, rows)).collect()
+    assert {r.page_id: r.url for r in found} == {i: url for i, url, _ in rows}
+
+
 def test_salvage_of_empty_and_foreign_bytes():
     assert list(warc.salvage(io.BytesIO(b""))) == []
     junk = random.Random(1).randbytes(3_000_000)
