@@ -18,6 +18,7 @@ from stockloom.llm import (
     toxicity,
     url_templates,
     warc,
+    whitening,
 )
 from stockloom.llm.common import held_out, sampled, table
 
@@ -139,3 +140,9 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
     )
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return whitening.whitened(vectors.selectExpr("vec_id", "embedding as vector"))
