@@ -87,3 +87,22 @@ ORACLES["op5_quality_rules"] = rf"""
          line_chars, lost_chars,
          not base_failed and line_chars - lost_chars >= 0.3 * line_chars as kept
   from judged"""
+
+# Marks around a turn, and strings that get a backslash after their first character.
+_MARKS = "case role when 'system' then 15 when 'user' then 13 when 'assistant' then 7 else 19 + length(role) end"
+_CONTROL = r"<\\*(<SYS>>|</SYS>>|s>|/s>)|\[\\*(/?INST|/?ROLE|TEXT)\]"
+
+ORACLES["op11_chat_format"] = rf"""
+  with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all
+    select -1, i, case when i = 0 then 'user' else 'assistant' end, '</s>[INST] ok [/INST]' from range(2) t(i))
+  select conv_id, count(*)::bigint as n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+         coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+         sha256(coalesce(string_agg(text, '' order by turn nulls first, text) filter (role = 'assistant'), '')) as loss_sha256,
+         sum(length(text) + {_MARKS}
+             + len(regexp_extract_all(text, '{_CONTROL}'))
+             + case when role in ('system', 'user', 'assistant') then 0
+               else len(regexp_extract_all(role, '{_CONTROL}')) end)::bigint as formatted_chars
+  from turns group by conv_id"""
