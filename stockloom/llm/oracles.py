@@ -106,3 +106,55 @@ ORACLES["op11_chat_format"] = rf"""
              + case when role in ('system', 'user', 'assistant') then 0
                else len(regexp_extract_all(role, '{_CONTROL}')) end)::bigint as formatted_chars
   from turns group by conv_id"""
+
+# Bytes are folded into the checksum by the table of its polynomial, as usual for crc32;
+# near words share a string with one place starred, or one is the other less one place.
+ORACLES["op12_spelling_variants"] = rf"""
+  with recursive steps as (
+    select i, 0 as k, i::bigint as c from range(256) t(i)
+    union all
+    select i, k + 1, case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end from steps where k < 8),
+  crc as materialized (select list(c order by i) as t from steps where k = 8),
+  runs as (
+    select doc_id, {_LOWER.format(text="unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\\x{C0}-\\x{FF}]+'))")} as run
+    from documents),
+  long_runs as (
+    select run, coalesce(doc_id::varchar, '') || ':' || run as key, count(*) as times
+    from runs where length(run) >= 7 group by all),
+  bytes as (
+    select run, times, list_prepend(4294967295, list_transform(range(length(hex(encode(key))) // 2),
+             lambda i: ('0x' || substr(hex(encode(key)), 2 * i + 1, 2))::bigint)) as bs
+    from long_runs),
+  hashed as (
+    select run, times,
+           xor(list_reduce(bs, lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295) as h
+    from bytes, crc),
+  spelled as (
+    select case when h % 31 = 0 then substr(run, 1, (h % length(run))::int) || substr(run, (h % length(run))::int + 2)
+           else run end as word, times from hashed),
+  words as materialized (
+    select word, sum(times)::bigint as n from spelled where length(word) >= 7
+    group by word having sum(times) >= 2),
+  cut as materialized (
+    select word, n, substr(word, 1, i - 1) as l, substr(word, i + 1) as r
+    from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+  starred as materialized (select word, n, l || '*' || r as s from cut),
+  shorter as materialized (select distinct word, n, l || r as s from cut),
+  pairs as materialized (
+    select a.word, b.word as near, b.n as near_n from starred a join starred b on a.s = b.s and a.word <> b.word
+    union all select a.word, b.word, b.n from shorter a join words b on a.s = b.word
+    union all select b.word, a.word, a.n from shorter a join words b on a.s = b.word),
+  best as (
+    select word, count(*) as n_near, max(near_n) as near_n from pairs group by word),
+  judged as materialized (
+    select words.word, words.n, coalesce(n_near, 0)::bigint as n_near,
+           case when near_n >= 10 * words.n then
+             (select min(near) from pairs p where p.word = words.word and p.near_n = best.near_n) end as form,
+           case when near_n >= 10 * words.n then near_n end as form_n
+    from words left join best using (word)),
+  chain as (
+    select word, form as tip from judged where form is not null
+    union all select chain.word, judged.form from chain join judged on judged.word = chain.tip where judged.form is not null),
+  roots as (
+    select chain.word, tip as root from chain join judged on judged.word = chain.tip where judged.form is null)
+  select word, form, coalesce(root, word) as root, n, n_near, form_n from judged left join roots using (word)"""

@@ -16,6 +16,7 @@ from stockloom.llm import (
     quality_qda,
     secret_scan,
     sentencepiece_bpe,
+    spelling_variants,
     toxicity,
     url_templates,
     warc,
@@ -157,6 +158,11 @@ def op11_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digests(chat_format.formatted(rows.unionByName(more)))
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, folder, "documents"))
+
+
 @query
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
