@@ -19,6 +19,7 @@ no rows. Columns other than doc_id and text are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -170,6 +171,16 @@ def _met(words: DataFrame, others: DataFrame, symbols: int, carried: str) -> Dat
     return around.join(_keyed(others, symbols, False, carried).toDF("key", "b", "b_n"), "key")
 
 
+def _one_edit_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose ``b``, no longer than ``a``, is one edit away; linear in the letters."""
+    for batch in batches:
+        keep = []
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            same = len(commonprefix([a, b]))
+            keep.append(a != b and a[same + 1 :] == b[same + (len(a) == len(b)) :])
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 def near_pairs(words: DataFrame, symbols: int) -> DataFrame:
     """(word, near, near_n): both orders of all words of ``words`` (word, n) one edit apart.
 
@@ -191,7 +202,9 @@ def near_pairs(words: DataFrame, symbols: int) -> DataFrame:
             F.col("id").alias(side), F.col("word").alias(f"{side}_word")
         )
         by_id = by_id.filter("a <> b").join(own, side)
-    by_id = by_id.selectExpr("a_word as a", "a_n", "b_word as b", "b_n").filter(same).distinct()
+    pair = "a string, a_n bigint, b string, b_n bigint"
+    by_id = by_id.selectExpr("a_word as a", "a_n", "b_word as b", "b_n")
+    by_id = by_id.filter("length(b) <= length(a)").mapInArrow(_one_edit_apart, pair).distinct()
     met = met.select("a", "a_n", "b", "b_n").unionByName(by_id)
     one_way = "struct(a as word, b as near, b_n as near_n)"
     other_way = "struct(b as word, a as near, a_n as near_n)"

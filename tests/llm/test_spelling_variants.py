@@ -1,3 +1,4 @@
+import os
 import random
 import re
 import zlib
@@ -14,11 +15,12 @@ LETTERS = "abcdeé÷"
 
 
 def one_edit(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
     if len(a) < len(b):
         a, b = b, a
-    if len(a) == len(b):
-        return sum(x != y for x, y in zip(a, b)) == 1
-    return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+    same = len(os.path.commonprefix([a, b]))
+    return a[same + 1 :] == b[same + (len(a) == len(b)) :]
 
 
 def brute(rows):
