@@ -1,20 +1,27 @@
 """Exact Jaccard self-join of documents on word n-grams by PartEnum signatures.
 
 Sets of similar size share a band. A band's largest size fixes how many elements two
-sets of the required similarity can differ in, say k. The domain of n-grams is cut by
-hash into more than k parts; similar sets then agree on at least one part, and the
-enumerated subsets are those single parts (second-level threshold 0). Each part's hash is
-one signature. Sets with a common signature are compared by parity sketches of 256 bits,
-whose Hamming distance never exceeds that of the sets, then by the sets themselves. Groups
-of near copies are contracted round by round before their pairs would be compared.
+sets of the required similarity can differ in, say k. The domain of n-grams is cut by hash
+into groups of three parts, more than k / 2 groups. Sets that differ in k elements at most
+differ in two parts of at most k / 2 groups, so in some group two parts agree: all subsets
+of two of a group's three parts are enumerated, and each is one signature. With s groups
+more than needed, s + 1 signatures agree at least, so each set can leave out its s
+smallest ones, which sets meet on by chance; the largest agreeing one is left out by none.
+
+Sets with a common signature are compared inside that join by parity sketches, whose
+Hamming distance never exceeds that of the sets. A sketch has more than twice as many bits
+as its band's sets may differ in, so unrelated sets do not pass; pairs that do are compared
+by the sets themselves. Groups of near copies are contracted round by round before their
+pairs would be compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache
 from itertools import count
-from math import ceil
+from math import ceil, exp
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +34,17 @@ from stockloom.llm.words import mix, shingles, slices, words_of
 
 # Largest size of a band over its smallest.
 BAND_RATIO = 1.4
-SKETCH_BITS = 256
-# Bits of the sketch of sets in pairs that passed the short one.
-WIDE_BITS = 2048
-SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+# Parts of a group; all but one of them make a signature.
+GROUP = 3
+# Bits of a sketch over the number of elements that sets of its band may differ in.
+SKETCH_RATIO = 2.3
+# Words of a sketch that are columns; the others are an array.
+SKETCH = [f"s{i}" for i in range(4)]
+# Bits of a signature that hold the number of its band.
+BAND_BITS = 6
+# For the choice of groups: how alike sets are that meet by chance, and what such a
+# meeting costs against moving one signature.
+CHANCE, MEETING = 0.05, 200.0
 # Sets that one task remembers, so that it emits the signatures of copies once.
 REMEMBERED = 200_000
 # Ids that may be broadcast: 32 MB of them.
@@ -39,6 +53,17 @@ BROADCAST_IDS = 4_000_000
 SETS_PER_SIGNATURE = 8
 
 
+class Band(NamedTuple):
+    """Sets of ``low`` to ``high`` elements and of similar sets below."""
+
+    number: int
+    low: int
+    high: int
+    groups: int
+    left_out: int
+    bits: int
+
+
 def bands(largest: int) -> list[tuple[int, int]]:
     """(smallest, largest) size of each band, up to the one that holds ``largest``."""
     found, low = [], 1
@@ -54,36 +79,100 @@ def distance_limit(size: int, percent: int) -> int:
     return size * (100 - percent) // (100 + percent)
 
 
-def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
-    """Signatures of one non-empty set of distinct hashes."""
-    size = len(elements)
-    spread = mix(elements)
-    upper = spread >> np.uint64(32)
+def _left_out(low: int, limit: int) -> int:
+    """How many groups more than needed serve sets of ``low`` elements best.
+
+    Each further group lets a set drop one more small signature, but makes all of them
+    smaller. Numbers of elements are taken as Poisson distributed.
+    """
+    needed = limit // 2 + 1
+    best, least = 0, float("inf")
+    for more in sorted({round(needed * share / 20) for share in range(41)}):
+        groups = needed + more
+        mean = low * (GROUP - 1) / (GROUP * groups)
+        drop, chance, cost = more / (GROUP * groups), exp(-mean), 0.0
+        for size in range(ceil(mean) + 1):
+            stays = max(0.0, chance - drop)
+            drop = max(0.0, drop - chance)
+            cost += stays * CHANCE**size
+            chance *= mean / (size + 1)
+        cost = GROUP * groups * (1.0 + MEETING * cost) - more
+        if cost < least:
+            best, least = more, cost
+    return best
+
+
+@lru_cache(maxsize=4096)
+def band_at(number: int, low: int, high: int, percent: int) -> Band:
+    limit = distance_limit(2 * high, percent)
+    # Sets that must be equal have one signature, that of the whole set.
+    left_out = _left_out(low, limit) if limit else 0
+    groups = limit // 2 + 1 + left_out if limit else 0
+    bits = 64 * len(SKETCH)
+    while bits < SKETCH_RATIO * limit:
+        bits *= 2
+    return Band(number, low, high, groups, left_out, bits)
+
+
+def bands_of(size: int, percent: int) -> list[Band]:
+    """Bands in which a set of ``size`` elements can meet similar ones, smallest first."""
     found = []
     for number, (low, high) in enumerate(bands(ceil(size * 100 / percent))):
-        if not ceil(low * percent / 100) <= size <= high:
+        if ceil(low * percent / 100) <= size <= high:
+            found.append(band_at(number, low, high, percent))
+    return found
+
+
+def signatures(elements: np.ndarray, percent: int) -> np.ndarray:
+    """Signatures of one non-empty sorted set of distinct hashes."""
+    upper = elements >> np.uint64(32)
+    spread = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(elements), dtype=np.uint64)])
+    found = []
+    for band in bands_of(len(elements), percent):
+        if band.groups == 0:
+            whole = mix(spread[-1:] ^ np.uint64(band.number))
+            found.append(_numbered(whole, band.number))
             continue
-        limit = distance_limit(2 * high, percent)
-        parts = 1 if limit == 0 else limit + 1 + ceil((limit + 1) / 10)
+        parts = GROUP * band.groups
         part = ((upper * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
-        sums = np.zeros(parts, dtype=np.uint64)
-        np.add.at(sums, part, spread)
-        filled = np.bincount(part, minlength=parts) > 0
-        where = mix(np.arange(parts, dtype=np.uint64) + np.uint64(number << 32))
-        # At least parts - limit parts agree. A set with fewer empty parts than that agrees
-        # on one that is not empty; only if both sets have more are empty parts needed.
-        chosen = filled if parts - filled.sum() < parts - limit else np.ones(parts, dtype=bool)
-        found.append(mix(sums ^ where)[chosen])
+        ends = np.searchsorted(part, np.arange(parts + 1))
+        counts = np.diff(ends).reshape(-1, GROUP)
+        sums = np.diff(spread[ends]).reshape(-1, GROUP)
+        # A subset is its group without one part.
+        sizes = (counts.sum(axis=1, keepdims=True) - counts).ravel()
+        subsets = (sums.sum(axis=1, keepdims=True, dtype=np.uint64) - sums).ravel()
+        where = mix(np.arange(parts, dtype=np.uint64) + np.uint64(band.number << 32))
+        own = _numbered(mix(subsets ^ where), band.number)
+        if band.left_out:
+            smallest = np.partition(sizes, band.left_out)[band.left_out]
+            keep = sizes > smallest
+            ties = np.flatnonzero(sizes == smallest)
+            dropped = band.left_out - int((sizes < smallest).sum())
+            keep[ties[np.argsort(own[ties])[dropped:]]] = True
+            own = own[keep]
+        found.append(own)
     return np.concatenate(found)
 
 
-def sketch(elements: np.ndarray, size: int = SKETCH_BITS) -> np.ndarray:
+def _numbered(values: np.ndarray, number: int) -> np.ndarray:
+    """Signatures whose last bits are the number of their band."""
+    return (values << np.uint64(BAND_BITS)) | np.uint64(number)
+
+
+def sketch(elements: np.ndarray, size: int) -> np.ndarray:
     """Parities of the number of elements per bit, as 64-bit words; ``size`` is a power of 2."""
     bits = (elements & np.uint64(size - 1)).astype(np.int64)
     odd = (np.bincount(bits, minlength=size) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
+def folded(words: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of ``size`` bits of the same set."""
+    while 64 * len(words) > size:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
 def set_key(elements: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set."""
     spread = mix(elements ^ np.uint64(0xA5A5A5A5A5A5A5A5))
@@ -101,25 +190,60 @@ def _sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int | None, np.nd
             yield doc_id, np.unique(shingles(own, words))
 
 
-def _classes(words: int):
+def _classes(words: int, percent: int):
+    """Size, key and widest sketch of each document's set."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, sizes, keys = [], [], []
+            ids, sizes, keys, sketches = [], [], [], []
             for doc_id, elements in _sets(batch, words):
                 ids.append(doc_id)
                 sizes.append(len(elements))
-                if len(elements):
-                    keys.append((*set_key(elements), *map(int, sketch(elements))))
-                else:
-                    keys.append((None,) * (2 + len(SKETCH)))
-            columns = zip(*keys, strict=True) if keys else [[]] * (2 + len(SKETCH))
+                filled = len(elements) > 0
+                keys.append(set_key(elements) if filled else (None, None))
+                bits = bands_of(len(elements), percent)[-1].bits if filled else 0
+                sketches.append(sketch(elements, bits).tobytes() if filled else None)
             yield pa.record_batch(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(sizes, pa.int64()),
-                    *(pa.array(column, pa.int64()) for column in columns),
+                    pa.array([k for k, _ in keys], pa.int64()),
+                    pa.array([k for _, k in keys], pa.int64()),
+                    pa.array(sketches, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "k1", "k2", *SKETCH],
+                ["doc_id", "n_shingles", "k1", "k2", "sketch"],
+            )
+
+    return run
+
+
+def _in_bands(percent: int):
+    """A row for each set and band, with the sketch as wide as that band's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, number, words, rest = [], [], [], []
+            sizes = batch.column("n").to_pylist()
+            for row, packed in enumerate(batch.column("sketch").to_pylist()):
+                whole = np.frombuffer(packed, dtype=np.int64)
+                for band in bands_of(sizes[row], percent):
+                    own = folded(whole, band.bits)
+                    place.append(row)
+                    number.append(band.number)
+                    words.append(own[: len(SKETCH)])
+                    rest.append(own[len(SKETCH) :])
+            first = np.array(words, dtype=np.int64).reshape(-1, len(SKETCH))
+            ends = np.cumsum([0, *map(len, rest)])
+            flat = np.concatenate([*rest, np.zeros(0, np.int64)])
+            at = pa.array(place, pa.int64())
+            yield pa.record_batch(
+                [
+                    *(batch.column(name).take(at) for name in ("k1", "rep", "n")),
+                    pa.array(number, pa.int64()),
+                    *(pa.array(np.ascontiguousarray(first[:, i])) for i in range(len(SKETCH))),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                ],
+                ["k1", "rep", "n", "band", *SKETCH, "rest"],
             )
 
     return run
@@ -153,14 +277,10 @@ def _signature_rows(words: int, percent: int):
 
 def _signature_batch(keys: list[tuple[int, int]], rows: list[np.ndarray]) -> pa.RecordBatch:
     counts = [len(row) for row in rows]
-    pairs = np.repeat(np.array(keys, dtype=np.int64).reshape(-1, 2), counts, axis=0)
+    first = np.array([k for k, _ in keys], dtype=np.int64)
     return pa.record_batch(
-        [
-            pa.array(np.concatenate(rows).view(np.int64)),
-            pa.array(np.ascontiguousarray(pairs[:, 0])),
-            pa.array(np.ascontiguousarray(pairs[:, 1])),
-        ],
-        ["sig", "k1", "k2"],
+        [pa.array(np.concatenate(rows).view(np.int64)), pa.array(np.repeat(first, counts))],
+        ["sig", "k1"],
     )
 
 
@@ -169,16 +289,15 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Streams: only the first row of the signature at hand is held back.
     """
-    held = None  # (sig, k1, k2, whether it has been passed on)
+    held = None  # (sig, k1, whether it has been passed on)
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        rows = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
-        before = len(rows) if held is None else len(rows) + 1
+        rows = np.stack([batch.column(i).to_numpy() for i in range(2)], axis=1)
         if held is not None:
-            rows = np.concatenate([np.array([held[:3]], dtype=np.int64), rows])
-        passed = held is not None and held[3]
-        new = np.ones(before, dtype=bool)
+            rows = np.concatenate([np.array([held[:2]], dtype=np.int64), rows])
+        passed = held is not None and held[2]
+        new = np.ones(len(rows), dtype=bool)
         new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
         rows = rows[new]
         same = rows[1:, 0] == rows[:-1, 0]
@@ -191,11 +310,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (*map(int, rows[-1]), last)
         out = rows[keep]
         yield pa.record_batch(
-            [pa.array(np.ascontiguousarray(out[:, i])) for i in range(3)], ["sig", "k1", "k2"]
+            [pa.array(np.ascontiguousarray(out[:, i])) for i in range(2)], ["sig", "k1"]
         )
 
 
-def _full_sets(words: int, wide: bool):
+def _full_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int, int]] = set()
         for batch in batches:
@@ -211,7 +330,7 @@ def _full_sets(words: int, wide: bool):
                         seen.clear()
                     seen.add(row)
                     ids.append(doc_id)
-                    sets.append(sketch(elements, WIDE_BITS) if wide else elements.view(np.int64))
+                    sets.append(elements.view(np.int64))
                 lengths = np.cumsum([0, *(len(s) for s in sets)])
                 flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat))
@@ -234,62 +353,60 @@ def similar_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFram
     doc_id of a class. A null rep marks an empty set or a null doc_id.
     """
     docs = docs.select("doc_id", "text")
-    kinds = ", ".join(f"{name} bigint" for name in ("k1", "k2", *SKETCH))
-    slim = staged(
-        docs.mapInArrow(_classes(words), f"doc_id bigint, n_shingles bigint, {kinds}"), "classes"
-    )
+    kinds = "doc_id bigint, n_shingles bigint, k1 bigint, k2 bigint, sketch binary"
+    slim = staged(docs.mapInArrow(_classes(words, percent), kinds), "classes")
     reps = staged(
         slim.filter("k1 is not null and doc_id is not null")
         .groupBy("k1", "k2")
         .agg(
             F.min("doc_id").alias("rep"),
             F.max("n_shingles").alias("n"),
-            *(F.max(name).alias(name) for name in SKETCH),
+            F.any_value("sketch").alias("sketch"),
         ),
         "representatives",
     )
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    columns = ", ".join(f"{name} bigint" for name in SKETCH)
+    in_bands = reps.select("k1", "rep", "n", "sketch").mapInArrow(
+        _in_bands(percent), f"k1 bigint, rep bigint, n bigint, band bigint, {columns}, rest array<bigint>"
+    )
+    # Sets whose first key is equal by chance get each other's signatures too.
     shared = staged(
         docs.filter("doc_id is not null")
-        .mapInArrow(_signature_rows(words, percent), "sig bigint, k1 bigint, k2 bigint")
-        .repartition(parts, "sig")
-        .sortWithinPartitions("sig", "k1", "k2")
-        .mapInArrow(_shared, "sig bigint, k1 bigint, k2 bigint")
-        .join(reps.select("k1", "k2", "rep", "n"), ["k1", "k2"])
-        .select("sig", "rep", "n"),
+        .mapInArrow(_signature_rows(words, percent), "sig bigint, k1 bigint")
+        .repartition("sig")
+        .sortWithinPartitions("sig", "k1")
+        .mapInArrow(_shared, "sig bigint, k1 bigint")
+        .withColumn("band", F.expr(f"sig & {(1 << BAND_BITS) - 1}"))
+        .join(in_bands, ["k1", "band"])
+        .select("sig", "rep", "n", *SKETCH, "rest"),
         "signatures",
     )
     classes = slim.join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left")
-    linked = _linked(docs, shared, reps.select("rep", *SKETCH), words, percent)
+    linked = _linked(docs, shared, words, percent)
     return classes.select("doc_id", "n_shingles", "rep"), linked
 
 
-def _with_sets(docs: DataFrame, pairs: DataFrame, words: int, wide: bool) -> DataFrame:
-    """Adds the sets of both sides, or their wide sketches, as of_a and of_b.
+def _with_sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """Adds the sets of both sides as of_a and of_b.
 
     Only texts of the pairs are read again, so sets of other documents never move.
     """
     for side in "ab":
         ids = pairs.select(F.col(f"rep_{side}").alias("doc_id")).distinct()
         sets = by_ids(docs, ids, "left_semi").mapInArrow(
-            _full_sets(words, wide), "doc_id bigint, elements array<bigint>"
+            _full_sets(words), "doc_id bigint, elements array<bigint>"
         )
         pairs = pairs.join(sets.toDF(f"rep_{side}", f"of_{side}"), f"rep_{side}")
     return pairs
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs (rep_a, n_a, rep_b, n_b) whose sets are similar, as (a, b)."""
-    differing = "aggregate(zip_with(of_a, of_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-    near = _with_sets(docs, pairs, words, True).filter(
-        f"{differing} <= (n_a + n_b) * {100 - percent} div {100 + percent}"
-    )
-    near = staged(near.select("rep_a", "rep_b").distinct(), "near-pairs")
+    """The components (a, b) of those pairs (rep_a, c_a, rep_b, c_b) whose sets are similar."""
     return (
-        _with_sets(docs, near, words, False)
+        _with_sets(docs, pairs, words)
         .withColumn("common", F.size(F.array_intersect("of_a", "of_b")))
         .filter(f"100 * common >= {percent} * (size(of_a) + size(of_b) - common)")
-        .selectExpr("rep_a as a", "rep_b as b")
+        .selectExpr("c_a as a", "c_b as b")
         .distinct()
     )
 
@@ -298,32 +415,45 @@ def _side(df: DataFrame, side: str) -> DataFrame:
     return df.select("sig", *(F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "sig"))
 
 
-def _linked(
-    docs: DataFrame, shared: DataFrame, sketches: DataFrame, words: int, percent: int
-) -> DataFrame:
+def _moved(df: DataFrame, column: str, merged: DataFrame) -> DataFrame:
+    """``df`` with the components in ``column`` replaced by those they merged into."""
+    joined = df.join(merged.toDF(column, "_into"), column, "left")
+    return joined.withColumn(column, F.coalesce("_into", column)).select(*df.columns)
+
+
+def _linked(docs: DataFrame, shared: DataFrame, words: int, percent: int) -> DataFrame:
     """(node, component) of all linked sets.
 
-    ``shared`` has sig, rep and n, ``sketches`` rep and the sketch. In each round every
-    signature compares one pivot with its other sets, so a group of near copies takes as
-    many comparisons as it has members. Sets that are linked by then are one component,
-    and signatures within one component are done. When few sets share a signature, or
-    pivots no longer help, all pairs of different components that are left are compared.
-    Links within a component are never needed, so the components are exact.
+    ``shared`` has sig, rep, n and the sketch. In each round every signature compares one
+    pivot with its other sets, so a group of near copies takes as many comparisons as it
+    has members. Sets that are linked by then are one component, and signatures within one
+    component are done. When few sets share a signature, or pivots no longer help, all
+    pairs of different components that are left are compared. Links within a component
+    are never needed, so the components are exact. New links join components, not sets.
     """
+    allowed = f"(n_a + n_b) * {100 - percent} div {100 + percent}"
     distance = " + ".join(f"bit_count({name}_a ^ {name}_b)" for name in SKETCH)
-    sizes = f"c_a <> c_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-    close = f"{distance} <= (n_a + n_b) * {100 - percent} div {100 + percent}"
-    live, links, before = shared.withColumn("c", F.col("rep")), [], None
+    further = "aggregate(zip_with(rest_a, rest_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    close = (
+        f"c_a <> c_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+        f" and {distance} <= {allowed} and {distance} + {further} <= {allowed}"
+    )
+    live = shared.withColumn("c", F.col("rep"))
+    linked, before = None, None
     for number in count():
         # One order of all sets, so that a group has one pivot in most signatures.
-        pivot = F.min_by(F.struct("rep", "n", "c"), F.xxhash64("rep", F.lit(number)))
-        pivots = live.groupBy("sig").agg(
-            F.count("*").cast("decimal(38,0)").alias("m"),
-            F.min("c").alias("low"),
-            F.max("c").alias("high"),
-            pivot.alias("pivot"),
+        pivots = staged(
+            live.groupBy("sig")
+            .agg(
+                F.count("*").cast("decimal(38,0)").alias("m"),
+                F.min("c").alias("low"),
+                F.max("c").alias("high"),
+                F.min_by("rep", F.xxhash64("rep", F.lit(number))).alias("pivot"),
+            )
+            .filter("low < high")
+            .select("sig", "m", "pivot"),
+            "pivots",
         )
-        pivots = staged(pivots.filter("low < high").select("sig", "m", "pivot.*"), "pivots")
         rows, squares = pivots.agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first()
         if not rows:
             break
@@ -332,28 +462,26 @@ def _linked(
         )
         before = squares
         if last:
-            left = live.join(pivots.select("sig"), "sig", "left_semi").join(sketches, "rep")
-            first, second = _side(left, "a"), _side(left, "b")
-            met = f"rep_a < rep_b and {sizes} and {close}"
+            first = live.join(pivots.select("sig"), "sig", "left_semi")
+            second, met = first, f"rep_a < rep_b and {close}"
         else:
-            first, second, met = _side(pivots.drop("m"), "a"), _side(live, "b"), sizes
+            first, second = live.join(pivots, "sig").filter("rep = pivot"), live
+            first, met = first.drop("m", "pivot"), close
+        first, second = _side(first, "a"), _side(second, "b")
         pairs = first.join(second, (first["sig"] == second["sig"]) & F.expr(met))
-        pairs = staged(pairs.select("rep_a", "n_a", "rep_b", "n_b").distinct(), "pairs")
-        if not last:
-            for side in "ab":
-                own = sketches.toDF(f"rep_{side}", *(f"{name}_{side}" for name in SKETCH))
-                pairs = pairs.join(own, f"rep_{side}")
-            own = ("rep_a", "n_a", "rep_b", "n_b")
-            pairs = staged(pairs.filter(close).select(*own).distinct(), "close-pairs")
-        links.append(staged(_verified(docs, pairs, words, percent), "links"))
+        pairs = staged(pairs.select("rep_a", "c_a", "rep_b", "c_b").distinct(), "pairs")
+        links = staged(_verified(docs, pairs, words, percent), "links")
+        merged = staged(components(links), "merged")
+        if linked is None:
+            linked = merged
+        else:
+            linked = staged(_moved(linked, "component", merged).unionByName(merged).distinct(), "linked")
         if last:
             break
-        linked = staged(components(reduce(DataFrame.unionByName, links)), "linked")
-        live = shared.join(linked.toDF("rep", "c"), "rep", "left")
-        live = live.withColumn("c", F.coalesce("c", "rep"))
-    if not links:
+        live = _moved(live, "c", merged)
+    if linked is None:
         return live.selectExpr("rep as node", "c as component").limit(0)
-    return components(reduce(DataFrame.unionByName, links))
+    return linked
 
 
 def jaccard_components(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
