@@ -17,6 +17,9 @@ WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday",
 # More days than there are between the years 1 and 9999.
 BEYOND_ANY_GAP = 4_000_000
 
+# Days from 1970-01-01 to the first Monday.
+FIRST_MONDAY = 4
+
 MICROS_PER_DAY = 24 * 60 * 60 * 1_000_000
 
 
@@ -30,6 +33,16 @@ def week_ending_monday(ts: Column) -> Column:
     return F.next_day(F.date_sub(F.to_date(ts), 1), "MON").cast("timestamp_ntz")
 
 
+def week_number(label: Column) -> Column:
+    """Whole weeks from the first Monday of 1970 to a week's label."""
+    return F.floor((F.unix_date(label.cast("date")) - FIRST_MONDAY) / 7).cast("int")
+
+
+def week_of_number(number: Column) -> Column:
+    """The label of a week of that number."""
+    return F.date_from_unix_date(number * 7 + FIRST_MONDAY).cast("timestamp_ntz")
+
+
 def month_end(ts: Column) -> Column:
     return F.last_day(F.to_date(ts)).cast("timestamp_ntz")
 

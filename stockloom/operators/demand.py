@@ -52,23 +52,24 @@ def weekly_demand(lines: DataFrame) -> DataFrame:
     and arrives at its own key already reduced.
     """
     sold = lines.where(F.col(CATEGORY).isNotNull() & F.col(WEEK).isNotNull())
-    week = calendar.week_ending_monday(F.col(WEEK))
-    price_sum = numeric.exact_sum(F.col("price"))
-    freight_sum = numeric.exact_sum(F.col("freight_value"))
-    return (
-        sold.withColumn("_sold_at", F.col(WEEK))
-        .withColumn(WEEK, week)
-        .groupBy(CATEGORY, WEEK)
-        .agg(
-            F.count("order_id").alias(TARGET),
-            F.coalesce(price_sum, F.lit(0.0)).alias("revenue"),
-            F.try_divide(price_sum, F.count(numeric.money(F.col("price")))).alias("curr_avg_price"),
-            F.try_divide(
-                freight_sum, F.count(numeric.money(F.col("freight_value")))
-            ).alias("curr_avg_freight"),
-            F.countDistinct("seller_id").alias("curr_active_sellers"),
-            F.min("_sold_at").alias("first_sold_at"),
-        )
+    # Money becomes a decimal once a line, before it is both summed and counted.
+    narrow = sold.select(
+        CATEGORY,
+        calendar.week_ending_monday(F.col(WEEK)).alias(WEEK),
+        "order_id",
+        "seller_id",
+        numeric.money(F.col("price")).alias("_price"),
+        numeric.money(F.col("freight_value")).alias("_freight"),
+        F.col(WEEK).alias("_sold_at"),
+    )
+    price_sum, freight_sum = (F.sum(name).cast("double") for name in ("_price", "_freight"))
+    return narrow.groupBy(CATEGORY, WEEK).agg(
+        F.count("order_id").alias(TARGET),
+        F.coalesce(price_sum, F.lit(0.0)).alias("revenue"),
+        F.try_divide(price_sum, F.count("_price")).alias("curr_avg_price"),
+        F.try_divide(freight_sum, F.count("_freight")).alias("curr_avg_freight"),
+        F.countDistinct("seller_id").alias("curr_active_sellers"),
+        F.min("_sold_at").alias("first_sold_at"),
     )
 
 
@@ -94,35 +95,48 @@ def demand_grid(
     that week too. Nulls that were present stay null.
 
     Each row of ``weekly`` stands for its own week and the silent weeks up to
-    the category's next sale. That needs one shuffle by category, which the
-    feature windows reuse; no grid is built beside the data and joined to it.
-    The list of observed weeks is one small value (about 52 a year). It is read
-    from ``weekly`` a second time, so pass a materialized table for large data.
-    ``all_weeks`` gives other weeks: those of the whole table if ``weekly`` holds
-    only some categories, or ``calendar_weeks``.
+    the category's next sale. Rows carry the number of their week through one
+    shuffle by category, which the feature windows reuse; gaps become ranges of
+    numbers after it, and the small table of observed weeks drops the numbers
+    nobody sold in. That table is broadcast: all weeks of the calendar are half a
+    million numbers. It is read from ``weekly`` a second time, so pass a
+    materialized table for large data. ``all_weeks`` gives other weeks: those of
+    the whole table if ``weekly`` holds only some categories, or ``calendar_weeks``.
     """
     source = weekly if all_weeks is None else all_weeks
-    calendar_weeks = observed_weeks(source).agg(F.array_sort(F.collect_list(WEEK))).scalar()
-    from_start = by_week().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spans = weekly.select(
-        CATEGORY,
-        F.col(WEEK).alias("_own_week"),
-        *MEASURES,
-        F.first("first_sold_at").over(from_start).alias("first_sale_date"),
-        F.lead(WEEK).over(by_week()).alias("_next_week"),
-        F.lag(WEEK).over(by_week()).isNull().alias("_opens"),
-        calendar_weeks.alias("_weeks"),
+    observed = source.select(calendar.week_number(F.col(WEEK)).alias("_number")).distinct()
+    ends = observed.agg(
+        F.struct(F.min("_number").alias("first"), F.max("_number").alias("last"))
+    ).scalar()
+    in_order = Window.partitionBy(CATEGORY).orderBy("_own")
+    from_start = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = (
+        weekly.select(
+            CATEGORY,
+            calendar.week_number(F.col(WEEK)).alias("_own"),
+            *MEASURES,
+            "first_sold_at",
+        )
+        .withColumns(
+            {
+                "first_sale_date": F.first("first_sold_at").over(from_start),
+                "_next": F.lead("_own").over(in_order),
+                "_opens": F.lag("_own").over(in_order).isNull(),
+            }
+        )
     )
-    own = F.array_position("_weeks", F.col("_own_week"))
-    begin = own if trim else F.when(F.col("_opens"), F.lit(1)).otherwise(own)
-    end = F.coalesce(F.array_position("_weeks", F.col("_next_week")), F.size("_weeks") + 1)
-    covered = F.slice("_weeks", begin.cast("int"), (end - begin).cast("int"))
-    seen = F.col(WEEK) == F.col("_own_week")
-    grid = spans.withColumn(WEEK, F.explode(covered)).select(
-        CATEGORY,
-        WEEK,
-        *(_zero_unless(seen, name) for name in MEASURES),
-        "first_sale_date",
+    begin = F.col("_own") if trim else F.when(F.col("_opens"), ends["first"]).otherwise(F.col("_own"))
+    end = F.coalesce(F.col("_next") - 1, F.greatest(ends["last"], F.col("_own")))
+    seen = F.col("_number") == F.col("_own")
+    grid = (
+        spans.withColumn("_number", F.explode(F.sequence(begin, end)))
+        .join(F.broadcast(observed), "_number", "left_semi")
+        .select(
+            CATEGORY,
+            calendar.week_of_number(F.col("_number")).alias(WEEK),
+            *(_zero_unless(seen, name) for name in MEASURES),
+            "first_sale_date",
+        )
     )
     return grid.where(F.col(WEEK) >= F.col("first_sale_date")) if trim else grid
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from stockloom.functions import calendar, numeric
 from stockloom.operators.logistics import rows_of, value_counts
+from stockloom.operators.order_statistics import exact_quantiles
+from stockloom.session import materialize
 
 
 def monthly_revenue(
@@ -85,22 +87,13 @@ def delay_boxplot(
 ) -> DataFrame:
     """Box-plot numbers per group: quartiles, whisker ends within 1.5 IQR, and outlier count.
 
-    Works on rows counted per (group, value): whole-day values have few distinct
-    levels, so neither step sees the raw rows of a large group.
+    Works on rows counted per (group, value), and finds the quartiles by counting digits,
+    so neither many rows of a group nor many different values gather in one task. The
+    counts are stored once, as they are read several times.
     """
-    counts = value_counts(df, value, by, weight)
-    quartiles = (
-        counts.groupBy(by)
-        .agg(
-            F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("lines"))
-            .alias("_q")
-        )
-        .select(
-            by,
-            F.col("_q")[0].alias("q1"),
-            F.col("_q")[1].alias("median"),
-            F.col("_q")[2].alias("q3"),
-        )
+    counts = materialize(value_counts(df, value, by, weight))
+    quartiles = exact_quantiles(
+        counts, value, (0.25, 0.5, 0.75), (by,), "lines", names=("q1", "median", "q3")
     )
     reach = (F.col("q3") - F.col("q1")) * 1.5
     inside = (F.col(value) >= F.col("q1") - reach) & (F.col(value) <= F.col("q3") + reach)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockloom.operators.order_statistics import lower_quantile
+
 
 def order_reviews(reviews: DataFrame) -> DataFrame:
     """One mean score per order, so that joining reviews cannot multiply order lines."""
@@ -29,52 +31,16 @@ def seller_summary(reviewed: DataFrame) -> DataFrame:
     )
 
 
-def exact_quantile(df: DataFrame, value: str, quantile: float, accuracy: int = 10000) -> Column:
-    """The smallest value that at least a share ``quantile`` of the values does not exceed.
-
-    A sketch gives two bounds around it, a few ``accuracy``-ths of all values apart. Values
-    are counted below and listed in order between them, so one task orders only those.
-    """
-    margin = 2.0 / accuracy
-    around = [max(0.0, quantile - margin), min(1.0, quantile + margin)]
-    known = df.where(F.col(value).isNotNull()).select(value)
-    bounds = known.agg(F.percentile_approx(value, around, accuracy)).scalar()
-    marked = known.withColumn("_bounds", bounds)
-    low, high = F.col("_bounds")[0], F.col("_bounds")[1]
-    below = (
-        marked.agg(
-            F.struct(
-                F.count(F.when(F.col(value) < low, 1)).alias("below"), F.count("*").alias("n")
-            )
-        )
-        .scalar()
-    )
-    counted = (
-        marked.where((F.col(value) >= low) & (F.col(value) <= high))
-        .groupBy(value)
-        .agg(F.count("*").alias("_same"))
-        .withColumn("_total", below)
-    )
-    reached = F.sum("_same").over(
-        Window.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    return (
-        counted.withColumn("_reached", reached + F.col("_total.below"))
-        .where(F.col("_reached") >= F.ceil(F.col("_total.n") * F.lit(quantile)))
-        .agg(F.min(value))
-        .scalar()
-    )
-
-
-def vendor_risk(sellers: DataFrame, quantile: float = 0.75, accuracy: int = 10000) -> DataFrame:
+def vendor_risk(sellers: DataFrame, quantile: float = 0.75) -> DataFrame:
     """Flags the risky sellers of a ``seller_summary``.
 
     A seller is at risk when volume and seller days are both at or above their
-    ``quantile`` over all sellers, exactly at any number of sellers. ``sellers`` is
-    read several times: pass a materialized table for large data.
+    ``quantile`` over all sellers, exactly at any number of sellers: ranks are found by
+    counting digits, so no task orders the sellers. ``sellers`` is read several times:
+    pass a materialized table.
     """
-    volume = exact_quantile(sellers, "lines", quantile, accuracy)
-    days = exact_quantile(sellers, "mean_time_to_ship", quantile, accuracy)
+    volume = lower_quantile(sellers, "lines", quantile)
+    days = lower_quantile(sellers, "mean_time_to_ship", quantile)
     risky = (F.col("lines") >= F.col("_volume")) & (F.col("mean_time_to_ship") >= F.col("_days"))
     return (
         sellers.withColumns({"_volume": volume, "_days": days})

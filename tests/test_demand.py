@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from stockloom.functions import numeric
+from stockloom.functions import calendar, numeric
 from stockloom.operators import demand
 
 LINE_SCHEMA = (
@@ -233,6 +233,45 @@ def test_grid_plan_has_one_shuffle_by_category_and_no_product(spark):
     assert plan.count("Exchange hashpartitioning(product_category") == 1
 
 
+def exchanged_types(df):
+    """Types of all columns that go through a shuffle of the planned query."""
+    found = []
+
+    def visit(node):
+        if "Exchange" in node.nodeName():
+            found.extend(f.dataType().typeName() for f in _seq(node.schema()))
+        for child in _seq(node.children()):
+            visit(child)
+
+    def _seq(s):
+        return [s.apply(i) for i in range(s.size())]
+
+    plan = df._jdf.queryExecution().executedPlan()
+    visit(plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan)
+    return found
+
+
+def test_no_array_goes_through_a_shuffle(spark):
+    weekly = demand.weekly_demand(lines_of(spark, random_lines(5))).checkpoint()
+    for trim in (True, False):
+        features = demand.features_from_grid(demand.demand_grid(weekly, trim=trim))
+        kinds = exchanged_types(features)
+        assert kinds and not {"array", "map"} & set(kinds)
+
+
+def test_week_numbers_are_dense_and_turn_back(spark):
+    weeks = spark.sql(
+        "select explode(sequence(timestamp_ntz'1969-12-01', timestamp_ntz'1970-03-02', interval 7 day)) as w"
+    )
+    rows = weeks.select(
+        calendar.week_number(F.col("w")).alias("n"),
+        calendar.week_of_number(calendar.week_number(F.col("w"))).alias("back"),
+        "w",
+    ).collect()
+    assert [r.n for r in rows] == list(range(rows[0].n, rows[0].n + len(rows)))
+    assert all(r.back == r.w for r in rows)
+
+
 def test_pandas_frame_of_features_is_finite(spark):
     weekly = demand.weekly_demand(lines_of(spark, random_lines(6)))
     frame = demand.features_from_grid(demand.demand_grid(weekly)).toPandas()

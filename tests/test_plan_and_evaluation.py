@@ -108,12 +108,3 @@ def test_reviews_do_not_multiply_lines(spark):
         (1, 3.0), (1, 3.0)
     ]
     assert joined.count() == 3
-
-
-def test_exact_quantile_beyond_the_sketch(spark):
-    rows = spark.range(20_011).selectExpr("cast(id * 7919 % 20011 as double) as v")
-    rows = rows.unionByName(spark.createDataFrame([(None,)], "v double"))
-    found = spark.range(1).select(
-        *(vendors.exact_quantile(rows, "v", q, 100).alias(f"q{i}") for i, q in enumerate((0.0, 0.75, 1.0)))
-    ).first()
-    assert tuple(found) == (0.0, 15008.0, 20010.0)
