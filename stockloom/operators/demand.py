@@ -134,14 +134,14 @@ def demand_grid(
         .select(
             CATEGORY,
             calendar.week_of_number(F.col("_number")).alias(WEEK),
-            *(_zero_unless(seen, name) for name in MEASURES),
+            *(zero_unless(seen, name) for name in MEASURES),
             "first_sale_date",
         )
     )
     return grid.where(F.col(WEEK) >= F.col("first_sale_date")) if trim else grid
 
 
-def _zero_unless(seen: Column, name: str) -> Column:
+def zero_unless(seen: Column, name: str) -> Column:
     zero = F.lit(0) if name in (TARGET, "curr_active_sellers") else F.lit(0.0)
     return F.when(seen, F.col(name)).otherwise(zero).alias(name)
 
@@ -240,12 +240,8 @@ def add_event_distance(df: DataFrame) -> DataFrame:
     return df.withColumn("weeks_to_bf", calendar.weeks_to_event(F.col(WEEK)))
 
 
-def features_from_grid(grid: DataFrame) -> DataFrame:
-    """All features of a trimmed grid; rows with any null go, then the current-week columns.
-
-    The first eight weeks of a category have no ``sales_lag_8`` and drop out. A
-    null average price of the current week drops its row as well.
-    """
+def add_features(grid: DataFrame) -> DataFrame:
+    """All features of a trimmed grid, with the columns they come from."""
     steps = (
         add_lagged_drivers,
         add_calendar,
@@ -258,7 +254,16 @@ def features_from_grid(grid: DataFrame) -> DataFrame:
     featured = grid
     for step in steps:
         featured = step(featured)
-    return featured.na.drop("any").drop(*CURRENT_WEEK_COLUMNS)
+    return featured
+
+
+def features_from_grid(grid: DataFrame) -> DataFrame:
+    """All features of a trimmed grid; rows with any null go, then the current-week columns.
+
+    The first eight weeks of a category have no ``sales_lag_8`` and drop out. A
+    null average price of the current week drops its row as well.
+    """
+    return add_features(grid).na.drop("any").drop(*CURRENT_WEEK_COLUMNS)
 
 
 # The model's input columns.

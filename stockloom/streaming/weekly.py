@@ -1,63 +1,137 @@
 """Weekly demand from a stream of order lines, and features that follow it.
 
-The stream keeps one aggregate per open (category, week). Each trigger writes
-the aggregates it changed under its own batch number, so a repeated trigger
-overwrites its own files and nothing is counted twice.
+The stream's state has one aggregate per open week, category and seller: a category with
+a third of all lines is spread over its sellers, and the sellers of a week are counted
+exactly, as the number of its aggregates. Each trigger stores what it changed under the
+week and its own batch number, so a repeated trigger overwrites its own files and nothing
+is counted twice. A trigger reads and writes only the weeks that it changed, and for the
+features also the eight weeks before them.
+
+Folders below the weekly path, all of them written by trigger:
+
+- ``sellers``: aggregates per category, week and seller, by week and batch
+- ``weeks``: rows per category and week, by week and batch
+- ``calendar``: weeks seen, by batch
+- ``first_sales``: first sale of each category in that batch, by batch
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stockloom.functions import calendar, numeric
-from stockloom.operators.demand import CATEGORY, TARGET, WEEK, demand_grid, features_from_grid
+from stockloom.operators import demand
+from stockloom.operators.demand import CATEGORY, MEASURES, SALES_LAGS, TARGET, WEEK
 
 BATCH = "batch"
+WEEK_DAY = "week"
+# Whether a stored grid row has all features.
+COMPLETE = "is_complete"
 
 
-def weekly_aggregate(
-    lines: DataFrame, late_by: str = "7 days"
-) -> DataFrame:
-    """Tuesday-to-Monday windows per category; lines later than ``late_by`` are dropped.
+def seller_aggregate(lines: DataFrame, late_by: str = "7 days") -> DataFrame:
+    """Tuesday-to-Monday sums per category and seller; lines later than ``late_by`` drop out.
 
-    Windows of seven days start on Thursdays by default, five days on is a
-    Tuesday. Exact distinct counts are not possible on a stream, so sellers are
-    counted approximately.
+    Windows of seven days start on Thursdays by default, five days on is a Tuesday. Lines
+    without a seller are one group.
     """
     # Watermarks need instants. The clock time is taken as UTC, whatever the session says.
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(WEEK)))
     end_day = F.floor(F.unix_micros("_bin.end") / calendar.MICROS_PER_DAY).cast("int")
-
+    sold = lines.where(F.col(CATEGORY).isNotNull() & F.col(WEEK).isNotNull())
     return (
-        lines.where(F.col(CATEGORY).isNotNull() & F.col(WEEK).isNotNull())
-        .withColumn("_instant", instant)
+        sold.withColumns(
+            {
+                "_instant": instant,
+                "_price": numeric.money(F.col("price")),
+                "_freight": numeric.money(F.col("freight_value")),
+            }
+        )
         .withWatermark("_instant", late_by)
-        .groupBy(F.window("_instant", "7 days", "7 days", "5 days").alias("_bin"), CATEGORY)
+        .groupBy(F.window("_instant", "7 days", "7 days", "5 days").alias("_bin"), CATEGORY, "seller_id")
         .agg(
             F.count("order_id").alias(TARGET),
-            numeric.exact_sum(F.col("price")).alias("_price"),
-            F.count(numeric.money(F.col("price"))).alias("_prices"),
-            numeric.exact_sum(F.col("freight_value")).alias("_freight"),
-            F.count(numeric.money(F.col("freight_value"))).alias("_freights"),
-            F.approx_count_distinct("seller_id").alias("curr_active_sellers"),
+            F.sum("_price").alias("price"),
+            F.count("_price").alias("prices"),
+            F.sum("_freight").alias("freight"),
+            F.count("_freight").alias("freights"),
             F.min(WEEK).alias("first_sold_at"),
         )
-        .select(
-            CATEGORY,
-            F.date_from_unix_date(end_day - 1).cast("timestamp_ntz").alias(WEEK),
-            TARGET,
-            F.coalesce(F.col("_price"), F.lit(0.0)).alias("revenue"),
-            F.try_divide(F.col("_price"), F.col("_prices")).alias("curr_avg_price"),
-            F.try_divide(F.col("_freight"), F.col("_freights")).alias("curr_avg_freight"),
-            "curr_active_sellers",
-            "first_sold_at",
-        )
+        .withColumn(WEEK_DAY, F.date_from_unix_date(end_day - 1))
+        .drop("_bin")
+    )
+
+
+def _weekly_rows(sellers: DataFrame) -> DataFrame:
+    """Rows per category and week of the aggregates of its sellers."""
+    price, freight = (F.sum(name).cast("double") for name in ("price", "freight"))
+    return sellers.groupBy(CATEGORY, WEEK_DAY).agg(
+        F.sum(TARGET).alias(TARGET),
+        F.coalesce(price, F.lit(0.0)).alias("revenue"),
+        F.try_divide(price, F.sum("prices")).alias("curr_avg_price"),
+        F.try_divide(freight, F.sum("freights")).alias("curr_avg_freight"),
+        F.count("seller_id").alias("curr_active_sellers"),
+        F.min("first_sold_at").alias("first_sold_at"),
+    )
+
+
+def _store(df: DataFrame, path: str, batch: int) -> None:
+    """Write rows below their week and batch; what this batch wrote before is replaced."""
+    (
+        df.withColumn(BATCH, F.lit(batch))
+        .repartition(WEEK_DAY)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(WEEK_DAY, BATCH)
+        .parquet(path)
     )
 
 
+def _of_weeks(spark: SparkSession, path: str, weeks: list[date]) -> DataFrame:
+    """Stored rows of some weeks; other folders are not even listed."""
+    folders = (f"{path}/{WEEK_DAY}={week.isoformat()}" for week in weeks)
+    return spark.read.option("basePath", path).parquet(*folders)
+
+
+def _latest(stored: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """The values each key had in its newest batch."""
+    values = [name for name in stored.columns if name not in (*keys, BATCH)]
+    newest = F.max_by(F.struct(*values), BATCH).alias("_now")
+    return stored.groupBy(*keys).agg(newest).select(*keys, "_now.*")
+
+
+def _labelled(df: DataFrame) -> DataFrame:
+    return df.withColumn(WEEK, F.col(WEEK_DAY).cast("timestamp_ntz")).drop(WEEK_DAY)
+
+
+def update_weekly(changed: DataFrame, path: str, batch: int) -> list[date]:
+    """Store a trigger's changed aggregates and the weekly rows that follow from them.
+
+    Returns the weeks it changed.
+    """
+    spark = changed.sparkSession
+    changed.write.mode("overwrite").parquet(f"{path}/changes/{BATCH}={batch}")
+    own = spark.read.parquet(f"{path}/changes/{BATCH}={batch}")
+    weeks = sorted(row[0] for row in own.select(WEEK_DAY).distinct().collect())
+    if not weeks:
+        return []
+    _store(own, f"{path}/sellers", batch)
+    sellers = _latest(_of_weeks(spark, f"{path}/sellers", weeks), (CATEGORY, WEEK_DAY, "seller_id"))
+    touched = own.select(CATEGORY, WEEK_DAY).distinct()
+    rows = _weekly_rows(sellers.join(touched, [CATEGORY, WEEK_DAY], "left_semi"))
+    _store(rows, f"{path}/weeks", batch)
+    seen = own.select(WEEK_DAY).distinct().coalesce(1)
+    seen.write.mode("overwrite").parquet(f"{path}/calendar/{BATCH}={batch}")
+    first = own.groupBy(CATEGORY).agg(F.min("first_sold_at").alias("first_sold_at"))
+    first.write.mode("overwrite").parquet(f"{path}/first_sales/{BATCH}={batch}")
+    return weeks
+
+
 def start_weekly_stream(
     lines: DataFrame,
     weekly_path: str,
@@ -67,18 +141,18 @@ def start_weekly_stream(
 ) -> StreamingQuery:
     """Take what is available, update the weekly table, and stop.
 
-    With ``features_path`` each trigger also rebuilds the features that it
+    With ``features_path`` each trigger also writes the features that it
     changed. Run it on a schedule, or use the same functions with
     another trigger for a query that stays up.
     """
 
     def write(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{weekly_path}/{BATCH}={batch}")
-        if features_path is not None:
-            refresh_features(changed.sparkSession, weekly_path, features_path, batch)
+        weeks = update_weekly(changed, weekly_path, batch)
+        if features_path is not None and weeks:
+            refresh_features(changed.sparkSession, weekly_path, features_path, batch, weeks)
 
     return (
-        weekly_aggregate(lines, late_by)
+        seller_aggregate(lines, late_by)
         .writeStream.outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint_path)
@@ -87,52 +161,102 @@ def start_weekly_stream(
     )
 
 
-def _latest(stored: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """The values each key had in its newest batch."""
-    values = [name for name in stored.columns if name not in (*keys, BATCH)]
-    newest = F.max_by(F.struct(*values), BATCH).alias("_now")
-    return stored.groupBy(*keys).agg(newest).select(*keys, "_now.*")
-
-
 def current_weekly(spark: SparkSession, weekly_path: str) -> DataFrame:
     """The weekly table as of the last trigger."""
-    return _latest(spark.read.parquet(weekly_path), (CATEGORY, WEEK))
+    stored = spark.read.parquet(f"{weekly_path}/weeks")
+    return _labelled(_latest(stored, (CATEGORY, WEEK_DAY))).select(
+        CATEGORY, WEEK, *MEASURES, "first_sold_at"
+    )
 
 
 def compact_weekly(spark: SparkSession, weekly_path: str, new_path: str) -> None:
-    """Write the current weekly table as the single batch of a new folder.
+    """Write the current state of all folders as the single batch of a new one.
 
-    Every trigger adds a batch and readers look at all of them, so do this from
-    time to time between triggers, and let the stream go on in the new folder.
+    Every trigger adds a batch, so do this from time to time between triggers, and let
+    the stream go on in the new folder.
     """
-    stored = spark.read.parquet(weekly_path)
-    newest = stored.agg(F.max(BATCH)).first()[0]
-    current = _latest(stored, (CATEGORY, WEEK))
-    current.write.mode("overwrite").parquet(f"{new_path}/{BATCH}={newest}")
+    weeks = spark.read.parquet(f"{weekly_path}/weeks")
+    newest = weeks.agg(F.max(BATCH)).first()[0]
+    _store(_latest(weeks, (CATEGORY, WEEK_DAY)), f"{new_path}/weeks", newest)
+    sellers = spark.read.parquet(f"{weekly_path}/sellers")
+    _store(_latest(sellers, (CATEGORY, WEEK_DAY, "seller_id")), f"{new_path}/sellers", newest)
+    seen = spark.read.parquet(f"{weekly_path}/calendar").select(WEEK_DAY).distinct().coalesce(1)
+    seen.write.mode("overwrite").parquet(f"{new_path}/calendar/{BATCH}={newest}")
+    first = _first_sales(spark, weekly_path, newest)
+    first.write.mode("overwrite").parquet(f"{new_path}/first_sales/{BATCH}={newest}")
+
+
+def _first_sales(spark: SparkSession, weekly_path: str, batch: int) -> DataFrame:
+    stored = spark.read.parquet(f"{weekly_path}/first_sales").where(F.col(BATCH) <= batch)
+    return stored.groupBy(CATEGORY).agg(F.min("first_sold_at").alias("first_sold_at"))
+
+
+def _known_before(spark: SparkSession, weekly_path: str, weeks: list[date], names: DataFrame) -> DataFrame:
+    """The last known price and freight of some categories within ``weeks``."""
+    stored = _latest(_of_weeks(spark, f"{weekly_path}/weeks", weeks), (CATEGORY, WEEK_DAY))
+    rows = _labelled(stored).join(names, CATEGORY, "left_semi")
+    seen = spark.createDataFrame([(week,) for week in weeks], f"{WEEK_DAY} date")
+    grid = demand.demand_grid(rows, trim=False, all_weeks=_labelled(seen))
+
+    def last(name: str, alias: str):
+        return F.max_by(name, F.when(F.col(name).isNotNull(), F.col(WEEK))).alias(alias)
+
+    grid = grid.where(F.col(WEEK) >= F.col("first_sale_date"))
+    return grid.groupBy(CATEGORY).agg(
+        last("curr_avg_price", "_price"), last("curr_avg_freight", "_freight")
+    )
 
 
 def refresh_features(
-    spark: SparkSession, weekly_path: str, features_path: str, batch: int
+    spark: SparkSession, weekly_path: str, features_path: str, batch: int, changed: list[date]
 ) -> None:
-    """Features of the categories that batch changed, written under its number.
+    """Features of the first changed week and later, by week, under the batch's number.
 
-    Grid weeks are those seen in any category, so the calendar comes from the
-    whole weekly table. A week that no earlier batch had belongs to the grid of
-    every category, so then all of them are written; else the touched ones only.
+    A week that no earlier batch had belongs to the grid of every category, so then all
+    categories are written; else the touched ones only. Lags need the eight observed weeks
+    before; a price not known in the first of those is looked up in all weeks before it.
     """
-    weekly = current_weekly(spark, weekly_path)
-    own = spark.read.parquet(f"{weekly_path}/{BATCH}={batch}")
-    known = spark.read.parquet(weekly_path).where(F.col(BATCH) < batch).select(WEEK)
-    if own.select(WEEK).join(known, WEEK, "left_anti").isEmpty():
-        rows = weekly.join(own.select(CATEGORY).distinct(), CATEGORY, "left_semi")
-    else:
-        rows = weekly
-    grid = demand_grid(rows, all_weeks=weekly)
-    features_from_grid(grid).write.mode("overwrite").parquet(f"{features_path}/{BATCH}={batch}")
+    stored = spark.read.parquet(f"{weekly_path}/calendar").where(F.col(BATCH) <= batch)
+    first_seen = stored.groupBy(WEEK_DAY).agg(F.min(BATCH).alias(BATCH)).collect()
+    observed = sorted(row[WEEK_DAY] for row in first_seen)
+    place = observed.index(changed[0])
+    start = max(0, place - max(SALES_LAGS))
+    tail = observed[start:]
+
+    names = _first_sales(spark, weekly_path, batch)
+    if all(row[BATCH] < batch for row in first_seen):
+        touched = _of_weeks(spark, f"{weekly_path}/weeks", changed).where(F.col(BATCH) == batch)
+        names = names.join(touched.select(CATEGORY).distinct(), CATEGORY, "left_semi")
+    rows = _latest(_of_weeks(spark, f"{weekly_path}/weeks", tail), (CATEGORY, WEEK_DAY))
+    rows = rows.drop("first_sold_at").withColumn("_seen", F.lit(True))
+    grid = names.withColumn(WEEK_DAY, F.explode(F.array(*map(F.lit, tail))))
+    grid = _labelled(grid.join(rows, [CATEGORY, WEEK_DAY], "left"))
+    grid = grid.where(F.col(WEEK) >= F.col("first_sold_at")).select(
+        CATEGORY,
+        WEEK,
+        *(demand.zero_unless(F.col("_seen").isNotNull(), name) for name in MEASURES),
+        F.col("first_sold_at").alias("first_sale_date"),
+    )
+    opening = F.col(WEEK) == F.lit(tail[0]).cast("timestamp_ntz")
+    unknown = F.col("curr_avg_price").isNull() | F.col("curr_avg_freight").isNull()
+    if start > 0:
+        needy = grid.where(opening & unknown).select(CATEGORY)
+        if not needy.isEmpty():
+            known = _known_before(spark, weekly_path, observed[:start], needy)
+            grid = grid.join(known, CATEGORY, "left")
+            for name, value in (("curr_avg_price", "_price"), ("curr_avg_freight", "_freight")):
+                filled = F.when(opening, F.coalesce(name, value)).otherwise(F.col(name))
+                grid = grid.withColumn(name, filled)
+            grid = grid.drop("_price", "_freight")
+    featured = demand.add_features(grid).where(F.col(WEEK) >= F.lit(changed[0]).cast("timestamp_ntz"))
+    complete = F.lit(True)
+    for name in featured.columns:
+        complete = complete & F.col(name).isNotNull()
+    featured = featured.withColumn(COMPLETE, complete).withColumn(WEEK_DAY, F.col(WEEK).cast("date"))
+    _store(featured.drop(WEEK, *demand.CURRENT_WEEK_COLUMNS), features_path, batch)
 
 
 def current_features(spark: SparkSession, features_path: str) -> DataFrame:
-    """Features of every category as of the last trigger that touched it."""
-    stored = spark.read.parquet(features_path)
-    newest = stored.groupBy(CATEGORY).agg(F.max(BATCH).alias(BATCH))
-    return stored.join(newest, [CATEGORY, BATCH], "left_semi").drop(BATCH)
+    """Features of every category and week as of the last trigger that changed them."""
+    newest = _latest(spark.read.parquet(features_path), (CATEGORY, WEEK_DAY))
+    return _labelled(newest.where(COMPLETE).drop(COMPLETE))

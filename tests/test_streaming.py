@@ -10,7 +10,7 @@ SCHEMA = (
     "order_id string, product_category string, order_purchase_timestamp timestamp_ntz, "
     "price double, freight_value double, seller_id string"
 )
-MEASURES = ["quantity_sold", "revenue", "curr_avg_price", "curr_avg_freight", "first_sold_at"]
+MEASURES = [*demand.MEASURES, "first_sold_at"]
 
 
 def sales(category, first, last):
@@ -53,7 +53,7 @@ def test_triggers_add_up_to_the_batch_result(spark, paths):
     assert rows_of(weekly.current_weekly(spark, paths["weekly"])) == rows_of(batch)
     weekly.compact_weekly(spark, paths["weekly"], paths["features"])
     assert rows_of(weekly.current_weekly(spark, paths["features"])) == rows_of(batch)
-    assert spark.read.parquet(paths["features"]).count() == batch.count()
+    assert spark.read.parquet(f"{paths['features']}/weeks").count() == batch.count()
 
 
 def test_late_lines_within_the_limit_count_and_others_do_not(spark, paths):
@@ -65,15 +65,70 @@ def test_late_lines_within_the_limit_count_and_others_do_not(spark, paths):
     assert table.agg(F.sum("quantity_sold")).first()[0] == 3
 
 
-def test_features_follow_touched_categories(spark, paths):
-    for part in (sales("a", 0, 60) + sales("b", 0, 60), sales("a", 60, 80)):
-        spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(paths["in"])
-        trigger(spark, paths, features=True)
+def weeks_written(spark, path, batch):
+    stored = spark.read.parquet(path).where(F.col("batch") == batch)
+    return {row[0] for row in stored.select("week").distinct().collect()}
+
+
+def features_agree(spark, paths):
     lines = spark.read.schema(SCHEMA).parquet(paths["in"])
     full = demand.features_from_grid(demand.demand_grid(demand.weekly_demand(lines)))
+    found = weekly.current_features(spark, paths["features"]).select(full.columns)
+    assert sorted(found.collect()) == sorted(full.collect())
+    return full.count()
+
+
+def test_sellers_are_exact_over_triggers(spark, paths):
+    start = datetime(2018, 1, 2)
+    for part in range(3):
+        rows = [
+            (f"{part}-{i}", "a", start + timedelta(minutes=i), 1.0, None, f"s{(i * 7 + part) % 41}")
+            for i in range(60)
+        ] + [(f"n{part}", "a", start, None, None, None)]
+        spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(paths["in"])
+        trigger(spark, paths)
+        batch = demand.weekly_demand(spark.read.schema(SCHEMA).parquet(paths["in"]))
+        now = weekly.current_weekly(spark, paths["weekly"])
+        assert rows_of(now) == rows_of(batch)
+    assert now.first().curr_active_sellers == 41
+
+
+def test_triggers_write_only_weeks_from_the_first_changed_one(spark, paths):
+    parts = (
+        sales("a", 0, 90) + sales("b", 0, 60) + sales("rare", 0, 2),
+        sales("a", 90, 100) + sales("new", 95, 100),
+        sales("a", 100, 101),
+        sales("b", 96, 98),
+    )
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(paths["in"])
+        trigger(spark, paths, features=True)
+        assert features_agree(spark, paths) > 0
+    batches = sorted(
+        row[0] for row in spark.read.parquet(paths["features"]).select("batch").distinct().collect()
+    )
+    assert len(batches) == len(parts)
+    every = weeks_written(spark, paths["features"], batches[0])
+    later = weeks_written(spark, paths["features"], batches[1])
+    assert len(every) > 20 and len(later) < 6 and max(every) <= max(later)
+    # The last trigger touches one category and no new week.
+    stored = spark.read.parquet(paths["features"])
+    newest = stored.where(F.col("batch") == stored.agg(F.max("batch")).first()[0])
+    assert {row[0] for row in newest.select("product_category").distinct().collect()} == {"b"}
+
+
+def test_prices_known_only_long_before_are_found(spark, paths):
+    """Two months of sales without any price lie between a known price and new weeks."""
+    rows = [list(row) for row in sales("a", 0, 120) + sales("b", 0, 120)]
+    for row in rows:
+        if row[1] == "a" and datetime(2018, 2, 1) < row[2] < datetime(2018, 6, 20):
+            row[3] = row[4] = None
+    first = [tuple(row) for row in rows if row[2] < datetime(2018, 5, 30)]
+    second = [tuple(row) for row in rows if row[2] >= datetime(2018, 5, 30)]
+    for part in (first, second):
+        spark.createDataFrame(part, SCHEMA).write.mode("append").parquet(paths["in"])
+        trigger(spark, paths, features=True)
+    assert features_agree(spark, paths) > 0
     found = weekly.current_features(spark, paths["features"])
-    columns = [c for c in full.columns if c != "sellers_lag_1"]
-    for name in ("a", "b"):
-        ours = sorted(found.where(F.col("product_category") == name).select(columns).collect())
-        whole = sorted(full.where(F.col("product_category") == name).select(columns).collect())
-        assert ours and ours == whole
+    after = found.where("product_category = 'a' and order_purchase_timestamp > '2018-06-20'")
+    assert after.where("price_lag_1 > 0").count() > 0
