@@ -612,6 +612,12 @@ ORACLES = {
                      / count(value), 6) as curr_avg_price,
                round({money('freight')}
                      / count(freight), 6) as curr_avg_freight,
+               count(distinct user_id) as curr_active_sellers,
                min(ts) as first_sold_at
         from s group by 1, 2""",
+    "stream_features": demand(False)
+    + """
+        select * replace (
+          round(month_sin, 6) as month_sin, round(month_cos, 6) as month_cos,
+          round(sales_roll_std_4, 6) as sales_roll_std_4) from features""",
 }

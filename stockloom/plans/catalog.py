@@ -600,11 +600,35 @@ def topic_terms(spark: SparkSession, folder: str) -> DataFrame:
 # Streaming
 
 
+# Later than anything in the files, whose order is not that of time.
+ANY_LATENESS = "36500 days"
+
+
 @query
 def stream_weekly_demand(spark: SparkSession, folder: str) -> DataFrame:
-    """The events file as a stream of sales: event types are categories, users sell."""
-    lines = bind.event_stream(spark, folder)
+    """The events as a stream of sales over several triggers: event types are categories."""
     stage = stage_folder(spark, "weekly-stream")
-    run = weekly.start_weekly_stream(lines, f"{stage}/weekly", f"{stage}/progress")
+    lines = bind.stream_of(bind.events_as_lines(spark, folder), f"{stage}/lines")
+    run = weekly.start_weekly_stream(
+        lines, f"{stage}/weekly", f"{stage}/progress", late_by=ANY_LATENESS
+    )
+    run.awaitTermination()
+    return rounded(weekly.current_weekly(spark, f"{stage}/weekly"))
+
+
+@query
+def stream_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Order lines as a stream; each trigger writes the feature weeks that it changes."""
+    stage = stage_folder(spark, "feature-stream")
+    sold = _lines(spark, folder, "products").select(
+        "order_id", CATEGORY, WEEK, "price", "freight_value", "seller_id"
+    )
+    run = weekly.start_weekly_stream(
+        bind.stream_of(sold, f"{stage}/lines"),
+        f"{stage}/weekly",
+        f"{stage}/progress",
+        f"{stage}/features",
+        late_by=ANY_LATENESS,
+    )
     run.awaitTermination()
-    return rounded(weekly.current_weekly(spark, f"{stage}/weekly").drop("curr_active_sellers"))
+    return rounded(weekly.current_features(spark, f"{stage}/features"), only=INEXACT)

@@ -147,23 +147,28 @@ def review_texts(spark: SparkSession, folder: str) -> DataFrame:
     return reviews(spark, folder).join(texts, "order_id", "inner")
 
 
-def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events table as a stream of order lines."""
-    return (
-        spark.readStream.schema(SCHEMAS["events"])
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-        .selectExpr(
-            "event_id as order_id",
-            "event_type as product_category",
-            "ts as order_purchase_timestamp",
-            "value as price",
-            "case when event_id % 3 <> 0 then value end as freight_value",
-            "user_id as seller_id",
-        )
+def events_as_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The events table as order lines: event types are categories, users sell."""
+    return table(spark, folder, "events").selectExpr(
+        "event_id as order_id",
+        "event_type as product_category",
+        "ts as order_purchase_timestamp",
+        "value as price",
+        "case when event_id % 3 <> 0 then value end as freight_value",
+        "user_id as seller_id",
     )
 
 
+def stream_of(lines: DataFrame, folder: str, triggers: int = 2) -> DataFrame:
+    """``lines`` written to a new ``folder`` in order of time and read as a stream.
+
+    Each trigger reads one of about ``triggers`` files.
+    """
+    spark = lines.sparkSession
+    lines.repartitionByRange(triggers, "order_purchase_timestamp").write.parquet(folder)
+    return spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 BINDINGS = {
     "order_items": order_items,
     "orders": orders,
