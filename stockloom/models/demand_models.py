@@ -1,23 +1,20 @@
-"""Demand models as Spark ML pipelines: Tweedie regression, boosted trees, boosted Tweedie.
+"""Demand models: Tweedie regression, boosted trees, boosted Tweedie.
 
-Every fit returns a ``PipelineModel`` that scores a feature table with
-``transform`` and is stored with ``save``.
+Every fit returns a ``DemandModel`` that scores a feature table with ``transform`` and is
+stored with ``save_model``. Categories enter every model as their level of earlier sales,
+so nothing depends on how many there are.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressor,
-    GBTRegressor,
-    GeneralizedLinearRegression,
-)
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockloom.models.boosting import Forest, fit_forest
+from stockloom.models.levels import LEVEL, add_levels, add_ordered_levels, final_levels
 from stockloom.operators.demand import CATEGORY, MODEL_FEATURES, TARGET, WEEK
 from stockloom.session import materialize
 
@@ -31,18 +28,37 @@ SCALED_FEATURES = tuple(
 )
 
 TWEEDIE_POWER = 1.1
-CODE = "category_code"
+INPUTS = (LEVEL, *NUMERIC_FEATURES)
 
 
-def category_stage(train: DataFrame) -> tuple[StringIndexer, int]:
-    """How to turn a category into a number, and how many numbers there can be.
+class DemandModel:
+    """Category levels after the training weeks, and a model of them and the other features.
 
-    Every category has a number of its own, whatever their number; unseen ones share one
-    more. The index is a list of the catalogue's category names on the driver.
+    ``model`` is a Spark pipeline or a ``Forest``. Categories not seen in training have
+    the level of all categories together.
     """
-    categories = train.select(CATEGORY).distinct().count()
-    indexer = StringIndexer(inputCol=CATEGORY, outputCol=CODE, handleInvalid="keep")
-    return indexer, categories + 1
+
+    def __init__(self, levels: DataFrame, model: PipelineModel | Forest) -> None:
+        self.levels, self.model = levels, model
+        row = levels.where(F.col(CATEGORY).isNull()).first()
+        self.unseen = 0.0 if row is None or row[LEVEL] is None else float(row[LEVEL])
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the forecast as ``prediction``."""
+        known = add_levels(rows, self.levels, self.unseen)
+        if isinstance(self.model, Forest):
+            return known.withColumn("prediction", self.model.forecast()).drop(LEVEL)
+        return self.model.transform(known).select(*rows.columns, "prediction")
+
+    def importances(self) -> dict[str, float]:
+        """What the splits on each feature gain, summing up to 1; trees only."""
+        if isinstance(self.model, Forest):
+            total = sum(self.model.gains) or 1.0
+            values = [gain / total for gain in self.model.gains]
+        else:
+            values = self.model.stages[-1].featureImportances.toArray().tolist()
+        names = (CATEGORY if name == LEVEL else name for name in INPUTS)
+        return dict(zip(names, values, strict=True))
 
 
 def mark_validation(train: DataFrame, weeks: int) -> DataFrame:
@@ -51,19 +67,22 @@ def mark_validation(train: DataFrame, weeks: int) -> DataFrame:
     return train.withColumn("is_validation", F.col(WEEK) > start)
 
 
+def _levelled(train: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training rows with the level before their week, and the levels to score with."""
+    return materialize(add_ordered_levels(train)), materialize(final_levels(train))
+
+
 def fit_tweedie_regression(
     train: DataFrame, power: float = TWEEDIE_POWER, ridge: float = 0.01
-) -> PipelineModel:
-    """Generalized linear model with Tweedie variance and log link; categories one-hot."""
-    coder, _ = category_stage(train)
-    logs = ", ".join(f"log1p(greatest({name}, 0)) as log_{name}" for name in SCALED_FEATURES)
+) -> DemandModel:
+    """Generalized linear model with Tweedie variance and log link."""
+    rows, levels = _levelled(train)
+    scaled = (LEVEL, *SCALED_FEATURES)
+    logs = ", ".join(f"log1p(greatest({name}, 0)) as log_{name}" for name in scaled)
     kept = [name for name in NUMERIC_FEATURES if name not in SCALED_FEATURES]
-    inputs = ["category_vector", *kept, *(f"log_{name}" for name in SCALED_FEATURES)]
     stages = [
-        coder,
-        OneHotEncoder(inputCol=CODE, outputCol="category_vector", handleInvalid="keep"),
         SQLTransformer(statement=f"select *, {logs} from __THIS__"),
-        VectorAssembler(inputCols=inputs, outputCol="features"),
+        VectorAssembler(inputCols=[*kept, *(f"log_{name}" for name in scaled)], outputCol="features"),
         GeneralizedLinearRegression(
             family="tweedie",
             variancePower=power,
@@ -73,14 +92,7 @@ def fit_tweedie_regression(
             maxIter=25,
         ),
     ]
-    return Pipeline(stages=stages).fit(train)
-
-
-def _tree_inputs(coder) -> list:
-    return [
-        coder,
-        VectorAssembler(inputCols=[CODE, *NUMERIC_FEATURES], outputCol="features"),
-    ]
+    return DemandModel(levels, Pipeline(stages=stages).fit(rows))
 
 
 def fit_boosted_trees(
@@ -90,36 +102,27 @@ def fit_boosted_trees(
     depth: int = 5,
     validation_weeks: int = 8,
     seed: int = 42,
-) -> PipelineModel:
-    """Gradient-boosted trees with squared loss, the category as a categorical split.
+) -> DemandModel:
+    """Gradient-boosted trees with squared loss.
 
     With ``validation_weeks`` the number of trees is chosen on the last weeks of
     the training period.
     """
-    coder, codes = category_stage(train)
+    rows, levels = _levelled(train)
     trees = GBTRegressor(
         labelCol=TARGET,
         maxIter=rounds,
         stepSize=step,
         maxDepth=depth,
-        maxBins=max(32, codes),
         subsamplingRate=0.8,
         featureSubsetStrategy="0.8",
         seed=seed,
     )
-    rows = train
     if validation_weeks:
-        rows = mark_validation(train, validation_weeks)
+        rows = mark_validation(rows, validation_weeks)
         trees = trees.setValidationIndicatorCol("is_validation")
-    return Pipeline(stages=[*_tree_inputs(coder), trees]).fit(rows)
-
-
-def tweedie_deviance(actual: Column, margin: Column, power: float) -> Column:
-    """Twice the Tweedie loss of the forecast ``exp(margin)``, up to a term without it."""
-    return (
-        F.exp(margin * (2.0 - power)) / (2.0 - power)
-        - actual * F.exp(margin * (1.0 - power)) / (1.0 - power)
-    ) * 2.0
+    stages = [VectorAssembler(inputCols=list(INPUTS), outputCol="features"), trees]
+    return DemandModel(levels, Pipeline(stages=stages).fit(rows))
 
 
 def fit_boosted_tweedie(
@@ -130,88 +133,41 @@ def fit_boosted_tweedie(
     power: float = TWEEDIE_POWER,
     validation_weeks: int = 8,
     patience: int = 5,
-    checkpoint_every: int = 5,
-    seed: int = 42,
-) -> PipelineModel:
+    bins: int = 64,
+) -> DemandModel:
     """Boosted trees under the Tweedie loss, which Spark's own boosted trees do not offer.
 
-    Each round fits one Spark decision tree to the Newton step of the loss, with
-    the second derivative as row weight, and adds it to the log forecast. Rounds
-    stop after ``patience`` rounds without gain on the validation weeks, and the
-    trees after the best round are dropped. Lineage is cut every few rounds.
+    Features are binned once; rounds stop after ``patience`` rounds without gain on the
+    last ``validation_weeks`` weeks of the training period.
     """
-    coder, codes = category_stage(train)
-    inputs = Pipeline(stages=_tree_inputs(coder)).fit(train)
-    rows = inputs.transform(mark_validation(train, validation_weeks))
-    actual = F.col("actual")
-    rows = rows.select(F.col(TARGET).cast("double").alias("actual"), "features", "is_validation")
-    mean = rows.where(~F.col("is_validation")).agg(F.avg("actual")).first()[0]
-    start = math.log(max(mean, 1e-6))
-    rows = materialize(rows.withColumn("margin", F.lit(start)))
-
-    tree = DecisionTreeRegressor(
-        labelCol="newton_step",
-        weightCol="curvature",
-        predictionCol="leaf",
-        maxDepth=depth,
-        maxBins=max(32, codes),
-        minInstancesPerNode=5,
-        seed=seed,
-    )
-    margin = F.col("margin")
-    slope = F.exp(margin * (2.0 - power)) - actual * F.exp(margin * (1.0 - power))
-    curvature = F.exp(margin * (2.0 - power)) * (2.0 - power) + actual * F.exp(
-        margin * (1.0 - power)
-    ) * (power - 1.0)
-
-    steps: list[Transformer] = []
-    best_loss, best_round = math.inf, 0
-    for number in range(1, rounds + 1):
-        fitted = tree.fit(
-            rows.where(~F.col("is_validation"))
-            .withColumn("curvature", curvature)
-            .withColumn("newton_step", -slope / F.col("curvature"))
-        )
-        steps.append(fitted)
-        rows = fitted.transform(rows).withColumn("margin", margin + F.col("leaf") * step)
-        rows = rows.drop("leaf")
-        if number % checkpoint_every == 0:
-            rows = materialize(rows)
-        held_out = F.when(F.col("is_validation"), tweedie_deviance(actual, margin, power))
-        loss = rows.agg(F.avg(held_out)).first()[0]
-        if loss is None or loss < best_loss:
-            best_loss, best_round = (math.inf if loss is None else loss), number
-        elif number - best_round >= patience:
-            break
-
-    add_leaf = SQLTransformer(
-        statement=f"select * except (leaf, margin), margin + leaf * {step}D as margin from __THIS__"
-    )
-    stages: list[Transformer] = [
-        *inputs.stages,
-        SQLTransformer(statement=f"select *, {start!r}D as margin from __THIS__"),
-    ]
-    for fitted in steps[:best_round]:
-        stages += [fitted, add_leaf]
-    stages.append(
-        SQLTransformer(statement="select * except (margin), exp(margin) as prediction from __THIS__")
-    )
-    return PipelineModel(stages=stages)
+    rows, levels = _levelled(train)
+    rows = mark_validation(rows, validation_weeks)
+    forest = fit_forest(rows, INPUTS, TARGET, power, rounds, step, depth, patience, bins)
+    return DemandModel(levels, forest)
 
 
-def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """Importance of each feature of a boosted-tree pipeline, largest first."""
-    trees = model.stages[-1]
-    names = (CATEGORY, *NUMERIC_FEATURES)
-    rows = [(name, float(value)) for name, value in zip(names, trees.featureImportances.toArray())]
+def feature_importance(spark: SparkSession, model: DemandModel) -> DataFrame:
+    """Importance of each feature of a tree model by gain, largest first."""
+    rows = [(name, float(value)) for name, value in model.importances().items()]
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(
         F.desc("importance"), "feature"
     )
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: DemandModel, path: str) -> None:
+    model.levels.write.mode("overwrite").parquet(f"{path}/levels")
+    if isinstance(model.model, Forest):
+        text = model.levels.sparkSession.createDataFrame([(model.model.dumps(),)], "forest string")
+        text.write.mode("overwrite").parquet(f"{path}/forest")
+    else:
+        model.model.write().overwrite().save(f"{path}/pipeline")
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(path: str) -> DemandModel:
+    spark = SparkSession.getActiveSession()
+    levels = spark.read.parquet(f"{path}/levels")
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/forest")
+    if files.getFileSystem(spark._jsc.hadoopConfiguration()).exists(files):
+        forest = spark.read.parquet(f"{path}/forest").first().forest
+        return DemandModel(levels, Forest.loads(forest))
+    return DemandModel(levels, PipelineModel.load(f"{path}/pipeline"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from stockloom.models.demand_models import DemandModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +13,7 @@ from stockloom.operators.evaluation import fold_roles, forecast_metrics, results
 
 def cross_validation_scores(
     features: DataFrame,
-    fit: Callable[[DataFrame], PipelineModel],
+    fit: Callable[[DataFrame], DemandModel],
     folds: int = 3,
     horizon_weeks: int = 8,
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from stockloom.models.demand_models import DemandModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -542,7 +542,7 @@ def dissatisfaction_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scored_test(
-    spark: SparkSession, folder: str, fit: Callable[[DataFrame], PipelineModel]
+    spark: SparkSession, folder: str, fit: Callable[[DataFrame], DemandModel]
 ) -> DataFrame:
     train, test = _split(materialize(_brand_features(spark, folder)))
     return evaluation.results_table(fit(train).transform(test))

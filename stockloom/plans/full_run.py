@@ -1,27 +1,30 @@
 """The whole job: raw tables to line table, features, model, evaluation and plan.
 
     python -m stockloom.plans.full_run RAW_FOLDER OUT_FOLDER [--format csv|parquet]
+        [--files orders=my_orders.csv ...]
 
 Each step reads what the step before wrote, so a failed run can be taken up at
-any step, and no step's lineage reaches back to the raw files.
+any step, and no step's lineage reaches back to the raw files. A report that fails
+is recorded with its error in the table of reports, and the others are written.
 """
 
 from __future__ import annotations
 
 import argparse
 from collections.abc import Callable
-from functools import partial
+from functools import cache, partial
 
-from pyspark.ml import PipelineModel
+from stockloom.models.demand_models import DemandModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.models import demand_models
+from stockloom.models.importance import permutation_importance
 from stockloom.operators import demand, evaluation, inventory, logistics, profile, star
 from stockloom.session import build_session, materialize
 from stockloom.sources import readers, sinks
 
-FITS: dict[str, Callable[[DataFrame], PipelineModel]] = {
+FITS: dict[str, Callable[[DataFrame], DemandModel]] = {
     "boosted_tweedie": demand_models.fit_boosted_tweedie,
     "boosted_trees": demand_models.fit_boosted_trees,
     "tweedie_regression": demand_models.fit_tweedie_regression,
@@ -67,24 +70,48 @@ def train(
     metrics = evaluation.forecast_metrics(spark.read.parquet(f"{out}/results"))
     params = {"model": model, "test_from": f"{year}-{month:02d}", **options}
     sinks.log_run(spark, f"{out}/runs", model, params, metrics)
-    if model == "boosted_trees":
-        importance = demand_models.feature_importance(spark, fitted)
-        sinks.write_csv(importance, f"{out}/feature_importance")
+    test = materialize(demand.test_rows(features, year, month))
+    reports = {"permutation_importance": lambda: permutation_importance(test, fitted.transform)}
+    if model != "tweedie_regression":
+        reports["feature_importance"] = lambda: demand_models.feature_importance(spark, fitted)
+    write_reports(spark, reports, out, out)
+
+
+def write_reports(
+    spark: SparkSession, reports: dict[str, Callable[[], DataFrame]], folder: str, out: str
+) -> list[str]:
+    """Write each report as CSV below ``folder``; returns the names of those that failed.
+
+    One that fails, while it is planned or while it runs, does not keep the others from
+    being written. Name, state, error and time of each are rows of ``out``/reports.
+    """
+    states = []
+    for name, report in reports.items():
+        error = None
+        try:
+            sinks.write_csv(report(), f"{folder}/{name}")
+        except Exception as failure:  # whatever a report raises ends that report alone
+            error = f"{type(failure).__name__}: {failure}"
+        states.append((name, "failed" if error else "written", error))
+    sinks.log_reports(spark, f"{out}/reports", states)
+    return [name for name, _, error in states if error]
 
 
-def evaluate(spark: SparkSession, out: str) -> None:
+def evaluate(spark: SparkSession, out: str) -> list[str]:
     """The tables behind the three evaluation charts, and errors per category."""
     results = spark.read.parquet(f"{out}/results")
-    errors = materialize(logistics.value_counts(results, "error"))
+
+    def errors() -> DataFrame:
+        return materialize(logistics.value_counts(results, "error"))
+
     reports = {
-        "global_forecast": evaluation.global_forecast_by_week(results),
-        "top_category_forecasts": evaluation.top_category_forecasts(results),
-        "error_histogram": profile.histogram(errors, "error", 50),
-        "error_density": profile.kernel_density(errors, "error"),
-        "errors_by_category": evaluation.forecast_metrics(results, by=("category",)),
+        "global_forecast": lambda: evaluation.global_forecast_by_week(results),
+        "top_category_forecasts": lambda: evaluation.top_category_forecasts(results),
+        "error_histogram": lambda: profile.histogram(errors(), "error", 50),
+        "error_density": lambda: profile.kernel_density(errors(), "error"),
+        "errors_by_category": lambda: evaluation.forecast_metrics(results, by=("category",)),
     }
-    for name, report in reports.items():
-        sinks.write_csv(report, f"{out}/evaluation/{name}")
+    return write_reports(spark, reports, f"{out}/evaluation", out)
 
 
 def plan(spark: SparkSession, out: str, service_level: float = 0.95) -> None:
@@ -94,34 +121,35 @@ def plan(spark: SparkSession, out: str, service_level: float = 0.95) -> None:
     sinks.write_csv(plan_rows, f"{out}/inventory_plan")
 
 
-def explore(spark: SparkSession, out: str, payments: DataFrame | None = None) -> None:
+def explore(spark: SparkSession, out: str, payments: DataFrame | None = None) -> list[str]:
     """The tables behind the exploratory charts. Payments are optional."""
     lines = logistics.add_stage_days(spark.read.parquet(f"{out}/line_table"))
     valid = logistics.valid_logistics(lines)
-    ship = materialize(logistics.value_counts(valid, "time_to_ship"))
-    carrier = materialize(logistics.value_counts(valid, "carrier_time"))
-    top = logistics.top_cities(lines)
+
+    @cache
+    def days(value: str) -> DataFrame:
+        return materialize(logistics.value_counts(valid, value))
+
+    def city_delivery_time() -> DataFrame:
+        top = profile.rows_of_top(lines, logistics.top_cities(lines), "customer_city")
+        return profile.bootstrap_mean_interval(top, "total_delivery_time", "customer_city")
+
     reports = {
-        "monthly_revenue": profile.monthly_revenue(lines),
-        "delay_boxplot_by_state": profile.delay_boxplot(logistics.within_delay_view(lines)),
-        "late_rate_by_state": logistics.late_rate_by_state(lines),
-        "late_rate_national": logistics.late_rate_national(lines),
-        "city_delivery_time": profile.bootstrap_mean_interval(
-            profile.rows_of_top(lines, top, "customer_city"),
-            "total_delivery_time",
-            "customer_city",
-        ),
-        "weekday_hour": profile.weekday_hour_pivot(lines),
-        "seller_time_histogram": profile.histogram(ship, "time_to_ship", 20),
-        "seller_time_density": profile.kernel_density(ship, "time_to_ship"),
-        "carrier_time_histogram": profile.histogram(carrier, "carrier_time", 40),
-        "carrier_time_density": profile.kernel_density(carrier, "carrier_time"),
-        "state_logistics": logistics.state_logistics_breakdown(valid),
+        "monthly_revenue": lambda: profile.monthly_revenue(lines),
+        "delay_boxplot_by_state": lambda: profile.delay_boxplot(logistics.within_delay_view(lines)),
+        "late_rate_by_state": lambda: logistics.late_rate_by_state(lines),
+        "late_rate_national": lambda: logistics.late_rate_national(lines),
+        "city_delivery_time": city_delivery_time,
+        "weekday_hour": lambda: profile.weekday_hour_pivot(lines),
+        "seller_time_histogram": lambda: profile.histogram(days("time_to_ship"), "time_to_ship", 20),
+        "seller_time_density": lambda: profile.kernel_density(days("time_to_ship"), "time_to_ship"),
+        "carrier_time_histogram": lambda: profile.histogram(days("carrier_time"), "carrier_time", 40),
+        "carrier_time_density": lambda: profile.kernel_density(days("carrier_time"), "carrier_time"),
+        "state_logistics": lambda: logistics.state_logistics_breakdown(valid),
     }
     if payments is not None:
-        reports["payment_share"] = profile.payment_share(payments)
-    for name, report in reports.items():
-        sinks.write_csv(report, f"{out}/explore/{name}")
+        reports["payment_share"] = lambda: profile.payment_share(payments)
+    return write_reports(spark, reports, f"{out}/explore", out)
 
 
 def run(
@@ -148,13 +176,17 @@ def main() -> None:
     parser.add_argument("raw")
     parser.add_argument("out")
     parser.add_argument("--format", default="csv", choices=("csv", "parquet"))
+    parser.add_argument(
+        "--files", nargs="*", default=[], metavar="TABLE=FILE", help="file names within RAW_FOLDER"
+    )
     parser.add_argument("--model", default="boosted_tweedie", choices=tuple(FITS))
     parser.add_argument("--test-year", type=int, default=2018)
     parser.add_argument("--test-month", type=int, default=6)
     parser.add_argument("--service-level", type=float, default=0.95)
     given = parser.parse_args()
     spark = build_session()
-    tables = readers.read_raw_tables(spark, given.raw, file_format=given.format)
+    files = dict(name.split("=", 1) for name in given.files)
+    tables = readers.read_raw_tables(spark, given.raw, files, given.format)
     counts = run(
         spark,
         tables,

@@ -46,3 +46,13 @@ def log_run(
         "*",
     )
     row.write.mode("append").parquet(path)
+
+
+def log_reports(
+    spark: SparkSession, path: str, states: list[tuple[str, str, str | None]]
+) -> None:
+    """Append a row per report: its name, state, error if any, and the time."""
+    stamp = datetime.now(timezone.utc).replace(tzinfo=None)
+    rows = spark.createDataFrame(states, "report string, state string, error string")
+    stamped = rows.withColumn("logged_at", F.lit(stamp).cast("timestamp_ntz"))
+    stamped.coalesce(1).write.mode("append").parquet(path)

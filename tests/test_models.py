@@ -1,10 +1,11 @@
+import math
 from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stockloom.models import demand_models, seasonal, topics, validation
+from stockloom.models import boosting, demand_models, importance, levels, seasonal, topics, validation
 from stockloom.operators import demand, evaluation
 from stockloom.plans import catalog
 from stockloom.session import materialize
@@ -81,11 +82,66 @@ def test_validation_rows_come_from_the_end_of_training(features):
     assert (found[True].hi - found[True].lo).days == 7 * 7
 
 
-def test_large_catalogues_keep_every_category_apart(spark):
-    rows = spark.range(1500).selectExpr("concat('c', id) as product_category")
-    stage, codes = demand_models.category_stage(rows)
-    coded = stage.fit(rows).transform(rows).select("category_code").distinct()
-    assert codes == 1501 and coded.count() == 1500
+@pytest.mark.parametrize("categories", [26, 100_000])
+def test_levels_use_strictly_earlier_weeks_at_any_size(spark, categories):
+    weeks = 4 if categories > 1000 else 30
+    rows = spark.range(categories * weeks).selectExpr(
+        f"concat('c', id % {categories}) as product_category",
+        f"timestamp_ntz'2018-01-01' + make_dt_interval(cast(7 * (id div {categories}) as int)) as order_purchase_timestamp",
+        "cast(pmod(hash(id), 50) as bigint) as quantity_sold",
+    )
+    frame = levels.add_ordered_levels(rows).toPandas()
+    frame = frame.sort_values(["product_category", "order_purchase_timestamp"])
+    totals = frame.groupby("order_purchase_timestamp").quantity_sold.agg(["sum", "count"])
+    prior = (totals["sum"].cumsum().shift() / totals["count"].cumsum().shift()).fillna(0.0)
+    own = frame.groupby("product_category").quantity_sold
+    before = own.cumsum() - frame.quantity_sold
+    expected = (before + 8.0 * frame.order_purchase_timestamp.map(prior)) / (own.cumcount() + 8.0)
+    assert len(frame) == categories * weeks
+    assert np.allclose(frame.category_level, expected)
+    final = levels.final_levels(rows).toPandas().set_index("product_category").category_level
+    assert len(final) == categories + 1
+    mean = frame.quantity_sold.mean()
+    assert np.allclose(final.loc["c7"], (frame[frame.product_category == "c7"].quantity_sold.sum() + 8 * mean) / (weeks + 8))
+    assert final[final.index.isna()].iloc[0] == pytest.approx(mean)
+
+
+def test_unseen_categories_have_the_level_of_all(features):
+    train, test = demand.train_rows(features, 2018, 3), demand.test_rows(features, 2018, 3)
+    model = FITS["boosted_tweedie"](train)
+    strange = test.withColumn("product_category", F.lit("never seen"))
+    assert model.transform(strange).where("prediction is null").count() == 0
+    assert model.transform(test).columns == [*test.columns, "prediction"]
+
+
+def test_first_tree_equals_brute_force(spark):
+    """Every cut of the root is tried by hand, and the leaves are Newton steps."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 12, (400, 3)).astype(float)
+    y = rng.poisson(np.exp(0.2 * x[:, 1])).astype(float)
+    table = spark.createDataFrame(
+        [(*map(float, row), float(t), bool(i % 10 == 0)) for i, (row, t) in enumerate(zip(x, y))],
+        "a double, b double, c double, y double, is_validation boolean",
+    ).repartition(3)
+    forest = boosting.fit_forest(table, ("a", "b", "c"), "y", 1.5, 1, 1.0, 1, 5, 64)
+    keep = np.arange(400) % 10 != 0
+    x, y = x[keep], y[keep]
+    m = math.log(y.mean())
+    g = np.exp(0.5 * m) - y * np.exp(-0.5 * m)
+    h = 0.5 * np.exp(0.5 * m) + 0.5 * y * np.exp(-0.5 * m)
+    best = max(
+        (
+            g[x[:, f] <= t].sum() ** 2 / (h[x[:, f] <= t].sum() + 1)
+            + g[x[:, f] > t].sum() ** 2 / (h[x[:, f] > t].sum() + 1), f, t,
+        )
+        for f in range(3) for t in range(11)
+    )
+    tree = forest.trees[0]
+    assert (tree.feature[0], tree.threshold[0]) == best[1:]
+    left = x[:, best[1]] <= best[2]
+    assert tree.value[1] == pytest.approx(-g[left].sum() / (h[left].sum() + 1))
+    assert tree.value[2] == pytest.approx(-g[~left].sum() / (h[~left].sum() + 1))
+    assert boosting.Forest.loads(forest.dumps()).dumps() == forest.dumps()
 
 
 def test_importances_cover_all_features(spark, features):
@@ -97,6 +153,32 @@ def test_importances_cover_all_features(spark, features):
     assert values == sorted(values, reverse=True)
 
 
+@pytest.mark.parametrize("name", list(FITS))
+def test_permutations_tell_what_each_model_uses(features, name):
+    train, test = demand.train_rows(features, 2018, 3), demand.test_rows(features, 2018, 3)
+    model = FITS[name](train)
+    rows = importance.permutation_importance(test, model.transform).collect()
+    assert {r.feature for r in rows} == set(demand.MODEL_FEATURES)
+    by_name = {r.feature: r.importance for r in rows}
+    assert max(by_name.values()) > 0.2
+    # A feature equal for all rows of a week cannot matter within it.
+    assert abs(by_name["weeks_to_bf"]) < 1e-9
+
+
+def test_shuffled_copies_deal_every_value_to_another_row(spark, features):
+    rows = features.select("product_category", demand.WEEK, "quantity_sold", "sales_lag_1").limit(200)
+    rows = materialize(rows.withColumn("mark", F.concat_ws("|", "product_category", demand.WEEK)))
+    frame = importance.shuffled_copies(rows, ("mark", "sales_lag_1"), 3).toPandas()
+    assert len(frame) == 3 * rows.count()
+    moved = frame[frame.permuted == "mark"]
+    own = moved.product_category + "|" + moved[demand.WEEK].astype(str)
+    alone = moved.groupby(demand.WEEK).mark.transform("size") == 1
+    assert (moved.mark.str[:4] != own.str[:4])[~alone].all()
+    assert sorted(moved.mark) == sorted(frame[frame.permuted == "none"].mark)
+    again = importance.shuffled_copies(rows, ("mark", "sales_lag_1"), 3).toPandas()
+    assert sorted(map(tuple, frame.astype(str).values)) == sorted(map(tuple, again.astype(str).values))
+
+
 def test_cross_validation_scores_every_fold(features):
     rows = validation.cross_validation_scores(
         features, demand_models.fit_tweedie_regression, folds=2, horizon_weeks=6
