@@ -615,6 +615,30 @@ ORACLES = {
                count(distinct user_id) as curr_active_sellers,
                min(ts) as first_sold_at
         from s group by 1, 2""",
+    "category_levels": demand()
+    + """,
+        train as (select * from features where year < 2000 or (year = 2000 and month < 6)),
+        week_sums as (
+          select order_purchase_timestamp, sum(quantity_sold) as s, count(*) as n from train group by 1),
+        priors as (
+          select a.order_purchase_timestamp,
+                 coalesce(sum(b.s)::double / nullif(sum(b.n), 0), 0) as prior
+          from week_sums a left join week_sums b
+            on b.order_purchase_timestamp < a.order_purchase_timestamp group by 1)
+        select product_category, order_purchase_timestamp,
+               round((coalesce(sum(quantity_sold) over before, 0)::double + prior * 8)
+                     / (count(*) over before + 8), 9) as category_level
+        from train join priors using (order_purchase_timestamp)
+        window before as (partition by product_category order by order_purchase_timestamp
+                          rows between unbounded preceding and 1 preceding)""",
+    "category_levels_final": demand()
+    + """,
+        train as (select * from features where year < 2000 or (year = 2000 and month < 6)),
+        overall as (select sum(quantity_sold)::double / count(*) as prior from train)
+        select product_category,
+               round((sum(quantity_sold)::double + any_value(prior) * 8) / (count(*) + 8), 9) as category_level
+        from train, overall group by product_category
+        union all select null, round(prior, 9) from overall""",
     "stream_features": demand(False)
     + """
         select * replace (

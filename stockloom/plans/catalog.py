@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.functions import calendar
-from stockloom.models import demand_models, seasonal, topics, validation
+from stockloom.models import demand_models, importance, levels, seasonal, topics, validation
 from stockloom.operators import demand, evaluation, inventory, logistics, profile, star, vendors
 from stockloom.plans import features as stages
 from stockloom.session import materialize, stage_folder
@@ -553,6 +553,19 @@ def demand_model_tweedie(spark: SparkSession, folder: str) -> DataFrame:
     return _scored_test(spark, folder, demand_models.fit_tweedie_regression)
 
 
+@query
+def demand_model_tweedie_fine(spark: SparkSession, folder: str) -> DataFrame:
+    """The same model and path over the finest categories."""
+    train, test = _split(materialize(_fine_features(spark, folder)))
+    return evaluation.results_table(demand_models.fit_tweedie_regression(train).transform(test))
+
+
+@query
+def demand_model_boosted_fine(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _split(materialize(_fine_features(spark, folder)))
+    return evaluation.results_table(demand_models.fit_boosted_tweedie(train).transform(test))
+
+
 @query
 def demand_model_gbt(spark: SparkSession, folder: str) -> DataFrame:
     return _scored_test(spark, folder, demand_models.fit_boosted_trees)
@@ -564,6 +577,20 @@ def demand_model_boosted(spark: SparkSession, folder: str) -> DataFrame:
     return _scored_test(spark, folder, demand_models.fit_boosted_tweedie)
 
 
+@query
+def category_levels(spark: SparkSession, folder: str) -> DataFrame:
+    """The number that stands for a category in the models, per training week."""
+    levelled = levels.add_ordered_levels(_split(_fine_features(spark, folder))[0])
+    return rounded(levelled.select(CATEGORY, WEEK, levels.LEVEL), 9)
+
+
+@query
+def category_levels_final(spark: SparkSession, folder: str) -> DataFrame:
+    """The level of each category after the training weeks; that of all has no category."""
+    train = materialize(_split(_fine_features(spark, folder))[0])
+    return rounded(levels.final_levels(train), 9)
+
+
 @query
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     train, _ = _split(materialize(_brand_features(spark, folder)))
@@ -571,6 +598,14 @@ def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     return demand_models.feature_importance(spark, model)
 
 
+@query
+def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Error growth per feature of the Tweedie regression over the finest categories."""
+    train, test = _split(materialize(_fine_features(spark, folder)))
+    model = demand_models.fit_tweedie_regression(train)
+    return importance.permutation_importance(test, model.transform)
+
+
 @query
 def inventory_plan_model(spark: SparkSession, folder: str) -> DataFrame:
     """The plan with the forecast of the Tweedie regression."""
