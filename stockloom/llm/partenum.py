@@ -8,11 +8,11 @@ of two of a group's three parts are enumerated, and each is one signature. With
 more than needed, s + 1 signatures agree at least, so each set can leave out its s
 smallest ones, which sets meet on by chance; the largest agreeing one is left out by none.
 
-Sets with a common signature are compared inside that join by parity sketches, whose
-Hamming distance never exceeds that of the sets. A sketch has more than twice as many bits
-as its band's sets may differ in, so unrelated sets do not pass; pairs that do are compared
-by the sets themselves. Groups of near copies are contracted round by round before their
-pairs would be compared.
+Sets with a common signature are compared by parity sketches, whose Hamming distance
+never exceeds that of the sets. A sketch has more than twice as many bits as its band's
+sets may differ in, so unrelated sets do not pass; pairs that do are compared by the sets
+themselves. Groups of near copies are contracted by pivots, one per signature, round by
+round; what pairs are left then are compared inside the join of signatures.
 """
 
 from __future__ import annotations
@@ -49,8 +49,8 @@ CHANCE, MEETING = 0.05, 200.0
 REMEMBERED = 200_000
 # Ids that may be broadcast: 32 MB of them.
 BROADCAST_IDS = 4_000_000
-# All pairs are compared at once where a set shares a signature with no more sets on average.
-SETS_PER_SIGNATURE = 8
+# Rounds of pivots go on while one links more than this share of all sets linked so far.
+WORTHWHILE = 0.02
 
 
 class Band(NamedTuple):
@@ -238,12 +238,12 @@ def _in_bands(percent: int):
             at = pa.array(place, pa.int64())
             yield pa.record_batch(
                 [
-                    *(batch.column(name).take(at) for name in ("k1", "rep", "n")),
+                    batch.column("rep").take(at),
                     pa.array(number, pa.int64()),
                     *(pa.array(np.ascontiguousarray(first[:, i])) for i in range(len(SKETCH))),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                 ],
-                ["k1", "rep", "n", "band", *SKETCH, "rest"],
+                ["rep", "band", *SKETCH, "rest"],
             )
 
     return run
@@ -366,8 +366,11 @@ def similar_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFram
         "representatives",
     )
     columns = ", ".join(f"{name} bigint" for name in SKETCH)
-    in_bands = reps.select("k1", "rep", "n", "sketch").mapInArrow(
-        _in_bands(percent), f"k1 bigint, rep bigint, n bigint, band bigint, {columns}, rest array<bigint>"
+    sketches = staged(
+        reps.select("rep", "n", "sketch").mapInArrow(
+            _in_bands(percent), f"rep bigint, band bigint, {columns}, rest array<bigint>"
+        ),
+        "sketches",
     )
     # Sets whose first key is equal by chance get each other's signatures too.
     shared = staged(
@@ -376,13 +379,12 @@ def similar_classes(docs: DataFrame, words: int, percent: int) -> tuple[DataFram
         .repartition("sig")
         .sortWithinPartitions("sig", "k1")
         .mapInArrow(_shared, "sig bigint, k1 bigint")
-        .withColumn("band", F.expr(f"sig & {(1 << BAND_BITS) - 1}"))
-        .join(in_bands, ["k1", "band"])
-        .select("sig", "rep", "n", *SKETCH, "rest"),
+        .join(reps.select("k1", "rep", "n"), "k1")
+        .select("sig", "rep", "n"),
         "signatures",
     )
     classes = slim.join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left")
-    linked = _linked(docs, shared, words, percent)
+    linked = _linked(docs, shared, sketches, words, percent)
     return classes.select("doc_id", "n_shingles", "rep"), linked
 
 
@@ -421,64 +423,94 @@ def _moved(df: DataFrame, column: str, merged: DataFrame) -> DataFrame:
     return joined.withColumn(column, F.coalesce("_into", column)).select(*df.columns)
 
 
-def _linked(docs: DataFrame, shared: DataFrame, words: int, percent: int) -> DataFrame:
-    """(node, component) of all linked sets.
+BAND = f"sig & {(1 << BAND_BITS) - 1}"
 
-    ``shared`` has sig, rep, n and the sketch. In each round every signature compares one
-    pivot with its other sets, so a group of near copies takes as many comparisons as it
-    has members. Sets that are linked by then are one component, and signatures within one
-    component are done. When few sets share a signature, or pivots no longer help, all
-    pairs of different components that are left are compared. Links within a component
-    are never needed, so the components are exact. New links join components, not sets.
-    """
+
+def _close(percent: int) -> str:
+    """Whether the sketches of sides a and b differ in no more bits than similar sets may."""
     allowed = f"(n_a + n_b) * {100 - percent} div {100 + percent}"
     distance = " + ".join(f"bit_count({name}_a ^ {name}_b)" for name in SKETCH)
     further = "aggregate(zip_with(rest_a, rest_b, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-    close = (
-        f"c_a <> c_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
-        f" and {distance} <= {allowed} and {distance} + {further} <= {allowed}"
+    return f"{distance} <= {allowed} and {distance} + {further} <= {allowed}"
+
+
+def _pairs_with_pivots(found: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Close pairs of a signature's pivot, side a, and another of its sets, side b.
+
+    A pair that shares many signatures is reduced to one row in each task that meets it.
+    """
+    sizes = f"c_a <> c_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)"
+    sides = found.selectExpr(
+        "pivot.rep as rep_a", "pivot.n as n_a", "pivot.c as c_a",
+        "rep as rep_b", "n as n_b", "c as c_b", f"{BAND} as band",
     )
+    own = ["rep_a", "n_a", "c_a", "rep_b", "n_b", "c_b"]
+    pairs = sides.filter(sizes).groupBy(*own).agg(F.max("band").alias("band"))
+    for side in "ab":
+        of_side = sketches.toDF(
+            f"rep_{side}", "band", *(f"{name}_{side}" for name in (*SKETCH, "rest"))
+        )
+        pairs = pairs.join(of_side, [f"rep_{side}", "band"])
+    return pairs.filter(_close(percent))
+
+
+def _all_pairs(found: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Close pairs of different components that share a signature, compared in the join."""
+    rows = found.select("sig", "rep", "n", "c").withColumn("band", F.expr(BAND))
+    rows = rows.join(sketches, ["rep", "band"]).drop("band")
+    first, second = _side(rows, "a"), _side(rows, "b")
+    met = (
+        "rep_a < rep_b and c_a <> c_b"
+        f" and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and {_close(percent)}"
+    )
+    return first.join(second, (first["sig"] == second["sig"]) & F.expr(met))
+
+
+def _linked(
+    docs: DataFrame, shared: DataFrame, sketches: DataFrame, words: int, percent: int
+) -> DataFrame:
+    """(node, component) of all linked sets.
+
+    ``shared`` has sig, rep and n. In each round every signature compares one pivot with
+    its other sets, so a group of near copies takes as many comparisons as it has members.
+    Sets that are linked by then are one component, and signatures within one component
+    are done. When a round links few sets, all pairs of different components that are left
+    are compared. Links within a component are never needed, so the components are exact.
+    New links join components, not sets.
+    """
     live = shared.withColumn("c", F.col("rep"))
-    linked, before = None, None
+    linked, gained, total = None, 0, 0
     for number in count():
         # One order of all sets, so that a group has one pivot in most signatures.
-        pivots = staged(
+        pivots = (
             live.groupBy("sig")
             .agg(
-                F.count("*").cast("decimal(38,0)").alias("m"),
                 F.min("c").alias("low"),
                 F.max("c").alias("high"),
-                F.min_by("rep", F.xxhash64("rep", F.lit(number))).alias("pivot"),
+                F.min_by(F.struct("rep", "n", "c"), F.xxhash64("rep", F.lit(number))).alias("pivot"),
             )
             .filter("low < high")
-            .select("sig", "m", "pivot"),
-            "pivots",
+            .select("sig", "pivot")
         )
-        rows, squares = pivots.agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first()
-        if not rows:
+        found = staged(live.join(pivots, "sig"), "open-signatures")
+        if found.isEmpty():
             break
-        last = before is not None and (
-            squares <= SETS_PER_SIGNATURE * rows or 10 * squares > 9 * before
-        )
-        before = squares
-        if last:
-            first = live.join(pivots.select("sig"), "sig", "left_semi")
-            second, met = first, f"rep_a < rep_b and {close}"
-        else:
-            first, second = live.join(pivots, "sig").filter("rep = pivot"), live
-            first, met = first.drop("m", "pivot"), close
-        first, second = _side(first, "a"), _side(second, "b")
-        pairs = first.join(second, (first["sig"] == second["sig"]) & F.expr(met))
+        last = number > 0 and gained <= WORTHWHILE * total
+        close = _all_pairs if last else _pairs_with_pivots
+        pairs = close(found, sketches, percent)
         pairs = staged(pairs.select("rep_a", "c_a", "rep_b", "c_b").distinct(), "pairs")
         links = staged(_verified(docs, pairs, words, percent), "links")
         merged = staged(components(links), "merged")
+        gained = merged.count()
+        total += gained
         if linked is None:
             linked = merged
         else:
-            linked = staged(_moved(linked, "component", merged).unionByName(merged).distinct(), "linked")
+            linked = _moved(linked, "component", merged).unionByName(merged).distinct()
+            linked = staged(linked, "linked")
         if last:
             break
-        live = _moved(live, "c", merged)
+        live = _moved(found.select("sig", "rep", "n", "c"), "c", merged)
     if linked is None:
         return live.selectExpr("rep as node", "c as component").limit(0)
     return linked
