@@ -16,8 +16,8 @@ from stockloom.llm.common import sql_text, staged
 STATISTICS = (
     "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed".split()
 )
-# Changed documents that may be broadcast: their keys and a few hashes each.
-BROADCAST_ROWS = 500_000
+# Bytes of changed documents, their keys and hashes of lines, that may be broadcast.
+BROADCAST_BYTES = 64 << 20
 
 # Repeated windows of a text that are looked up one after the other.
 SHORT = 32
@@ -31,15 +31,19 @@ class Limits(NamedTuple):
 
     A line is removed if it is in more than ``share`` of a host's documents and in more than
     ``documents`` of them; copies of one text seldom reach such a share, and are left to
-    deduplication. With ``texts``, a line is also removed if more than so many different
-    texts of a host hold it, whatever their share: exact copies of a text count once. A
-    document is rejected if less than ``remaining`` of its lines' characters remain.
+    deduplication. It is also removed if more than ``texts`` different texts of a host hold
+    it, whatever their share, as a share alone is loosest in the largest hosts; exact copies
+    of a text count once. A document is rejected if less than ``remaining`` of its lines'
+    characters remain.
+
+    Documents are counted by doc_id: rows that repeat one count once for a line and a host.
+    Each row without a doc_id is a document.
     """
 
     share: float = 0.1
     documents: int = 20
     remaining: float = 0.3
-    texts: int | None = None
+    texts: int = 100
 
 
 def _line_hash(line: str) -> str:
@@ -129,26 +133,39 @@ def _measured(docs: DataFrame) -> DataFrame:
     )
 
 
+def _by_document(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose doc_id is theirs alone or null, and rows that share one."""
+    ids = rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
+    ids = staged(ids.select("doc_id"), "repeated-ids")
+    return rows.join(ids, "doc_id", "left_anti"), rows.join(ids, "doc_id", "left_semi")
+
+
 def frequent_lines(measured: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(host, line, n_docs) of the lines above the limits, from the rows of documents."""
-    per_host = measured.groupBy("host").agg(F.count("*").alias("host_docs"))
-    distinct = F.expr("array_distinct(transform(lines, x -> x.line))")
-    rows = measured.select("host", "text_hash", F.explode(distinct).alias("line"))
-    least = limits.documents if limits.texts is None else min(limits.documents, limits.texts)
+    distinct = F.expr("array_distinct(transform(lines, x -> x.line))").alias("each")
+    slim = measured.select("doc_id", "host", "text_hash", distinct)
+    alone, shared = _by_document(slim)
+    hosts = alone.select("host").unionByName(shared.select("doc_id", "host").distinct().select("host"))
+    per_host = hosts.groupBy("host").agg(F.count("*").alias("host_docs"))
+    # Only lines of repeated ids need their document beside them to be counted.
+    rows = shared.select("doc_id", "host", F.explode("each").alias("line"))
     counted = (
-        rows.groupBy("host", "line").agg(F.count("*").alias("n_docs")).filter(F.col("n_docs") > least)
+        alone.select("host", F.explode("each").alias("line"), F.lit(1).alias("d"), F.lit(1).alias("r"))
+        .unionByName(rows.select("host", "line", F.lit(0).alias("d"), F.lit(1).alias("r")))
+        .unionByName(rows.distinct().select("host", "line", F.lit(1).alias("d"), F.lit(0).alias("r")))
+        .groupBy("host", "line")
+        .agg(F.sum("d").alias("n_docs"), F.sum("r").alias("n_rows"))
+        .filter((F.col("n_docs") > limits.documents) | (F.col("n_rows") > limits.texts))
     )
     above = (F.col("n_docs") > limits.documents) & (
         F.col("n_docs") > limits.share * F.col("host_docs")
     )
-    judged = counted.join(per_host, "host").withColumn("above", above)
-    if limits.texts is None:
-        return judged.filter("above").select("host", "line", "n_docs")
-    judged = staged(judged, "counted")
-    # Only lines in so many documents can be in so many texts.
-    open_lines = judged.filter(~F.col("above") & (F.col("n_docs") > limits.texts))
+    judged = staged(counted.join(per_host, "host").withColumn("above", above), "counted")
+    # Only lines in so many rows can be in so many texts.
+    open_lines = judged.filter(~F.col("above") & (F.col("n_rows") > limits.texts))
     wide = (
-        rows.join(open_lines.select("host", "line", "n_docs"), ["host", "line"])
+        slim.select("host", "text_hash", F.explode("each").alias("line"))
+        .join(open_lines.select("host", "line", "n_docs"), ["host", "line"])
         .groupBy("host", "line", "text_hash")
         .agg(F.first("n_docs").alias("n_docs"))
         .groupBy("host", "line")
@@ -203,8 +220,9 @@ def quality_verdicts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     ``docs`` has doc_id and text, and source as host; a missing or null source is the empty
     host. line_chars counts the characters of lines with a word, lost_chars those of removed
-    lines among them. A null or wordless text has no words and fails. Repeated rows are documents of their own and get equal verdicts; a
-    null doc_id stays null. Other columns are ignored.
+    lines among them. A null or wordless text has no words and fails. Repeated rows are one
+    document to the counts of lines, and each gets its verdict. A null doc_id stays null.
+    Other columns are ignored.
     """
     return _judged(docs, limits).select("doc_id", *STATISTICS, "line_chars", "lost_chars", "kept")
 
@@ -221,7 +239,8 @@ def quality_filtered(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         .dropDuplicates(KEY),
         "changes",
     )
-    if changes.count() <= BROADCAST_ROWS:
+    size = F.sum(F.lit(64) + F.length("host") + 8 * F.coalesce(F.size("removed"), F.lit(0)))
+    if (changes.agg(size).first()[0] or 0) <= BROADCAST_BYTES:
         changes = F.broadcast(changes)
     keyed = docs.select(
         F.struct(*docs.columns).alias("row"),

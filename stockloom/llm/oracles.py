@@ -52,35 +52,37 @@ ORACLES: dict[str, str] = {
 
 ORACLES["op5_quality_rules"] = rf"""
   with words as (
-    select doc_id, coalesce(source, '') as host, coalesce(text, '') as t,
+    select row_number() over () as rid, doc_id, coalesce(source, '') as host, coalesce(text, '') as t,
            regexp_extract_all(coalesce(text, ''), '{_SPACED}') as ws from documents),
   spots as (
-    select doc_id, unnest(range(1, len(ws) - 1)) as i, ws from words where len(ws) >= 3),
-  windows as (select doc_id, i, array_to_string(ws[i : i + 2], ' ') as g from spots),
+    select rid, unnest(range(1, len(ws) - 1)) as i, ws from words where len(ws) >= 3),
+  windows as (select rid, i, array_to_string(ws[i : i + 2], ' ') as g from spots),
   again as (
-    select doc_id, i from windows qualify count(*) over (partition by doc_id, g) > 1),
+    select rid, i from windows qualify count(*) over (partition by rid, g) > 1),
   covered as (
-    select doc_id, count(distinct p)::bigint as n_repeat_words
-    from (select doc_id, unnest([i, i + 1, i + 2]) as p from again) group by doc_id),
+    select rid, count(distinct p)::bigint as n_repeat_words
+    from (select rid, unnest([i, i + 1, i + 2]) as p from again) group by rid),
   lines as (
-    select doc_id, host, line, lower(trim(line, ' ')) as plain
-    from (select doc_id, host, unnest(string_split(t, chr(10))) as line from words)
+    select rid, document, t, host, line, lower(trim(line, ' ')) as plain
+    from (select rid, coalesce(doc_id::varchar, 'row ' || rid) as document, t, host, unnest(string_split(t, chr(10))) as line from words)
     where regexp_matches(line, '{_SPACED}')),
   often as (
-    select host, plain from (select host, plain, count(distinct doc_id) as n from lines group by 1, 2)
-    join (select coalesce(source, '') as host, count(*) as docs from documents group by 1) using (host)
-    where n > 20 and n > 0.1 * docs),
+    select host, plain from (select host, plain, count(distinct document) as n, count(distinct t) as texts
+                             from lines group by 1, 2)
+    join (select host, count(distinct coalesce(doc_id::varchar, 'row ' || rid)) as docs
+          from words group by 1) using (host)
+    where n > 20 and n > 0.1 * docs or texts > 100),
   totals as (
-    select doc_id, (count(*) - count(distinct line))::bigint as n_dup_lines,
+    select rid, (count(*) - count(distinct line))::bigint as n_dup_lines,
            sum(length(line))::bigint as line_chars,
            coalesce(sum(length(line)) filter (often.plain is not null), 0)::bigint as lost_chars
-    from lines left join often using (host, plain) group by doc_id),
+    from lines left join often using (host, plain) group by rid),
   stats as (
     select doc_id, len(ws)::bigint as n_words, length(array_to_string(ws, ''))::bigint as word_chars,
            length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols,
            coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
            coalesce(line_chars, 0) as line_chars, coalesce(lost_chars, 0) as lost_chars
-    from words left join covered using (doc_id) left join totals using (doc_id)),
+    from words left join covered using (rid) left join totals using (rid)),
   judged as (
     select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from stats)
   select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

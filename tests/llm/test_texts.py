@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stockloom.llm import line_frequency, pii, quality_qda, secret_scan, sentencepiece_bpe, toxicity
 from stockloom.llm.arrays import running
+from stockloom.llm.oracles import ORACLES
 from tests.llm.fixtures import awkward, clashing, documents, prose
 
 PII = {
@@ -189,6 +191,32 @@ def test_lines_in_many_texts_of_a_large_source_go(spark):
     assert not any(r.lost_chars for r in line_frequency.quality_verdicts(docs).collect())
 
 
+def test_line_counts_equal_sql_on_repeated_rows(spark, tmp_path):
+    """Documents count by id: one repeated many times makes no line frequent."""
+    shared, wide = "this line stands in some documents", "this one in many texts"
+    rows = [(i, f"{prose(i)}\n{shared}\n", "en", "a", 0) for i in range(15)]
+    rows += [rows[3]] * 10 + [rows[4]] * 9
+    rows += [(100 + i, f"{prose(100 + i)}\n{wide}\n", "en", "b", 0) for i in range(101)]
+    rows += [(300 + i, prose(300 + i), "en", "b", 0) for i in range(1100)]
+    # One id with many texts, and rows without an id.
+    rows += [(2000, f"{prose(2000 + i)}\nof one id\n", "en", "c", 0) for i in range(105)]
+    rows += [(None, f"{prose(2500)}\nno id at all\n", "en", "d", 0)] * 25
+    docs = documents(spark, rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/part-*')")
+    wanted = con.execute(ORACLES["op5_quality_rules"])
+    names = [d[0] for d in wanted.description]
+    found = line_frequency.quality_verdicts(docs.repartition(7)).select(names).collect()
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    assert order(found) == order(wanted.fetchall())
+    lost = {}
+    for row in found:
+        lost.setdefault(row.doc_id, set()).add(row.lost_chars > 0)
+    assert lost[3] == {False} and lost[100] == {True} and lost[300] == {False}
+    assert lost[2000] == {True} and lost[None] == {True}
+
+
 def test_quality_rules_of_awkward_rows(spark):
     docs = clashing(documents(spark))
     assert line_frequency.quality_verdicts(docs).count() == len(awkward())
