@@ -3,20 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stockloom.llm import decontaminate, line_frequency, partenum, pii, sentencepiece_bpe
 from stockloom.llm.common import staged, table
 
-# Different texts of a source that may hold a line.
-LINE_TEXTS = 100
-
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops rejected documents and the lines that too many documents of a source share.
-
-    Besides the share of op5's SQL, more than LINE_TEXTS texts of a source are too many.
-    """
-    return line_frequency.quality_filtered(docs, line_frequency.Limits(texts=LINE_TEXTS))
+    """Drops rejected documents and the lines that too many documents of a source share."""
+    return line_frequency.quality_filtered(docs)
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +30,9 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the token ids of each text and their number."""
-    return sentencepiece_bpe.encoded(docs)
+    """Adds the token ids of each text, their number, and the digest of what they decode to."""
+    read_back = sentencepiece_bpe.decoded(sentencepiece_bpe.encoded(docs))
+    return read_back.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [
