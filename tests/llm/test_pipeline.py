@@ -1,3 +1,5 @@
+import hashlib
+
 import public_tokenizers
 import sentencepiece
 
@@ -48,6 +50,8 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
         row, clean = found[doc_id], redact(text)
         assert row.text == clean and row.token_ids == library.encode(clean)
         assert row.n_tokens == len(row.token_ids)
+        again = library.decode(row.token_ids).encode()
+        assert row.decoded_sha256 == hashlib.sha256(again).hexdigest()
         assert (row.lang, row.source) == ("en", "a")
     assert "<EMAIL>" in found[40].text and "<CARD>" in found[40].text
 
