@@ -293,11 +293,15 @@ def top_category_forecasts(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(evaluation.top_category_forecasts(results))
 
 
+def _errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Errors as they are, each for one line: with a fitted model, nearly all differ."""
+    results = _rolling_results(_fine_features(spark, folder))
+    return materialize(results.select("error", F.lit(1).cast("bigint").alias("lines")))
+
+
 @query
 def hist_residuals(spark: SparkSession, folder: str) -> DataFrame:
-    results = _rolling_results(_fine_features(spark, folder))
-    counts = materialize(logistics.value_counts(results, "error"))
-    return rounded(profile.histogram(counts, "error", 50))
+    return rounded(profile.histogram(_errors(spark, folder), "error", 50))
 
 
 @query
@@ -501,9 +505,7 @@ def kde_seller_time(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def kde_residuals(spark: SparkSession, folder: str) -> DataFrame:
-    results = _rolling_results(_fine_features(spark, folder))
-    counts = materialize(logistics.value_counts(results, "error"))
-    return rounded(profile.kernel_density(counts, "error"), 9)
+    return rounded(profile.binned_kernel_density(_errors(spark, folder), "error"), 9)
 
 
 @query

@@ -101,14 +101,15 @@ def evaluate(spark: SparkSession, out: str) -> list[str]:
     """The tables behind the three evaluation charts, and errors per category."""
     results = spark.read.parquet(f"{out}/results")
 
+    @cache
     def errors() -> DataFrame:
-        return materialize(logistics.value_counts(results, "error"))
+        return materialize(results.select("error", F.lit(1).cast("bigint").alias("lines")))
 
     reports = {
         "global_forecast": lambda: evaluation.global_forecast_by_week(results),
         "top_category_forecasts": lambda: evaluation.top_category_forecasts(results),
         "error_histogram": lambda: profile.histogram(errors(), "error", 50),
-        "error_density": lambda: profile.kernel_density(errors(), "error"),
+        "error_density": lambda: profile.binned_kernel_density(errors(), "error"),
         "errors_by_category": lambda: evaluation.forecast_metrics(results, by=("category",)),
     }
     return write_reports(spark, reports, f"{out}/evaluation", out)

@@ -58,6 +58,23 @@ def test_density_matches_the_direct_sum(spark):
     assert [r.density for r in rows] == pytest.approx(list(expected))
 
 
+def test_binned_density_is_within_its_bound_of_the_direct_sum(spark):
+    values = np.random.default_rng(6).gamma(2.0, 3.0, 3000)
+    rows = [(float(v),) for v in values] + [(None,), (float("nan"),)]
+    found = profile.binned_kernel_density(spark.createDataFrame(rows, "x double"), "x").collect()
+    width = values.std(ddof=1) * len(values) ** -0.2
+    grid = np.linspace(values.min(), values.max(), 200)
+    z = (grid[:, None] - values[None, :]) / width
+    direct = np.exp(-0.5 * z**2).sum(axis=1) / (len(values) * width * np.sqrt(2 * np.pi))
+    step = (values.max() - values.min()) / (199 * 32)
+    bound = step**2 / (8 * width**3 * np.sqrt(2 * np.pi))
+    assert [r.x for r in found] == pytest.approx(list(grid))
+    assert np.abs(np.array([r.density for r in found]) - direct).max() <= bound
+    for same in ([], [3.0], [3.0, 3.0]):
+        few = spark.createDataFrame([(v,) for v in same], "x double")
+        assert profile.binned_kernel_density(few, "x").collect() == []
+
+
 def test_boxplot_matches_numpy(spark):
     rng = np.random.default_rng(1)
     rows = [("a", int(v)) for v in rng.integers(-5, 6, 200)] + [("a", 19), ("a", -19)]
