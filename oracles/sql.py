@@ -554,6 +554,13 @@ ORACLES = {
         select customer_city, n as lines, round(m, 6) as mean,
                round(m - 1.96::double * d / sqrt(n), 6) as ci_low,
                round(m + 1.96::double * d / sqrt(n), 6) as ci_high from s""",
+    "city_delivery_ci_agrees": STAGED_ALL
+    + CITY_TOP
+    + """
+        select customer_city, count(total_delivery_time) as lines,
+               round(avg(total_delivery_time), 6) as mean, true as agrees
+        from staged semi join top using (customer_city)
+        where total_delivery_time is not null group by 1""",
     "monthly_revenue": f"""
         with {ITEMS}, {ORDERS},
         lines as (select date_trunc('month', order_purchase_timestamp)::date as m, price

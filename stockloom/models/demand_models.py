@@ -128,12 +128,12 @@ def fit_boosted_trees(
 def fit_boosted_tweedie(
     train: DataFrame,
     rounds: int = 40,
-    step: float = 0.15,
-    depth: int = 5,
+    step: float = 0.25,
+    depth: int = 4,
     power: float = TWEEDIE_POWER,
     validation_weeks: int = 8,
     patience: int = 5,
-    bins: int = 64,
+    bins: int = 32,
 ) -> DemandModel:
     """Boosted trees under the Tweedie loss, which Spark's own boosted trees do not offer.
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -270,6 +268,25 @@ def binned_kernel_density(
     )
 
 
+# Rows of one value that are drawn one by one; more of them are drawn at once.
+SINGLE_DRAWS = 12
+
+
+def _uniform(*keys: Column | str) -> Column:
+    """A number above 0 and below 1 that depends on nothing but ``keys``."""
+    return (F.shiftrightunsigned(F.xxhash64(*keys), 11) + F.lit(0.5)) * F.lit(2.0**-53)
+
+
+def _poisson_one(uniform: Column) -> Column:
+    """A Poisson number of mean 1, by comparing with the distribution's steps."""
+    term, below, found = math.exp(-1.0), 0.0, F.lit(0)
+    for k in range(18):
+        below += term
+        term /= k + 1
+        found = found + (uniform > F.lit(below)).cast("int")
+    return found
+
+
 def bootstrap_mean_interval(
     df: DataFrame,
     value: str,
@@ -279,41 +296,48 @@ def bootstrap_mean_interval(
     seed: int = 0,
     weight: str | None = None,
 ) -> DataFrame:
-    """Percentile bootstrap interval of the mean per group.
-
-    A resample of n rows is a multinomial draw over the distinct values, so the
-    draws need only rows counted per (group, value), not the rows themselves.
-    The value must have few distinct levels (whole days do). Draws are seeded
-    by group and repeat when a task is run again.
+    """Percentile bootstrap interval of the mean per group, by Poisson weights.
+
+    In each replicate a row has a Poisson weight of mean 1, so rows need not meet: tasks
+    add up weights and weighted values per group and replicate. Rows are first counted per
+    (group, value); a value's rows are drawn together, one by one up to ``SINGLE_DRAWS`` of
+    them and from the normal limit of their sum above. Weights come from a hash of group,
+    value and replicate, so a task that runs again draws the same. Any values will do; the
+    work is that of ``replicates`` passes over the different ones.
     """
     counts = value_counts(df, value, by, weight)
-    schema = (
-        f"`{by}` string, lines bigint, mean double, ci_low double, ci_high double"
+    x, lines = F.col(value).cast("double"), F.col("lines")
+    single = lines <= SINGLE_DRAWS
+    units = F.when(single, F.sequence(F.lit(1).cast("bigint"), lines)).otherwise(
+        F.array(F.lit(0).cast("bigint"))
     )
-    tails = [(100.0 - level) / 2.0, 100.0 - (100.0 - level) / 2.0]
-
-    def interval(levels: pd.DataFrame) -> pd.DataFrame:
-        levels = levels.sort_values(value)
-        values = levels[value].to_numpy(dtype=float)
-        weights = levels["lines"].to_numpy(dtype=np.int64)
-        rows = int(weights.sum())
-        draw = np.random.default_rng(int(levels["_seed"].iloc[0]))
-        picks = draw.multinomial(rows, weights / rows, size=replicates)
-        low, high = np.percentile(picks @ values / rows, tails)
-        return pd.DataFrame(
-            {
-                by: [levels[by].iloc[0]],
-                "lines": [rows],
-                "mean": [float(weights @ values / rows)],
-                "ci_low": [low],
-                "ci_high": [high],
-            }
-        )
-
-    seeded = counts.withColumn(
-        "_seed", F.shiftrightunsigned(F.xxhash64(F.col(by), F.lit(seed)), 1)
+    drawn = (
+        counts.withColumn("_unit", F.explode(units))
+        .withColumn("_replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+        .withColumn("_u", _uniform(by, value, "_unit", "_replicate", F.lit(seed)))
+    )
+    other = _uniform(by, value, "_unit", "_replicate", F.lit(seed), F.lit("angle"))
+    normal = F.sqrt(F.log("_u") * -2.0) * F.cos(other * (2.0 * math.pi))
+    many = F.greatest(F.rint(lines + F.sqrt(lines.cast("double")) * normal), F.lit(0.0))
+    weights = F.when(single, _poisson_one(F.col("_u")).cast("double")).otherwise(many)
+    means = (
+        drawn.withColumn("_weight", weights)
+        .groupBy(by, "_replicate")
+        .agg(F.try_divide(F.sum(F.col("_weight") * x), F.sum("_weight")).alias("_mean"))
+    )
+    tail = (100.0 - level) / 200.0
+    # A group has as many means as there are replicates.
+    ends = means.groupBy(by).agg(
+        F.percentile("_mean", F.array(F.lit(tail), F.lit(1.0 - tail))).alias("_ends")
+    )
+    known = counts.groupBy(by).agg(
+        F.sum("lines").alias("lines"), (F.sum(lines * x) / F.sum("lines")).alias("mean")
+    )
+    return (
+        known.join(ends, by)
+        .select(by, "lines", "mean", F.col("_ends")[0].alias("ci_low"), F.col("_ends")[1].alias("ci_high"))
+        .orderBy(F.desc("mean"), by)
     )
-    return seeded.groupBy(by).applyInPandas(interval, schema).orderBy(F.desc("mean"), by)
 
 
 def normal_mean_interval(

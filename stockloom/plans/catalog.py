@@ -411,17 +411,43 @@ def delivery_composition(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(logistics.delivery_composition(valid, WEIGHT))
 
 
+def _largest_cities(spark: SparkSession, folder: str) -> DataFrame:
+    staged = _orders(spark, folder, "customers")
+    return profile.rows_of_top(staged, logistics.top_cities(staged, weight=WEIGHT), "customer_city")
+
+
 @query
 def city_delivery_ci(spark: SparkSession, folder: str) -> DataFrame:
     """Bootstrap interval of the mean delivery days of the twenty largest cities."""
-    staged = _orders(spark, folder, "customers")
     return profile.bootstrap_mean_interval(
-        profile.rows_of_top(
-            staged, logistics.top_cities(staged, weight=WEIGHT), "customer_city"
-        ),
-        "total_delivery_time",
-        "customer_city",
-        weight=WEIGHT,
+        _largest_cities(spark, folder), "total_delivery_time", "customer_city", weight=WEIGHT
+    )
+
+
+@query
+def city_delivery_ci_agrees(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether both ends of the bootstrap interval are near the normal one's.
+
+    Near is a tenth of the normal interval's width at most.
+    """
+    rows = materialize(_largest_cities(spark, folder))
+    sides = {
+        "drawn": profile.bootstrap_mean_interval,
+        "normal": profile.normal_mean_interval,
+    }
+    drawn, normal = (
+        f(rows, "total_delivery_time", "customer_city", weight=WEIGHT).alias(name)
+        for name, f in sides.items()
+    )
+    near = "abs(drawn.{0} - normal.{0}) <= 0.1 * (normal.ci_high - normal.ci_low)"
+    joined = drawn.join(normal, "customer_city")
+    return rounded(
+        joined.selectExpr(
+            "customer_city",
+            "drawn.lines as lines",
+            "drawn.mean as mean",
+            f"{near.format('ci_low')} and {near.format('ci_high')} as agrees",
+        )
     )
 
 

@@ -126,6 +126,26 @@ def test_bootstrap_interval_is_close_to_the_normal_one_and_repeats(spark):
         assert x.ci_high == pytest.approx(y.ci_high, abs=0.12)
 
 
+def test_bootstrap_of_continuous_values_and_heavy_ones(spark):
+    rng = np.random.default_rng(9)
+    values = rng.gamma(3.0, 2.0, 400)
+    rows = [("a", float(v), 1) for v in values] + [("b", 2.0, 5000), ("b", 4.0, 7), (None, 1.0, 1), ("a", None, 3)]
+    df = spark.createDataFrame(rows, "city string, days double, w int")
+    found = {r.city: r for r in profile.bootstrap_mean_interval(df, "days", "city", weight="w").collect()}
+    half = 1.96 * values.std(ddof=1) / np.sqrt(len(values))
+    assert found["a"].ci_low == pytest.approx(values.mean() - half, abs=0.2 * half)
+    assert found["a"].ci_high == pytest.approx(values.mean() + half, abs=0.2 * half)
+    assert found["b"].lines == 5007 and 2.0 <= found["b"].ci_low <= found["b"].ci_high < 2.01
+    assert set(found) == {"a", "b"}
+
+
+def test_poisson_numbers_have_mean_and_variance_one(spark):
+    draws = spark.range(40_000).select(profile._poisson_one(profile._uniform("id")).alias("k"))
+    row = draws.agg(F.avg("k").alias("m"), F.var_samp("k").alias("v"), F.avg((F.col("k") == 0).cast("int")).alias("z")).first()
+    assert row.m == pytest.approx(1.0, abs=0.02) and row.v == pytest.approx(1.0, abs=0.04)
+    assert row.z == pytest.approx(np.exp(-1.0), abs=0.01)
+
+
 def test_histogram_counts_sum_to_weights(spark):
     df = spark.range(500).select((F.col("id") % 37).alias("x"), F.lit(3).alias("w"))
     counts = value_counts(df, "x", weight="w")
