@@ -623,6 +623,16 @@ ORACLES = {
                round(count(*) filter (where score <= 2) * 100.0::double / count(*), 6)
                  as dissatisfied_pct
         from r where review_source is not null group by 1""",
+    "dissatisfaction_by_category": "with "
+    + ",".join((ITEMS, ORDERS, products(False), TRANSLATION, CATEGORIZED))
+    + """,
+        scores as (
+          select doc_id as order_id, avg(quality * 2 + (1 - toxic) * 2 + 1) as score from labels group by 1)
+        select coalesce(product_category, 'unknown') as product_category, count(*) as reviews,
+               count(*) filter (where score <= 2) as low_reviews,
+               round(count(*) filter (where score <= 2) * 100.0::double / count(*), 6) as dissatisfied_pct
+        from items join ords using (order_id) left join categorized using (product_id)
+        join scores using (order_id) where score is not null group by 1""",
     "stream_weekly_demand": f"""
         with s as (
           select event_type as product_category,

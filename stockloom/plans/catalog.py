@@ -566,6 +566,14 @@ def dissatisfaction_rate(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(vendors.dissatisfaction_rate(scored, "review_source"))
 
 
+@query
+def dissatisfaction_by_category(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of low scores among the reviewed order lines of each product category."""
+    lines = _lines(spark, folder, "products").select("order_id", CATEGORY)
+    reviewed = vendors.reviewed_lines(lines, bind.reviews(spark, folder))
+    return rounded(vendors.dissatisfaction_rate(reviewed, CATEGORY))
+
+
 # Fitted models
 
 
