@@ -4,13 +4,13 @@ Segments with digits are variable by their form. Level by level, segments with f
 or whose labels do not differ from their siblings', become one wildcard branch ``*``; those
 that are clearly better than their siblings become another, ``{low}``. Levels go on as long
 as a node with further segments has labels enough for a split; ``**`` stands for the rest.
+Segments that all urls of a node share are taken in one step, however many they are.
 A template's share of bad pages is smoothed towards its parent's, up to the host and all
 hosts; templates above a limit are rejected.
 """
 
 from __future__ import annotations
 
-from itertools import count
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -75,20 +75,67 @@ def _smoothed(bad: str, labels: str, prior: str, weight: float) -> Column:
     return F.expr(f"({bad} + {weight} * {prior}) / ({labels} + {weight})")
 
 
-def _open(depth: int, settings: Settings) -> str:
-    """Whether the labels of a row's node can still split it or change its rate."""
-    return f"({depth} < {settings.depth} or held >= {settings.labels})"
+SEGMENTS = "if(shape = '', 0, size(split(shape, '/')))"
 
 
-def _level(tree: DataFrame, depth: int, settings: Settings) -> DataFrame:
-    """The tree one level deeper: prefixes get their next segment, rates their next node's."""
+def _active(settings: Settings) -> str:
+    """Whether a row goes on: it has segments, and its node's labels can change its rate."""
+    return f"({SEGMENTS} > told and (told < {settings.depth} or held >= {settings.labels}))"
+
+
+def _shared_steps(active: DataFrame, settings: Settings) -> DataFrame:
+    """(host, prefix, steps, path, next_rate, next_held) of nodes with one child.
+
+    All arrays between the least and the largest in order share what these two share. Rates
+    change as they would segment by segment: each is smoothed towards the one before, but
+    from ``depth`` on only if labels were lost.
+    """
+    rest = "slice(split(shape, '/'), told + 1, size(split(shape, '/')) - told)"
+    nodes = (
+        active.withColumn("rest", F.expr(rest))
+        .groupBy("host", "prefix")
+        .agg(
+            F.min("rest").alias("least"),
+            F.max("rest").alias("most"),
+            F.sum("labels").alias("next_held"),
+            F.sum("bad").alias("all_bad"),
+            F.max("told").alias("told"),
+            F.max("rate").alias("above"),
+            F.max("held").alias("above_held"),
+        )
+    )
+    differ = "array_position(zip_with(least, slice(most, 1, size(least)), (x, y) -> x <=> y), false)"
+    # Few labels end the path at ``depth``, as they do where paths branch.
+    most = f"if(next_held >= {settings.labels}, 2147483647, greatest({settings.depth} - told, 1))"
+    shared = f"if({differ} > 0, {differ} - 1, least(size(least), size(most)))"
+    first = f"if(told >= {settings.depth} and next_held = above_held, 0, 1)"
+    times = f"{first} + greatest(least({settings.depth} - told, steps) - 1, 0)"
+    share = "if(next_held > 0, all_bad / next_held, above)"
+    kept = f"pow({settings.weight}D / (next_held + {settings.weight}D), {times})"
+    return (
+        nodes.withColumn("steps", F.expr(f"cast(least({shared}, {most}) as int)"))
+        .filter("steps > 0")
+        .select(
+            "host",
+            "prefix",
+            "steps",
+            F.expr("array_join(slice(least, 1, steps), '/')").alias("path"),
+            F.expr(f"{share} + (above - {share}) * {kept}").alias("next_rate"),
+            "next_held",
+        )
+    )
+
+
+def _deeper(tree: DataFrame, settings: Settings) -> DataFrame:
+    """The tree some levels deeper: prefixes get segments, rates their next node's."""
     sums = [F.sum(c).alias(c) for c in ("n", "labels", "bad")]
-    tree = tree.withColumn("segment", F.expr(f"get(split(shape, '/'), {depth})")).withColumn(
-        "segment", F.expr(f"if(segment = '' or not {_open(depth, settings)}, null, segment)")
+    shared = staged(_shared_steps(tree.filter(_active(settings)), settings), "shared-steps")
+    tree = tree.join(shared, ["host", "prefix"], "left").withColumn(
+        "segment",
+        F.expr(f"if({_active(settings)} and steps is null, get(split(shape, '/'), told), null)"),
     )
     children = tree.filter("segment is not null").groupBy("host", "prefix", "segment").agg(*sums)
     parents = children.groupBy("host", "prefix").agg(
-        F.count("*").alias("siblings"),
         *(F.sum(c).alias(f"all_{c}") for c in ("n", "labels", "bad")),
     )
     rest = "greatest(all_labels - labels, 1)"
@@ -101,27 +148,49 @@ def _level(tree: DataFrame, depth: int, settings: Settings) -> DataFrame:
         "prefix",
         "segment",
         F.expr(
-            f"case when siblings = 1 then segment when {similar} then '*'"
-            f" when {difference} < 0 then '{{low}}' else segment end"
+            f"case when {similar} then '*' when {difference} < 0 then '{{low}}' else segment end"
         ).alias("token"),
     )
-    grown = tree.join(tokens, ["host", "prefix", "segment"], "left").withColumn(
-        "prefix", F.expr("if(token is null, prefix, concat(prefix, '/', token))")
+    # Rows that end at a node, or are closed, keep what they have.
+    goes_on = F.expr(f"{_active(settings)} and steps is not null")
+    grown = tree.join(tokens, ["host", "prefix", "segment"], "left").select(
+        "host",
+        "shape",
+        "n",
+        "labels",
+        "bad",
+        F.when(goes_on, F.concat_ws("/", "prefix", "path"))
+        .when(F.col("token").isNotNull(), F.concat_ws("/", "prefix", "token"))
+        .otherwise(F.col("prefix"))
+        .alias("prefix"),
+        F.when(goes_on, F.col("next_rate")).otherwise(F.col("rate")).alias("rate"),
+        F.when(goes_on, F.col("next_held")).otherwise(F.col("held")).alias("held"),
+        F.when(goes_on, F.col("told") + F.col("steps"))
+        .when(F.col("token").isNotNull(), F.col("told") + 1)
+        .otherwise(F.col("told"))
+        .alias("told"),
+        F.col("token").isNotNull().alias("branched"),
     )
-    same = F.expr(f"{depth} >= {settings.depth} and labels = above_held")
+    same = F.expr(f"told > {settings.depth} and labels = above_held")
     own = _smoothed("bad", "labels", "above", settings.weight)
     nodes = (
-        grown.filter("token is not null")
+        grown.filter("branched")
         .groupBy("host", "prefix")
-        .agg(*sums, F.max("rate").alias("above"), F.max("held").alias("above_held"))
+        .agg(
+            *sums,
+            F.max("rate").alias("above"),
+            F.max("held").alias("above_held"),
+            F.max("told").alias("told"),
+        )
         .select(
             "host",
             "prefix",
+            F.lit(True).alias("branched"),
             F.when(same, F.col("above")).otherwise(own).alias("own"),
             F.col("labels").alias("own_held"),
         )
     )
-    return grown.join(nodes, ["host", "prefix"], "left").select(
+    return grown.join(nodes, ["host", "prefix", "branched"], "left").select(
         "host",
         "shape",
         "n",
@@ -130,7 +199,7 @@ def _level(tree: DataFrame, depth: int, settings: Settings) -> DataFrame:
         "prefix",
         F.coalesce("own", "rate").alias("rate"),
         F.coalesce("own_held", "held").alias("held"),
-        F.when(F.col("token").isNotNull(), depth + 1).otherwise(F.col("told")).alias("told"),
+        "told",
     )
 
 
@@ -157,13 +226,9 @@ def template_tree(urls: DataFrame, settings: Settings = Settings()) -> DataFrame
         )
     )
     tree = shapes.join(hosts, "host").withColumns({"prefix": F.lit(""), "told": F.lit(0)})
-    segments = "if(shape = '', 0, size(split(shape, '/')))"
-    for depth in count():
-        further = f"{segments} > {depth} and {_open(depth, settings)}"
-        if tree.filter(further).isEmpty():
-            break
-        tree = staged(_level(tree, depth, settings), "tree")
-    rest = F.expr(f"if({segments} > told, '/**', '')")
+    while not tree.filter(_active(settings)).isEmpty():
+        tree = staged(_deeper(tree, settings), "tree")
+    rest = F.expr(f"if({SEGMENTS} > told, '/**', '')")
     return tree.select("host", "shape", F.concat("host", "prefix", rest).alias("template"), "rate")
 
 

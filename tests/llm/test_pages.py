@@ -1,7 +1,9 @@
 import io
+import math
 import random
 from urllib.parse import urlparse
 
+import pytest
 from pyspark.sql import functions as F
 
 from stockloom.llm import url_templates, warc
@@ -187,6 +189,87 @@ def test_bad_templates_are_rejected_and_good_ones_left(spark):
     assert url_templates.url_verdicts(pages(spark, []), frame, RULES).count() == 0
 
 
+def brute_tree(shapes, settings):
+    """{(host, shape): (template, rate)} node by node; shapes are (host, parts, labels, bad)."""
+    labels = sum(s[2] for s in shapes)
+    overall = sum(s[3] for s in shapes) / labels if labels else 0.0
+    out = {}
+
+    def smoothed(bad, held, above):
+        return (bad + settings.weight * above) / (held + settings.weight)
+
+    def grow(rows, prefix, depth, rate, held):
+        going = [
+            r for r in rows
+            if len(r[1]) > depth and (depth < settings.depth or held >= settings.labels)
+        ]
+        for row in rows:
+            if row not in going:
+                rest = "/**" if len(row[1]) > depth else ""
+                out[row[0], "/".join(row[1])] = (row[0] + prefix + rest, rate)
+        by_segment = {}
+        for row in going:
+            by_segment.setdefault(row[1][depth], []).append(row)
+        n, b = sum(r[2] for r in going), sum(r[3] for r in going)
+        by_token = {}
+        for segment, own in by_segment.items():
+            k, c = sum(r[2] for r in own), sum(r[3] for r in own)
+            difference = (c + 0.5) / (k + 1) - (b - c + 0.5) / (n - k + 1)
+            pooled = (b + 1) / (n + 2)
+            few = k < settings.labels
+            error = few or math.sqrt(pooled * (1 - pooled) * (1 / k + 1 / max(n - k, 1)))
+            token = segment
+            if len(by_segment) > 1 and (few or abs(difference) < settings.z * error):
+                token = "*"
+            elif len(by_segment) > 1 and difference < 0:
+                token = "{low}"
+            by_token.setdefault(token, []).extend(own)
+        for token, own in by_token.items():
+            k, c = sum(r[2] for r in own), sum(r[3] for r in own)
+            same = depth >= settings.depth and k == held
+            grow(own, f"{prefix}/{token}", depth + 1, rate if same else smoothed(c, k, rate), k)
+
+    for host in {s[0] for s in shapes}:
+        rows = [s for s in shapes if s[0] == host]
+        k, c = sum(r[2] for r in rows), sum(r[3] for r in rows)
+        grow(rows, "", 0, smoothed(c, k, overall), k)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_tree_equals_brute_force(spark, seed):
+    choice = random.Random(seed)
+    shapes = {}
+    for _ in range(300):
+        host = choice.choice(("a.org", "b.org", "b.org"))
+        trunk = choice.choice(([], ["s"] * 6, ["s"] * 3 + ["t"], ["x", "y"]))
+        tail = [choice.choice("pqr") for _ in range(choice.randrange(5))]
+        labels = choice.choice((0, 0, 1, 2, 9))
+        bad = labels if "p" in tail else choice.randrange(labels + 1) // 2
+        if trunk + tail:
+            shapes[host, "/".join(trunk + tail)] = (labels, bad)
+    rows, listed = [], []
+    for (host, path), (labels, bad) in shapes.items():
+        listed.append((host, path.split("/"), labels, bad))
+        rows += [(host, f"/{path}", int(k < bad) if k < labels else None) for k in range(labels + 1)]
+    urls = spark.createDataFrame(rows, "host string, path string, bad int")
+    found = url_templates.template_tree(urls).collect()
+    wanted = brute_tree(listed, url_templates.Settings())
+    assert {(r.host, r.shape): r.template for r in found} == {k: t for k, (t, _) in wanted.items()}
+    for row in found:
+        assert row.rate == pytest.approx(wanted[row.host, row.shape][1], rel=1e-9)
+
+
+def test_long_paths_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    deeper = url_templates._deeper
+    monkeypatch.setattr(url_templates, "_deeper", lambda *a: rounds.append(1) or deeper(*a))
+    long = "/".join(["loop"] * 1000)
+    rows = [("a.org", f"/{long}/{i % 2}x" if i % 4 else f"/{long}/z", int(i % 2)) for i in range(40)]
+    found = url_templates.template_tree(spark.createDataFrame(rows, "host string, path string, bad int"))
+    assert len(rounds) <= 3 and found.count() == 2
+
+
 def test_bad_sections_of_many_equal_ones_and_bad_deep_segments_are_found(spark):
     def name(i):
         return "".join("abcdefghij"[int(c)] for c in str(i))
