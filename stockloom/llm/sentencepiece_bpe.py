@@ -271,9 +271,10 @@ def _model(path: str | None) -> Model:
     return load(path or public_tokenizers.path(MODEL))
 
 
-def _encode(path: str | None, columns: list[str]):
+def _encode(path: str | None, columns: list[str], read_back: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(_model(path))
+        model = _model(path)
+        encoder = Encoder(model)
         for batch in batches:
             for part in slices(batch, "text", 1 << 20):
                 ids = encoder.encode(part.column("text").to_pylist())
@@ -284,24 +285,30 @@ def _encode(path: str | None, columns: list[str]):
                     pa.array(np.diff(bounds).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat.astype(np.int32))),
                 ]
-                yield pa.record_batch(arrays, [*columns, "n_tokens", "token_ids"])
+                names = [*columns, "n_tokens", "token_ids"]
+                if read_back:
+                    texts = (model.decode_bytes(i) for i in ids)
+                    arrays.append(pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()))
+                    names.append("decoded_sha256")
+                yield pa.record_batch(arrays, names)
 
     return run
 
 
-def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
+def encoded(docs: DataFrame, path: str | None = None, read_back: bool = False) -> DataFrame:
     """``docs`` with n_tokens and token_ids, as the sentencepiece library encodes ``text``.
 
     Without begin and end ids, no sampling. A null or empty text has no ids. Columns of
-    ``docs`` with the two names are replaced. ``path`` is the model's file, by default that
+    ``docs`` with the same names are replaced. With ``read_back``, the ids are decoded in
+    the same task and decoded_sha256 is the digest of the text they give. ``path`` is the model's file, by default that
     of the public merge-type model, and must exist on every machine.
     """
-    columns = [c for c in docs.columns if c not in ("n_tokens", "token_ids")]
+    made = "n_tokens bigint, token_ids array<int>" + (", decoded_sha256 string" if read_back else "")
+    new = [part.split()[0] for part in made.split(", ")]
+    columns = [c for c in docs.columns if c not in new]
     kept = docs.select(*columns)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(
-        _encode(path, columns), f"{schema}, n_tokens bigint, token_ids array<int>"
-    )
+    return kept.mapInArrow(_encode(path, columns, read_back), f"{schema}, {made}")
 
 
 def _decode(path: str | None):
