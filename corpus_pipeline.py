@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stockloom.llm import decontaminate, line_frequency, partenum, pii, sentencepiece_bpe
 from stockloom.llm.common import staged, table
@@ -31,8 +30,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds the token ids of each text, their number, and the digest of what they decode to."""
-    read_back = sentencepiece_bpe.decoded(sentencepiece_bpe.encoded(docs))
-    return read_back.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    return sentencepiece_bpe.encoded(docs, read_back=True)
 
 
 STAGES = [
