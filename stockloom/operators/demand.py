@@ -16,10 +16,11 @@ WEEK = "order_purchase_timestamp"
 TARGET = "quantity_sold"
 
 MEASURES = (TARGET, "revenue", "curr_avg_price", "curr_avg_freight", "curr_active_sellers")
+# Weeks that sales are looked back by.
 SALES_LAGS = (1, 2, 3, 4, 8)
 ROLLING_WEEKS = 4
 
-# Columns known only after the week is over: never a feature.
+# Columns known only after the week is over, never a feature.
 CURRENT_WEEK_COLUMNS = (
     "revenue",
     "curr_avg_price",

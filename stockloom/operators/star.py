@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockloom.functions.calendar import TIMESTAMP_LAYOUT, lenient_timestamp
 
+# Column names of the raw tables.
 LIFECYCLE_COLUMNS = (
     "order_purchase_timestamp",
     "order_approved_at",
@@ -16,7 +17,7 @@ LIFECYCLE_COLUMNS = (
     "shipping_limit_date",
 )
 
-# Dropped from the line table once the category is resolved.
+# Columns dropped from the line table once the category is resolved.
 DESCRIPTIVE_COLUMNS = (
     "product_category_name",
     "product_category_name_english",
