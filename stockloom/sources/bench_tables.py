@@ -162,11 +162,17 @@ def events_as_lines(spark: SparkSession, folder: str) -> DataFrame:
 def stream_of(lines: DataFrame, folder: str, triggers: int = 2) -> DataFrame:
     """``lines`` written to a new ``folder`` in order of time and read as a stream.
 
-    Each trigger reads one of about ``triggers`` files.
+    Ranges of time are as many as the session's shuffle partitions, so that no task writes a
+    fixed share of the lines; lines of one time are split by their other columns. Each of
+    about ``triggers`` triggers reads the same number of files, in the order in which they
+    were written, which is nearly that of time.
     """
     spark = lines.sparkSession
-    lines.repartitionByRange(triggers, "order_purchase_timestamp").write.parquet(folder)
-    return spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    time = "order_purchase_timestamp"
+    others = (name for name in lines.columns if name != time)
+    each = -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // triggers)
+    lines.repartitionByRange(each * triggers, time, *others).write.parquet(folder)
+    return spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", each).parquet(folder)
 
 
 BINDINGS = {

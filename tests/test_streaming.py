@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockloom.operators import demand
+from stockloom.sources import bench_tables
 from stockloom.streaming import weekly
 
 SCHEMA = (
@@ -132,3 +133,28 @@ def test_prices_known_only_long_before_are_found(spark, paths):
     found = weekly.current_features(spark, paths["features"])
     after = found.where("product_category = 'a' and order_purchase_timestamp > '2018-06-20'")
     assert after.where("price_lag_1 > 0").count() > 0
+
+
+def test_a_trigger_reads_many_files_of_which_each_is_a_small_share(spark, paths):
+    """Half of all lines are of one time; a third have none, or no other value."""
+    at = datetime(2018, 1, 2)
+    rows = [
+        (f"o{i}", "a", at if i % 2 else at + timedelta(hours=i), 1.0, None, f"s{i % 7}")
+        for i in range(4000)
+    ] + [(f"n{i}", None, None, None, None, None) for i in range(100)]
+    lines = spark.createDataFrame(rows, SCHEMA)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stream = bench_tables.stream_of(lines, paths["in"])
+    written = spark.read.parquet(paths["in"]).groupBy(F.input_file_name()).count().collect()
+    assert len(written) == partitions > 2
+    assert max(row["count"] for row in written) < 2 * len(rows) / partitions
+    read = []
+    run = (
+        stream.writeStream.foreachBatch(lambda df, _: read.append(sorted(df.collect(), key=str)))
+        .option("checkpointLocation", paths["progress"])
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    assert len(read) == 2
+    assert sorted(sum(read, []), key=str) == sorted(lines.collect(), key=str)
