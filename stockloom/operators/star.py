@@ -76,16 +76,18 @@ def line_table(
     caller needs: their keys are unique, so leaving one out changes no other
     column and saves its join.
 
-    Customers are joined to orders and names to products first, so the
-    line-grain rows move at most for the order, product and seller keys. No join
-    carries a broadcast hint: Spark broadcasts a side whose size is known to be
+    Customers are joined to orders, names to products, and products and sellers to the
+    lines before these meet their orders: what moves for the product and seller keys is a
+    line's own few columns, and the many columns of its order move once, at order grain.
+    No join carries a broadcast hint: Spark broadcasts a side whose size is known to be
     small, and otherwise sorts and merges, where adaptive execution splits the
     partitions of a hot key.
     """
     orders = parse_timestamps(tables["orders"])
     if "customers" in include:
         orders = orders.join(tables["customers"], "customer_id", "left")
-    lines = parse_timestamps(tables["order_items"]).join(orders, "order_id", "inner")
+    lines = parse_timestamps(tables["order_items"])
+    own = len(lines.columns)
     if "products" in include:
         products = categorized_products(tables["products"], tables["category_translation"])
         # A line whose product is missing altogether has no category either.
@@ -94,4 +96,21 @@ def line_table(
         )
     if "sellers" in include:
         lines = lines.join(tables["sellers"], "seller_id", "left")
-    return lines
+    keys = len({"products", "sellers"} & set(include))
+    return _columns_moved(lines.join(orders, "order_id", "inner"), keys, own, len(lines.columns))
+
+
+def _columns_moved(joined: DataFrame, keys: int, own: int, wide: int) -> DataFrame:
+    """The first column after the ``keys`` next ones, and columns ``own`` to ``wide`` at the end.
+
+    Goes by position, as raw tables may share further names.
+    """
+    if not keys:
+        return joined
+    places = [*range(1, keys + 1), 0, *range(keys + 1, own)]
+    places += [*range(wide, len(joined.columns)), *range(own, wide)]
+    numbered = joined.toDF(*(f"_{place}" for place in range(len(joined.columns))))
+    names = joined.columns
+    return numbered.select(*(f"_{place}" for place in places)).toDF(
+        *(names[place] for place in places)
+    )

@@ -68,6 +68,53 @@ def test_hot_key_is_split_in_the_star_join(spark, conf, hot):
     assert lines.count() == rows
 
 
+def test_columns_of_orders_move_for_no_line_key(spark, conf):
+    """Lines meet products and sellers before their orders; the columns keep their places."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tables = {
+        "order_items": spark.createDataFrame(
+            [(1, 5, 8, 2.0), (1, 6, None, 3.0), (2, None, 8, 4.0), (None, 5, 8, 5.0), (9, 5, 8, 6.0)],
+            "order_id int, product_id int, seller_id int, price double",
+        ),
+        "orders": spark.createDataFrame(
+            [(1, 3, "x"), (2, None, "y"), (2, 4, "z"), (None, 3, "w")],
+            "order_id int, customer_id int, extra string",
+        ),
+        "products": spark.createDataFrame(
+            [(5, "n", "p"), (5, None, "q")],
+            "product_id int, product_category_name string, extra string",
+        ),
+        "category_translation": spark.createDataFrame(
+            [("n", "e")], "product_category_name string, product_category_name_english string"
+        ),
+        "customers": spark.createDataFrame([(3, "c")], "customer_id int, customer_city string"),
+        "sellers": spark.createDataFrame([(8, "s")], "seller_id int, seller_name string"),
+    }
+    lines = star.line_table(tables)
+    assert lines.columns == [
+        "seller_id", "product_id", "order_id", "price", "customer_id", "extra", "customer_city",
+        "extra", "product_category", "seller_name",
+    ]
+    text = lines._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    moved = [x for x in text.split("\n\n") if "Exchange\n" in x and "price" in x]
+    assert len(moved) == 3
+    assert not any("customer" in x for x in moved)
+    assert sorted(map(tuple, lines.collect()), key=str) == sorted(
+        [
+            (8, 5, 1, 2.0, 3, "x", "c", "p", "e", "s"),
+            (8, 5, 1, 2.0, 3, "x", "c", "q", "unknown", "s"),
+            (None, 6, 1, 3.0, 3, "x", "c", None, "unknown", None),
+            (8, None, 2, 4.0, None, "y", None, None, "unknown", "s"),
+            (8, None, 2, 4.0, 4, "z", None, None, "unknown", "s"),
+        ],
+        key=str,
+    )
+    assert star.line_table(tables, ("products",)).columns[:3] == ["product_id", "order_id", "seller_id"]
+    assert star.line_table(tables, ()).columns[:3] == ["order_id", "product_id", "seller_id"]
+
+
 def test_large_sides_are_not_broadcast(spark, conf):
     conf("spark.sql.autoBroadcastJoinThreshold", "1KB")
     plan = final_plan(QUERIES["master_table"](spark, SMALL))
