@@ -3,6 +3,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
 from stockloom.models import boosting, demand_models, importance, levels, seasonal, topics, validation
@@ -212,6 +213,33 @@ def test_topics_separate_two_vocabularies(spark):
     assert found == {frozenset(part.split()) for part in parts}
 
 
+def test_topics_count_words_without_caching_them(spark, monkeypatch):
+    """Cached arrays of words are many times a text's size; a number of texts needs none."""
+    fitted = []
+    monkeypatch.setattr(
+        topics, "CountVectorizer", lambda **given: fitted.append(given) or CountVectorizer(**given)
+    )
+    texts = [("assembly screws missing",)] * 9 + [("assembly fabric",)] + [(None,)] * 10
+    df = spark.createDataFrame(texts, "review_comment_message string")
+    for share, least in ((0.2, 2.0), (0.0005, 1.0), (3, 3)):
+        rows = topics.topic_terms(df, topics=2, terms=4, iterations=2, min_documents=share).collect()
+        assert fitted[-1]["minDF"] == least
+        assert ("fabric" in {row.term for row in rows}) == (least == 1.0)
+
+
+@pytest.mark.parametrize(("limit", "parts"), [(40_000_000, 1), (100, 16)])
+def test_texts_of_one_part_are_dealt_to_tasks_by_their_length(spark, monkeypatch, limit, parts):
+    monkeypatch.setattr(topics, "CHARACTERS_PER_TASK", limit)
+    seen = []
+    monkeypatch.setattr(
+        topics, "materialize", lambda df: seen.append(df.rdd.getNumPartitions()) or materialize(df)
+    )
+    texts = [("assembly screws to be missing in instructions"[:40],)] * 40
+    df = spark.createDataFrame(texts, "review_comment_message string").coalesce(1)
+    assert topics.topic_terms(df, topics=2, terms=3, iterations=2).count() == 6
+    assert seen == [parts]
+
+
 @pytest.mark.parametrize(
     ("name", "fit"),
     [
