@@ -1,16 +1,20 @@
 """Weekly demand from a stream of order lines, and features that follow it.
 
-The stream's state has one aggregate per open week, category and seller: a category with
-a third of all lines is spread over its sellers, and the sellers of a week are counted
-exactly, as the number of its aggregates. Each trigger stores what it changed under the
-week and its own batch number, so a repeated trigger overwrites its own files and nothing
-is counted twice. A trigger reads and writes only the weeks that it changed, and for the
-features also the eight weeks before them.
+Spark keeps no state for the stream; what later triggers need lies in tables by trigger. Of
+each open week these hold sums per category and the different sellers per category, so a
+category with a third of all lines is spread over its sellers, no week has to fit into
+memory, and sellers are counted exactly. Each trigger stores what it changed under its own
+batch number, so a repeated trigger overwrites its own files and nothing is counted twice.
+A trigger reads and writes only the weeks that it changed, and for the features also the
+eight weeks before them.
 
 Folders below the weekly path, all of them written by trigger:
 
-- ``sellers``: aggregates per category, week and seller, by week and batch
-- ``weeks``: rows per category and week, by week and batch
+- ``changes``: sums of the trigger's own lines per category and week, by batch
+- ``clock``: time of the trigger's newest line, by batch
+- ``sellers``: sellers per category and week among the trigger's own lines, by batch, in
+  order of weeks
+- ``weeks``: rows per category and week over all triggers so far, by week and batch
 - ``calendar``: weeks seen, by batch
 - ``first_sales``: first sale of each category in that batch, by batch
 """
@@ -19,7 +23,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,58 +37,77 @@ WEEK_DAY = "week"
 COMPLETE = "is_complete"
 
 
-def seller_aggregate(lines: DataFrame, late_by: str = "7 days") -> DataFrame:
-    """Tuesday-to-Monday sums per category and seller; lines later than ``late_by`` drop out.
-
-    Windows of seven days start on Thursdays by default, five days on is a Tuesday. Lines
-    without a seller are one group.
-    """
-    # Watermarks need instants. The clock time is taken as UTC, whatever the session says.
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    instant = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col(WEEK)))
-    end_day = F.floor(F.unix_micros("_bin.end") / calendar.MICROS_PER_DAY).cast("int")
+def _sold(lines: DataFrame) -> DataFrame:
+    """Lines with a category and a time, and the Monday that ends their week."""
     sold = lines.where(F.col(CATEGORY).isNotNull() & F.col(WEEK).isNotNull())
-    return (
-        sold.withColumns(
-            {
-                "_instant": instant,
-                "_price": numeric.money(F.col("price")),
-                "_freight": numeric.money(F.col("freight_value")),
-            }
-        )
-        .withWatermark("_instant", late_by)
-        .groupBy(F.window("_instant", "7 days", "7 days", "5 days").alias("_bin"), CATEGORY, "seller_id")
-        .agg(
-            F.count("order_id").alias(TARGET),
-            F.sum("_price").alias("price"),
-            F.count("_price").alias("prices"),
-            F.sum("_freight").alias("freight"),
-            F.count("_freight").alias("freights"),
-            F.min(WEEK).alias("first_sold_at"),
-        )
-        .withColumn(WEEK_DAY, F.date_from_unix_date(end_day - 1))
-        .drop("_bin")
+    return sold.withColumn(WEEK_DAY, calendar.week_ending_monday(F.col(WEEK)).cast("date"))
+
+
+def week_sums(sold: DataFrame) -> DataFrame:
+    """Tuesday-to-Monday sums per category, with the times of the first and the last line."""
+    money = sold.withColumns(
+        {
+            "_price": numeric.money(F.col("price")),
+            "_freight": numeric.money(F.col("freight_value")),
+        }
+    )
+    return money.groupBy(CATEGORY, WEEK_DAY).agg(
+        F.count("order_id").alias(TARGET),
+        F.sum("_price").alias("price"),
+        F.count("_price").alias("prices"),
+        F.sum("_freight").alias("freight"),
+        F.count("_freight").alias("freights"),
+        F.min(WEEK).alias("first_sold_at"),
+        F.max(WEEK).alias("last_sold_at"),
     )
 
 
-def _weekly_rows(sellers: DataFrame) -> DataFrame:
-    """Rows per category and week of the aggregates of its sellers."""
-    price, freight = (F.sum(name).cast("double") for name in ("price", "freight"))
-    return sellers.groupBy(CATEGORY, WEEK_DAY).agg(
-        F.sum(TARGET).alias(TARGET),
-        F.coalesce(price, F.lit(0.0)).alias("revenue"),
-        F.try_divide(price, F.sum("prices")).alias("curr_avg_price"),
-        F.try_divide(freight, F.sum("freights")).alias("curr_avg_freight"),
-        F.count("seller_id").alias("curr_active_sellers"),
+def week_sellers(sold: DataFrame) -> DataFrame:
+    """The different sellers per category and week. Lines without a seller add none."""
+    named = sold.where(F.col("seller_id").isNotNull())
+    return named.select(CATEGORY, WEEK_DAY, "seller_id").distinct()
+
+
+def _in_time(spark: SparkSession, path: str, batch: int, run: int, late_by: str) -> Column:
+    """Whether a week is still open: it ended less than ``late_by`` before the newest line.
+
+    The newest line is that of the triggers before the last one, and of all runs before the one
+    that began with batch ``run``, as with a watermark of Spark.
+    """
+    clock = spark.read.parquet(f"{path}/clock")
+    known = clock.where((F.col(BATCH) < run) | (F.col(BATCH) < batch - 1))
+    limit = F.max("last_sold_at") - F.expr(f"interval '{late_by}'")
+    day = known.agg(F.unix_date(limit.cast("date"))).first()[0]
+    return F.lit(True) if day is None else F.unix_date(WEEK_DAY) >= day
+
+
+def _weekly_rows(sums: DataFrame, sellers: DataFrame) -> DataFrame:
+    """Rows per category and week of sums over some triggers, and of the number of sellers."""
+    price, freight = (F.col(name).cast("double") for name in ("price", "freight"))
+    added = sums.groupBy(CATEGORY, WEEK_DAY).agg(
+        *(F.sum(name).alias(name) for name in (TARGET, "price", "prices", "freight", "freights")),
         F.min("first_sold_at").alias("first_sold_at"),
     )
+    return added.join(sellers, [CATEGORY, WEEK_DAY], "left").withColumns(
+        {
+            "revenue": F.coalesce(price, F.lit(0.0)),
+            "curr_avg_price": F.try_divide(price, F.col("prices")),
+            "curr_avg_freight": F.try_divide(freight, F.col("freights")),
+            "curr_active_sellers": F.coalesce("curr_active_sellers", F.lit(0).cast("bigint")),
+        }
+    )
 
 
 def _store(df: DataFrame, path: str, batch: int) -> None:
-    """Write rows below their week and batch; what this batch wrote before is replaced."""
+    """Write rows below their week and batch; what this batch wrote before is replaced.
+
+    The number of tasks is given, or a single one would open the files of all weeks in turn
+    wherever the rows are few.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
         df.withColumn(BATCH, F.lit(batch))
-        .repartition(WEEK_DAY)
+        .repartition(tasks, WEEK_DAY)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(WEEK_DAY, BATCH)
@@ -109,24 +132,57 @@ def _labelled(df: DataFrame) -> DataFrame:
     return df.withColumn(WEEK, F.col(WEEK_DAY).cast("timestamp_ntz")).drop(WEEK_DAY)
 
 
-def update_weekly(changed: DataFrame, path: str, batch: int) -> list[date]:
-    """Store a trigger's changed aggregates and the weekly rows that follow from them.
-
-    Returns the weeks it changed.
+def _seller_counts(
+    spark: SparkSession, path: str, batch: int, touched: DataFrame, again: list[date], before: list[int]
+) -> DataFrame:
+    """Sellers per category and week that a trigger touched; weeks ``again`` had some ``before``."""
+    found = spark.read.parquet(f"{path}/sellers/{BATCH}={batch}")
+    if again:
+        folders = (f"{path}/sellers/{BATCH}={number}" for number in before)
+        had = F.col(WEEK_DAY).isin(again)
+        earlier = spark.read.parquet(*folders).where(had)
+        earlier = earlier.join(touched, [CATEGORY, WEEK_DAY], "left_semi")
+        both = found.where(had).unionByName(earlier).distinct()
+        found = found.where(~had).unionByName(both)
+    return found.groupBy(CATEGORY, WEEK_DAY).agg(F.count("seller_id").alias("curr_active_sellers"))
+
+
+def update_weekly(
+    lines: DataFrame, path: str, batch: int, run: int | None = None, late_by: str = "7 days"
+) -> list[date]:
+    """Store the sums and sellers of a trigger's lines and the weekly rows that follow from them.
+
+    ``run`` is the first batch of the run, this one by default. Lines later than ``late_by``
+    drop out. Returns the weeks it changed.
     """
-    spark = changed.sparkSession
-    changed.write.mode("overwrite").parquet(f"{path}/changes/{BATCH}={batch}")
+    spark = lines.sparkSession
+    sold = _sold(lines)
+    week_sums(sold).write.mode("overwrite").parquet(f"{path}/changes/{BATCH}={batch}")
     own = spark.read.parquet(f"{path}/changes/{BATCH}={batch}")
+    newest = own.agg(F.max("last_sold_at").alias("last_sold_at"))
+    newest.coalesce(1).write.mode("overwrite").parquet(f"{path}/clock/{BATCH}={batch}")
+    in_time = _in_time(spark, path, batch, batch if run is None else run, late_by)
+    own = own.where(in_time)
     weeks = sorted(row[0] for row in own.select(WEEK_DAY).distinct().collect())
     if not weeks:
         return []
-    _store(own, f"{path}/sellers", batch)
-    sellers = _latest(_of_weeks(spark, f"{path}/sellers", weeks), (CATEGORY, WEEK_DAY, "seller_id"))
-    touched = own.select(CATEGORY, WEEK_DAY).distinct()
-    rows = _weekly_rows(sellers.join(touched, [CATEGORY, WEEK_DAY], "left_semi"))
-    _store(rows, f"{path}/weeks", batch)
     seen = own.select(WEEK_DAY).distinct().coalesce(1)
     seen.write.mode("overwrite").parquet(f"{path}/calendar/{BATCH}={batch}")
+    stored = spark.read.parquet(f"{path}/calendar").where(F.col(BATCH) < batch)
+    earlier = stored.join(seen, WEEK_DAY, "left_semi").select(WEEK_DAY, BATCH).collect()
+    again = sorted({row[WEEK_DAY] for row in earlier})
+    before = sorted({row[BATCH] for row in earlier})
+
+    sellers = week_sellers(sold.where(in_time)).sortWithinPartitions(WEEK_DAY)
+    sellers.write.mode("overwrite").parquet(f"{path}/sellers/{BATCH}={batch}")
+    touched = own.select(CATEGORY, WEEK_DAY)
+    counts = _seller_counts(spark, path, batch, touched, again, before)
+    sums = own.drop("last_sold_at")
+    if again:
+        past = _of_weeks(spark, f"{path}/weeks", again).where(F.col(BATCH) < batch)
+        past = _latest(past, (CATEGORY, WEEK_DAY)).join(touched, [CATEGORY, WEEK_DAY], "left_semi")
+        sums = sums.unionByName(past.select(*sums.columns))
+    _store(_weekly_rows(sums, counts), f"{path}/weeks", batch)
     first = own.groupBy(CATEGORY).agg(F.min("first_sold_at").alias("first_sold_at"))
     first.write.mode("overwrite").parquet(f"{path}/first_sales/{BATCH}={batch}")
     return weeks
@@ -143,18 +199,20 @@ def start_weekly_stream(
 
     With ``features_path`` each trigger also writes the features that it
     changed. Run it on a schedule, or use the same functions with
-    another trigger for a query that stays up.
+    another trigger for a query that stays up. A trigger reads its lines twice, for the sums and
+    for the sellers, and Spark's count of its input rows is twice theirs.
     """
 
-    def write(changed: DataFrame, batch: int) -> None:
-        weeks = update_weekly(changed, weekly_path, batch)
+    batches: list[int] = []
+
+    def write(arrived: DataFrame, batch: int) -> None:
+        batches.append(batch)
+        weeks = update_weekly(arrived, weekly_path, batch, batches[0], late_by)
         if features_path is not None and weeks:
-            refresh_features(changed.sparkSession, weekly_path, features_path, batch, weeks)
+            refresh_features(arrived.sparkSession, weekly_path, features_path, batch, weeks)
 
     return (
-        seller_aggregate(lines, late_by)
-        .writeStream.outputMode("update")
-        .foreachBatch(write)
+        lines.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
@@ -178,8 +236,11 @@ def compact_weekly(spark: SparkSession, weekly_path: str, new_path: str) -> None
     weeks = spark.read.parquet(f"{weekly_path}/weeks")
     newest = weeks.agg(F.max(BATCH)).first()[0]
     _store(_latest(weeks, (CATEGORY, WEEK_DAY)), f"{new_path}/weeks", newest)
-    sellers = spark.read.parquet(f"{weekly_path}/sellers")
-    _store(_latest(sellers, (CATEGORY, WEEK_DAY, "seller_id")), f"{new_path}/sellers", newest)
+    sellers = spark.read.parquet(f"{weekly_path}/sellers").drop(BATCH).distinct()
+    sellers = sellers.sortWithinPartitions(WEEK_DAY)
+    sellers.write.mode("overwrite").parquet(f"{new_path}/sellers/{BATCH}={newest}")
+    clock = spark.read.parquet(f"{weekly_path}/clock").agg(F.max("last_sold_at").alias("last_sold_at"))
+    clock.write.mode("overwrite").parquet(f"{new_path}/clock/{BATCH}={newest}")
     seen = spark.read.parquet(f"{weekly_path}/calendar").select(WEEK_DAY).distinct().coalesce(1)
     seen.write.mode("overwrite").parquet(f"{new_path}/calendar/{BATCH}={newest}")
     first = _first_sales(spark, weekly_path, newest)

@@ -158,3 +158,49 @@ def test_a_trigger_reads_many_files_of_which_each_is_a_small_share(spark, paths)
     run.awaitTermination()
     assert len(read) == 2
     assert sorted(sum(read, []), key=str) == sorted(lines.collect(), key=str)
+
+
+def test_no_line_is_kept_as_state_and_a_trigger_repeated_counts_once(spark, paths):
+    """Every line has a seller of its own; the triggers share a week, one has no sellers."""
+    start = datetime(2018, 1, 2)
+    parts = [
+        [(f"{part}-{i}", "a", start + timedelta(hours=9 * i + part), 0.1, i / 3, f"s{part}-{i // 2}")
+         for i in range(80)]
+        for part in range(2)
+    ]
+    parts.append([("n", "a", start, None, float("nan"), None), ("m", None, start, 1.0, 1.0, "s")])
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(paths["in"])
+    lines = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(paths["in"])
+    run = weekly.start_weekly_stream(lines, paths["weekly"], paths["progress"], late_by="60 days")
+    run.awaitTermination()
+    triggers = [progress for progress in run.recentProgress if progress["numInputRows"]]
+    assert len(triggers) == 3
+    assert sum(state["numRowsTotal"] for progress in triggers for state in progress["stateOperators"]) == 0
+    batch = demand.weekly_demand(spark.read.schema(SCHEMA).parquet(paths["in"]))
+    assert rows_of(weekly.current_weekly(spark, paths["weekly"])) == rows_of(batch)
+    again = spark.createDataFrame(parts[2], SCHEMA)
+    changed = weekly.update_weekly(again, paths["weekly"], 2, 0, "60 days")
+    assert changed == [datetime(2018, 1, 8).date()]
+    assert rows_of(weekly.current_weekly(spark, paths["weekly"])) == rows_of(batch)
+
+
+def test_lateness_counts_from_the_trigger_before_the_last_and_from_former_runs(spark, paths):
+    start = datetime(2018, 1, 2)
+
+    def days_after(*days):
+        for day in days:
+            row = (f"o{day}", f"d{day}", start + timedelta(days=day), 1.0, 1.0, "s")
+            rows = spark.createDataFrame([row], SCHEMA).coalesce(1)
+            rows.write.mode("append").parquet(paths["in"])
+        lines = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(paths["in"])
+        run = weekly.start_weekly_stream(
+            lines, paths["weekly"], paths["progress"], late_by="21 days"
+        )
+        run.awaitTermination()
+        found = weekly.current_weekly(spark, paths["weekly"]).select("product_category").collect()
+        return sorted(int(row[0][1:]) for row in found)
+
+    # Lines of before 1970 are not late by that alone.
+    assert days_after(-30000, 100, 0, 1, 200) == [-30000, 0, 100, 200]
+    assert days_after(120, 300) == [-30000, 0, 100, 200, 300]
