@@ -37,7 +37,7 @@ def _digits_of(keyed: DataFrame) -> tuple[Column, int]:
     """An unsigned number in the order of ``_key``, and how many bits it has."""
     low, high = keyed.agg(F.min("_key"), F.max("_key")).first()
     if low is None:
-        return F.lit(0).cast("bigint"), 0
+        return F.col("_key"), 0
     if high - low < 2**63:
         return F.col("_key") - F.lit(low), (high - low).bit_length()
     return F.col("_key").bitwiseXOR(F.lit(SIGN)), 64
@@ -61,15 +61,19 @@ def select_ranks(
         rows = rows.where(F.col(name).isNotNull())
     code, bits = _digits_of(rows)
     rows = rows.withColumn("_code", code).drop("_key")
-    open_ranks = ranks.select(
-        *by, "rank", F.col("rank").alias("_left"), F.lit(0).cast("bigint").alias("_prefix")
-    )
+    # Zero by way of a column on both sides: equal literals would leave a join without a key.
+    none = F.col("rank").cast("bigint").bitwiseAND(F.lit(0).cast("bigint"))
+    open_ranks = ranks.select(*by, "rank", F.col("rank").alias("_left"), none.alias("_prefix"))
     place = bits
     while True:
         step = min(DIGIT_BITS, place)
         below = place - step
         # The first digit needs no prefix: shifting by all bits would shift by none.
-        above = F.lit(0).cast("bigint") if place == bits else F.shiftrightunsigned("_code", place)
+        above = (
+            F.col("_code").bitwiseAND(F.lit(0).cast("bigint"))
+            if place == bits
+            else F.shiftrightunsigned("_code", place)
+        )
         prefixed = rows.withColumn("_prefix", above)
         if place < bits:
             known = open_ranks.select(*by, "_prefix").distinct()
